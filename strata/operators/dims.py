@@ -59,25 +59,27 @@ def assign_keys(df: DataFrame, natural_key: str, key_col: str,
     return old.unionByName(fresh.select(natural_key, key_col))
 
 
-def merge_type1(target: DataFrame | None, source: DataFrame, natural_key: str, key_col: str,
+def merge_type1(target: DataFrame | None, source: DataFrame, natural_key: str, key_col: str | None,
                 load_ts_col: str | None = None, load_ts=None) -> DataFrame:
     """D3: type-1 merge. Matched rows take the source row whole (a source NULL overwrites);
     unmatched source rows are inserted with new keys; target rows missing from the source are
-    kept unchanged (discontinued members stay).
+    kept unchanged (discontinued members stay). ``key_col=None``: no surrogate key (the
+    natural key is the primary key).
 
     Presence is decided per row with a marker column, not per value with ``coalesce``, so a
     NULL in the source still replaces a target value.
     """
     value_cols = [c for c in source.columns if c not in (natural_key, key_col, load_ts_col)]
+    key_part = [key_col] if key_col else []
+    tgt_cols = [*key_part, natural_key, *value_cols] + ([load_ts_col] if load_ts_col else [])
     if target is None:
-        keys = assign_keys(source, natural_key, key_col)
-        out = source.join(keys, natural_key, "left")
+        out = source
+        if key_col:
+            out = out.join(assign_keys(source, natural_key, key_col), natural_key, "left")
         if load_ts_col:
             out = out.withColumn(load_ts_col, F.lit(load_ts).cast("timestamp_ntz"))
-        cols = [key_col, natural_key, *value_cols] + ([load_ts_col] if load_ts_col else [])
-        return out.select(*cols)
+        return out.select(*tgt_cols)
     src = source.select(natural_key, *value_cols).withColumn("__in_src", F.lit(True))
-    tgt_cols = [key_col, natural_key, *value_cols] + ([load_ts_col] if load_ts_col else [])
     tgt = target.select(*tgt_cols).withColumn("__in_tgt", F.lit(True))
     s = src.select(*[F.col(c).alias(f"s__{c}") for c in src.columns])
     t = tgt.select(*[F.col(c).alias(f"t__{c}") for c in tgt.columns])
@@ -85,15 +87,19 @@ def merge_type1(target: DataFrame | None, source: DataFrame, natural_key: str, k
     in_src = F.col("s____in_src").isNotNull()
     nk = F.coalesce(F.col(f"t__{natural_key}"), F.col(f"s__{natural_key}"))
     merged = j.select(
-        F.col(f"t__{key_col}").alias(key_col),
+        *([F.col(f"t__{key_col}").alias(key_col)] if key_col else []),
         nk.alias(natural_key),
         *[F.when(in_src, F.col(f"s__{c}")).otherwise(F.col(f"t__{c}")).alias(c) for c in value_cols],
         *([F.when(in_src, F.lit(load_ts).cast("timestamp_ntz"))
            .otherwise(F.col(f"t__{load_ts_col}")).alias(load_ts_col)] if load_ts_col else []),
     )
+    if not key_col:
+        return merged.select(*tgt_cols)
     # Keys for inserted rows only; existing keys never change.
     top = target.agg(F.coalesce(F.max(key_col), F.lit(0)).alias("m")).first()["m"]
-    inserts = merged.where(F.col(key_col).isNull()).select(natural_key).distinct()
+    # New members = source keys absent from the target (an anti-join, not a second full merge).
+    inserts = (source.select(natural_key).where(F.col(natural_key).isNotNull()).distinct()
+               .join(target.select(natural_key), natural_key, "left_anti"))
     fresh = dense_numbering(inserts, [natural_key], "__new_key", start=int(top))
     out = merged.join(fresh, natural_key, "left").select(
         F.coalesce(F.col(key_col), F.col("__new_key")).cast("long").alias(key_col),

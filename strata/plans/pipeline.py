@@ -1,0 +1,107 @@
+"""The daily load procedures: ``load_bronze``, ``load_silver``, ``load_gold`` and ``run``.
+
+Tables live under ``root/<layer>/<table>``. Bronze and silver are full refreshes written as
+new versions and published after the whole layer is written; gold dimensions are merged and
+republished; the fact is appended, partitioned by ``date_id``. Each step is audited; errors
+are recorded and re-raised (a failed layer is never published).
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from strata.operators import RunAudit
+from strata.plans import cards
+from strata.sources import (append_table, create_if_absent, dated_path, layer_path, publish_versions, read_table,
+                            replace_table)
+from strata.session import ensure_checkpoint_dir
+
+
+def load_bronze(spark: SparkSession, root: str, source: str | list[str], as_of: _dt.datetime,
+                multi_line: bool = True, audit: RunAudit | None = None) -> DataFrame:
+    """Parse the day's document once into typed Parquet (splittable, nested-column pruned)."""
+    path = layer_path(root, "bronze", "cards_json_raw")
+    replace_table(cards.read_bronze(spark, source, as_of, multi_line), path)
+    return read_table(spark, path)
+
+
+def load_silver(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunAudit | None = None,
+                numbering: str = "range") -> dict[str, DataFrame]:
+    bronze = read_table(spark, layer_path(root, "bronze", "cards_json_raw"))
+    written: dict[str, int] = {}
+    first = cards.build_silver(bronze, as_of, numbering)
+    for name, df in first.items():
+        path = layer_path(root, "silver", name)
+        sort = ["set_id"] if name == "card_set" else []
+        written[path] = _step(audit, f"silver.{name}", lambda d=df, p=path, s=sort: replace_table(d, p, sort_within=s,
+                                                                                                   publish=False))
+    # Dependent tables read the freshly written (not yet published) versions.
+    fresh = {name: spark.read.parquet(f"{layer_path(root, 'silver', name)}/v={written[layer_path(root, 'silver', name)]:06d}")
+             for name in first}
+    for name, df in cards.build_silver_dependent(bronze, fresh).items():
+        path = layer_path(root, "silver", name)
+        written[path] = _step(audit, f"silver.{name}", lambda d=df, p=path: replace_table(d, p, publish=False))
+    publish_versions(spark, written)
+    return {name: read_table(spark, layer_path(root, "silver", name)) for name in [*first, "card_main_info",
+                                                                                  "card_extras_flattened"]}
+
+
+def load_gold(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunAudit | None = None) -> None:
+    silver = {n: read_table(spark, layer_path(root, "silver", n)) for n in
+              ["card_set", "card_main_info", "card_legalities", "card_attacks", "card_abilities",
+               "card_extras_flattened", "card_images", "mkt_tcgplayer"]}
+    g = lambda t: layer_path(root, "gold", t)
+    dates_path = g("dim_dates")
+    if read_table(spark, dates_path) is None:
+        _step(audit, "gold.dim_dates", lambda: replace_table(cards.dim_dates(spark), dates_path))
+    sets = cards.dim_card_sets(silver["card_set"], read_table(spark, g("dim_card_sets")), as_of)
+    _step(audit, "gold.dim_card_sets", lambda: replace_table(sets, g("dim_card_sets")))
+    sets_dim = read_table(spark, g("dim_card_sets"))
+    cards_df = cards.dim_cards(silver["card_main_info"], silver["card_legalities"], silver["card_attacks"],
+                               silver["card_abilities"], silver["card_set"], sets_dim,
+                               read_table(spark, g("dim_cards")), as_of)
+    _step(audit, "gold.dim_cards", lambda: replace_table(cards_df, g("dim_cards")))
+    cards_dim = read_table(spark, g("dim_cards"))
+    extra = cards.dim_cards_extra_info(silver["card_extras_flattened"], silver["card_images"], cards_dim,
+                                       read_table(spark, g("dim_cards_extra_info")))
+    _step(audit, "gold.dim_cards_extra_info", lambda: replace_table(extra, g("dim_cards_extra_info")))
+    fact_path = g("fact_hst_tcg_data")
+    history = read_table(spark, fact_path)
+    new = cards.fact_rows(silver["mkt_tcgplayer"], cards_dim, read_table(spark, dates_path), sets_dim, history, as_of)
+    _step(audit, "gold.fact_hst_tcg_data",
+          lambda: append_table(new, fact_path, partition_by=["date_id"], sort_within=["card_key"]))
+
+
+def _step(audit: RunAudit | None, name: str, fn):
+    return audit.step(name, fn) if audit is not None else fn()
+
+
+def run(spark: SparkSession, root: str, as_of: _dt.datetime, source: str | list[str] | None = None,
+        landing_dir: str | None = None, multi_line: bool = True, numbering: str = "range") -> RunAudit:
+    """The whole daily load: bronze, silver, gold, with one audit row per step."""
+    ensure_checkpoint_dir(spark)
+    if source is None:
+        run_day = as_of + _dt.timedelta(hours=cards.CLOCK_OFFSET_HOURS)
+        source = dated_path(landing_dir, run_day)
+    audit = RunAudit(spark, uuid.uuid4().hex, layer_path(root, "audit", "runs"))
+    audit.step("bronze", load_bronze, spark, root, source, as_of, multi_line)
+    audit.step("silver", load_silver, spark, root, as_of, audit, numbering)
+    audit.step("gold", load_gold, spark, root, as_of, audit)
+    audit.flush()
+    return audit
+
+
+def ensure_tables(spark: SparkSession, root: str) -> None:
+    """Create the fact directory on a first run so readers find an empty table."""
+    from pyspark.sql import types as T
+    schema = T.StructType([
+        T.StructField("card_key", T.LongType()), T.StructField("set_key", T.LongType()),
+        T.StructField("date_id", T.IntegerType()), T.StructField("full_date", T.DateType()),
+        T.StructField("printing_finish_rarity", T.StringType()), T.StructField("market_price", T.DoubleType()),
+        T.StructField("highest_price", T.DoubleType()), T.StructField("lowest_price", T.DoubleType()),
+        T.StructField("log_created", T.TimestampNTZType()),
+    ])
+    create_if_absent(spark, layer_path(root, "gold", "fact_hst_tcg_data"), schema, partition_by=["date_id"])

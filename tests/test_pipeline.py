@@ -1,0 +1,90 @@
+"""End-to-end bronze -> silver -> gold on an invented card document."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from conftest import AS_OF
+from strata.plans import cards, pipeline
+from strata.sources import layer_path, read_table
+
+
+def _rows(df, *cols):
+    return sorted(tuple(r) for r in df.select(*cols).collect())
+
+
+def test_bronze_silver_gold(spark, cards_file, tmp_root):
+    root = os.path.join(tmp_root, "lake")
+    audit = pipeline.run(spark, root, AS_OF, source=cards_file)
+    assert {r["status"] for r in audit.frame().collect()} == {"succeeded"}
+    s = lambda n: read_table(spark, layer_path(root, "silver", n))
+
+    att = s("card_attacks").where(F.col("card_id") == "set1-1")
+    assert att.count() == 7
+    assert _rows(att, "attack_name", "energy_needed", "energy_amount_neeed") == sorted(
+        [("double bash", "metal", 2)] * 2 + [("double bash", "colorless", 1)]
+        + [("iron guard", "metal", 2)] * 2 + [("iron guard", "colorless", 2)] * 2)
+    # an attack with an empty cost vanishes
+    assert s("card_attacks").where(F.col("card_id") == "set1-2").count() == 0
+
+    assert _rows(s("card_weaknesses").where("card_id = 'set1-1'"), "weakness_type", "weakness_value") == [("fire", "×2")]
+    assert s("card_retreat_cost").where("card_id = 'set1-1'").count() == 4
+    assert _rows(s("card_types").where("card_id = 'set1-1'"), "type") == [("metal",)]
+    assert _rows(s("card_national_pokedex_numbers").where("card_id = 'set1-1'"), "national_pokedex_number") == [(306,)]
+
+    legal = dict(_rows(s("card_legalities"), "card_id", "legality"))
+    assert legal == {"set1-1": "Unlimited Only", "set1-2": "Standard+", "set1-3": "n/a"}
+
+    cs = {r["card_id"]: r for r in s("card_set").collect()}
+    assert set(cs) == {"set1-1", "set1-2", "set1-3"}  # set2 has no images -> no row
+    assert cs["set1-1"]["set_card_number"] == 1
+    assert cs["set1-2"]["set_card_number"] == 12
+    assert cs["set1-3"]["set_card_number"] == 0
+    assert str(cs["set1-2"]["set_update_date"]) == "2018-03-04 11:00:00"
+    assert str(cs["set1-1"]["set_release_date"]) == "2010-11-03"
+    assert sorted(r["row_number"] for r in cs.values()) == [1, 2, 3]
+
+    tcg = s("mkt_tcgplayer")
+    rows = {(r["card_id"], r["printing_finish_rarity"]): r for r in tcg.collect()}
+    assert ("set1-3", "normal") not in rows  # 2025-12-01 is older than 20 days
+    assert rows[("set1-1", "holofoil")]["market_price"] == 4.62
+    assert rows[("set1-1", "holofoil")]["date_id"] == 20260108
+    assert rows[("set1-2", "normal")]["market_price"] == 2.0  # midpoint fallback
+    assert rows[("set1-2", "newFinish")]["market_price"] is None
+
+    main = {r["card_id"]: r for r in s("card_main_info").collect()}
+    assert main["set1-3"]["evolution_tier"] == 1
+    assert main["set1-2"]["evolution_tier"] == 2
+    assert main["set1-1"]["evolution_tier"] == 3
+    assert main["set2-1"]["evolution_tier"] is None
+    assert main["set2-1"]["set_card_rarity"] == "special"
+    assert main["set2-1"]["description"] == "n/a"
+    assert main["set1-1"]["hp"] == 140
+
+    ex = {r["card_id"]: r for r in s("card_extras_flattened").collect()}
+    assert ex["set1-1"]["subtype_list"] == "stage 2"
+    assert ex["set1-1"]["pokedex_list"] == "306"
+
+    g = lambda n: read_table(spark, layer_path(root, "gold", n))
+    assert g("dim_dates").count() == 18628
+    dc = {r["card_id"]: r for r in g("dim_cards").collect()}
+    assert sorted(r["card_key"] for r in dc.values()) == [1, 2, 3, 4]
+    assert dc["set1-1"]["number_of_attacks"] == 2
+    assert dc["set1-2"]["number_of_abilities"] == 1
+    fact = g("fact_hst_tcg_data")
+    n1 = fact.count()
+    assert n1 == 6  # set1-1 x2, set1-2 x2, set2-1 x2
+
+    # Re-running the same day adds no fact rows; keys stay stable.
+    pipeline.run(spark, root, AS_OF, source=cards_file)
+    assert g("fact_hst_tcg_data").count() == n1
+    dc2 = {r["card_id"]: r["card_key"] for r in g("dim_cards").collect()}
+    assert dc2 == {k: v["card_key"] for k, v in dc.items()}
+    audit_rows = read_table(spark, layer_path(root, "audit", "runs")).collect()
+    assert {r["status"] for r in audit_rows} == {"succeeded"}
+
+
+def test_bronze_schema_keeps_text_fields(spark, cards_file):
+    b = cards.read_bronze(spark, cards_file, AS_OF)
+    assert "evolves_from" in b.columns and "load_date" in b.columns
+    assert b.where("id = 'set1-1'").select("hp").first()[0] == "140"
