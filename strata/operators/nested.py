@@ -10,6 +10,12 @@ Semantics follow a lateral ``OPENJSON ... WITH`` apply:
 - missing fields become NULL, unknown fields are dropped.
 
 All operators are narrow (no shuffle): ``Generate`` runs inside the scan's stage.
+
+JSON text is parsed exactly once. An inner ``explode`` makes Catalyst infer a
+``isnotnull(x) AND size(x) > 0`` filter and push it below the projection, which would repeat
+``from_json`` (and, under a repartition, run it before the repartition on few tasks). So the
+operators use the ``_outer`` generators, which infer nothing, and drop the empty rows with a
+filter on the generator's output, which cannot move below the generator.
 """
 
 from __future__ import annotations
@@ -58,8 +64,9 @@ def explode_objects(df: DataFrame, col: str, schema: T.StructType | str | None =
         arr = typed(df, col, T.ArrayType(_as_type(schema)))
     else:
         arr = F.col(col)
-    gen = F.posexplode_outer(arr) if outer else F.posexplode(arr)
-    exploded = df.select(*_keep_cols(keep), gen.alias("__pos", "__elem"))
+    exploded = df.select(*_keep_cols(keep), F.posexplode_outer(arr).alias("__pos", "__elem"))
+    if not outer:
+        exploded = exploded.where(F.col("__pos").isNotNull())
     elem_type = exploded.schema["__elem"].dataType
     fields = [f.name for f in elem_type.fields]
     rename = dict(rename or {})
@@ -79,8 +86,9 @@ def explode_scalars(df: DataFrame, col: str, elem_type: T.DataType | str = "stri
     JSON numbers parse into strings and back; NULL elements are kept as NULL rows.
     """
     arr = typed(df, col, T.ArrayType(_as_type(elem_type)))
-    gen = F.posexplode_outer(arr) if outer else F.posexplode(arr)
-    exploded = df.select(*_keep_cols(keep), gen.alias("__pos", "__val"))
+    exploded = df.select(*_keep_cols(keep), F.posexplode_outer(arr).alias("__pos", "__val"))
+    if not outer:
+        exploded = exploded.where(F.col("__pos").isNotNull())
     val = F.lower(F.col("__val")) if lower else F.col("__val")
     out = _keep_cols([c for c in exploded.columns if c not in ("__pos", "__val")])
     if pos_alias:
@@ -100,8 +108,9 @@ def explode_entries(df: DataFrame, col: str, value_schema: T.DataType | str,
     """
     mtype = T.MapType(T.StringType(), _as_type(value_schema))
     m = typed(df, col, mtype)
-    gen = F.explode_outer(m) if outer else F.explode(m)
-    exploded = df.select(*_keep_cols(keep), gen.alias("__key", "__value"))
+    exploded = df.select(*_keep_cols(keep), F.explode_outer(m).alias("__key", "__value"))
+    if not outer:
+        exploded = exploded.where(F.col("__key").isNotNull())  # map keys are never NULL
     out = _keep_cols([c for c in exploded.columns if c not in ("__key", "__value")])
     out.append(F.col("__key").alias(key_alias))
     vtype = exploded.schema["__value"].dataType
@@ -122,7 +131,12 @@ def flatten_struct(df: DataFrame, col: str, mapping: Mapping[str, str] | Sequenc
     leaf names. With ``require_present`` a NULL object gives no row (lateral-apply semantics).
     """
     obj = typed(df, col, schema) if schema is not None else F.col(col)
-    base = df.select(*_keep_cols(keep), obj.alias("__obj"))
+    parsed = schema is not None and isinstance(df.schema[col].dataType, T.StringType)
+    if require_present and parsed:
+        # Parse once inside a generator; the presence filter then stays above it.
+        base = df.select(*_keep_cols(keep), F.explode_outer(F.array(obj)).alias("__obj"))
+    else:
+        base = df.select(*_keep_cols(keep), obj.alias("__obj"))
     if require_present:
         base = base.where(F.col("__obj").isNotNull())
     if mapping is None:

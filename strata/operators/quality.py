@@ -93,12 +93,13 @@ class RunAudit:
         self.run_id = run_id
         self.table_dir = table_dir
         self.rows: list[tuple] = []
+        self._flushed = 0
 
     def observe(self, df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
         obs = Observation(name)
         return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
-    def step(self, name: str, fn, *args, **kwargs):
+    def step(self, name: str, fn, *args, _obs: Observation | None = None, **kwargs):
         start = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         t0 = time.perf_counter()
         try:
@@ -107,14 +108,15 @@ class RunAudit:
             self._add(name, start, t0, "failed", None, str(exc)[:1000])
             self.flush()
             raise
-        rows = None
-        if isinstance(result, Observation):
-            rows = int(result.get.get("rows", 0))
-        elif isinstance(result, int):
-            rows = result
+        rows = int(_obs.get.get("rows", 0)) if _obs is not None else None
         self._add(name, start, t0, "succeeded", rows, None)
         return result
 
+    def write(self, name: str, df: DataFrame, writer):
+        """Run ``writer(df)`` as a step, counting the rows it writes as a side metric."""
+        observed, obs = self.observe(df, name.replace(".", "_"))
+        return self.step(name, writer, observed, _obs=obs)
+
     def _add(self, name, start, t0, status, rows, message):
         end = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         self.rows.append((self.run_id, name, start, end, time.perf_counter() - t0, status, rows, message))
@@ -123,6 +125,7 @@ class RunAudit:
         return self.spark.createDataFrame(self.rows, AUDIT_SCHEMA)
 
     def flush(self) -> None:
-        if self.table_dir and self.rows:
-            self.frame().coalesce(1).write.mode("append").parquet(self.table_dir)
-            self.rows = []
+        pending = self.rows[self._flushed:]
+        if self.table_dir and pending:
+            self.spark.createDataFrame(pending, AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(self.table_dir)
+            self._flushed = len(self.rows)

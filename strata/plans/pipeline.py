@@ -36,14 +36,14 @@ def load_silver(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunA
     for name, df in first.items():
         path = layer_path(root, "silver", name)
         sort = ["set_id"] if name == "card_set" else []
-        written[path] = _step(audit, f"silver.{name}", lambda d=df, p=path, s=sort: replace_table(d, p, sort_within=s,
-                                                                                                   publish=False))
+        written[path] = _write(audit, f"silver.{name}", df,
+                               lambda d, p=path, s=sort: replace_table(d, p, sort_within=s, publish=False))
     # Dependent tables read the freshly written (not yet published) versions.
     fresh = {name: spark.read.parquet(f"{layer_path(root, 'silver', name)}/v={written[layer_path(root, 'silver', name)]:06d}")
              for name in first}
     for name, df in cards.build_silver_dependent(bronze, fresh).items():
         path = layer_path(root, "silver", name)
-        written[path] = _step(audit, f"silver.{name}", lambda d=df, p=path: replace_table(d, p, publish=False))
+        written[path] = _write(audit, f"silver.{name}", df, lambda d, p=path: replace_table(d, p, publish=False))
     publish_versions(spark, written)
     return {name: read_table(spark, layer_path(root, "silver", name)) for name in [*first, "card_main_info",
                                                                                   "card_extras_flattened"]}
@@ -56,27 +56,27 @@ def load_gold(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunAud
     g = lambda t: layer_path(root, "gold", t)
     dates_path = g("dim_dates")
     if read_table(spark, dates_path) is None:
-        _step(audit, "gold.dim_dates", lambda: replace_table(cards.dim_dates(spark), dates_path))
+        _write(audit, "gold.dim_dates", cards.dim_dates(spark), lambda d: replace_table(d, dates_path))
     sets = cards.dim_card_sets(silver["card_set"], read_table(spark, g("dim_card_sets")), as_of)
-    _step(audit, "gold.dim_card_sets", lambda: replace_table(sets, g("dim_card_sets")))
+    _write(audit, "gold.dim_card_sets", sets, lambda d: replace_table(d, g("dim_card_sets")))
     sets_dim = read_table(spark, g("dim_card_sets"))
     cards_df = cards.dim_cards(silver["card_main_info"], silver["card_legalities"], silver["card_attacks"],
                                silver["card_abilities"], silver["card_set"], sets_dim,
                                read_table(spark, g("dim_cards")), as_of)
-    _step(audit, "gold.dim_cards", lambda: replace_table(cards_df, g("dim_cards")))
+    _write(audit, "gold.dim_cards", cards_df, lambda d: replace_table(d, g("dim_cards")))
     cards_dim = read_table(spark, g("dim_cards"))
     extra = cards.dim_cards_extra_info(silver["card_extras_flattened"], silver["card_images"], cards_dim,
                                        read_table(spark, g("dim_cards_extra_info")))
-    _step(audit, "gold.dim_cards_extra_info", lambda: replace_table(extra, g("dim_cards_extra_info")))
+    _write(audit, "gold.dim_cards_extra_info", extra, lambda d: replace_table(d, g("dim_cards_extra_info")))
     fact_path = g("fact_hst_tcg_data")
     history = read_table(spark, fact_path)
     new = cards.fact_rows(silver["mkt_tcgplayer"], cards_dim, read_table(spark, dates_path), sets_dim, history, as_of)
-    _step(audit, "gold.fact_hst_tcg_data",
-          lambda: append_table(new, fact_path, partition_by=["date_id"], sort_within=["card_key"]))
+    _write(audit, "gold.fact_hst_tcg_data", new,
+           lambda d: append_table(d, fact_path, partition_by=["date_id"], sort_within=["card_key"]))
 
 
-def _step(audit: RunAudit | None, name: str, fn):
-    return audit.step(name, fn) if audit is not None else fn()
+def _write(audit: RunAudit | None, name: str, df: DataFrame, writer):
+    return audit.write(name, df, writer) if audit is not None else writer(df)
 
 
 def run(spark: SparkSession, root: str, as_of: _dt.datetime, source: str | list[str] | None = None,

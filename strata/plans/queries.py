@@ -21,7 +21,7 @@ from strata.operators import (assign_keys, child_counts, count_within, date_dime
                               explode_entries, explode_objects, explode_scalars, flat_lists, flatten_struct,
                               fresh_since, having_value, hierarchy_tier, keep_lowest, keep_one, key_violations,
                               list_per_key, merge_type1, new_facts, null_violations, number_within, profile)
-from strata.session import scratch_path
+from strata.session import scratch_path, spread
 from strata.sources import land_pages, restore, snapshot
 
 # Fixed run clock for the freshness queries (the source uses the server clock).
@@ -36,11 +36,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def wide_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    """A table feeding row-wise JSON work: pruned to ``cols``, spread over all cores if the
+    scan itself is not split."""
+    df = table(spark, sf_dir, name)
+    return spread(df.select(*cols) if cols else df)
+
+
 # --------------------------------------------------------------------------- JSON shredding
 
 def json_typed_fields(spark, sf_dir):
     """Typed field out of JSON text, read as text then cast, then aggregated."""
-    ev = table(spark, sf_dir, "events")
+    ev = wide_table(spark, sf_dir, "events", "event_type", "value", "props")
     parsed = ev.select("event_type", "value",
                        F.from_json("props", "k string").getField("k").alias("k_text"))
     k = sf.safe_cast("k_text", "int")
@@ -60,7 +67,8 @@ def _facets_json(li: DataFrame) -> DataFrame:
 
 def q_explode_objects(spark, sf_dir):
     """Array-of-objects JSON (variable length, some empty) -> one row per object."""
-    docs = _facets_json(table(spark, sf_dir, "lineitem"))
+    docs = _facets_json(wide_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_quantity",
+                                   "l_discount", "l_tax"))
     out = explode_objects(docs, "facets", "type string, value double", keep=["l_orderkey", "l_linenumber"],
                           rename={"type": "facet_type", "value": "facet_value"})
     return out.withColumn("facet_type", F.lower("facet_type"))
@@ -82,7 +90,8 @@ def value_lookup(spark, sf_dir):
 
 def q_explode_entries(spark, sf_dir):
     """Open-key object {finish: {low, high, market}} -> rows, market fallback."""
-    li = table(spark, sf_dir, "lineitem")
+    li = wide_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice",
+                    "l_discount", "l_tax")
     net = F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))
     prices = F.create_map(
         F.lit("gross"), F.struct(net.alias("low"), F.col("l_extendedprice").alias("high"),
@@ -122,7 +131,7 @@ def _attack_docs(part: DataFrame) -> DataFrame:
 def nested_two_level(spark, sf_dir):
     """Attacks x cost -> one row per energy symbol, with the per-(card, attack,
     symbol) count repeated on each row; attacks with an empty cost vanish."""
-    docs = _attack_docs(table(spark, sf_dir, "part"))
+    docs = _attack_docs(wide_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_type", "p_brand", "p_size"))
     attacks = explode_objects(docs, "attacks", ATTACK_SCHEMA, keep=["card_id"])
     symbols = explode_scalars(attacks, "cost", "string",
                               keep=["card_id", "name", "convertedEnergyCost", "damage", "text"], alias="energy")
@@ -142,7 +151,8 @@ WIDE_SCHEMA = ("quantityTotal double, extendedPrice double, discountRate double,
 
 def flatten_wide(spark, sf_dir):
     """One JSON object of camelCase doubles -> snake_case columns."""
-    li = table(spark, sf_dir, "lineitem")
+    li = wide_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                    "l_discount", "l_tax")
     net = F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))
     obj = F.struct(F.col("l_quantity").alias("quantityTotal"), F.col("l_extendedprice").alias("extendedPrice"),
                    F.col("l_discount").alias("discountRate"), F.col("l_tax").alias("taxRate"),

@@ -84,3 +84,16 @@ def path_join(base: str, *parts: str) -> str:
     if "://" in base:
         return "/".join([base.rstrip("/"), *parts])
     return os.path.join(base, *parts)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin repartition only when ``df`` has fewer partitions than the cluster has cores.
+
+    An unsplittable input (one multi-line JSON file, a Parquet file with one row group) is read
+    by one task; row-wise work such as JSON parsing would then run on one core. A well-split
+    input is returned unchanged, so at scale this adds no shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
