@@ -41,6 +41,11 @@ src AS (
   LEFT JOIN cust c ON d.o_custkey = c.c_custkey)
 """
 
+_CARD_KEYS = """
+ck AS (SELECT 'c' || CAST(p_partkey AS VARCHAR) AS card_id, row_number() OVER (ORDER BY 'c' || CAST(p_partkey AS VARCHAR))
+              AS card_key, p_brand, p_partkey, p_type, p_size, p_name FROM part),
+sk AS (SELECT p_brand, row_number() OVER (ORDER BY p_brand) AS set_key FROM (SELECT DISTINCT p_brand FROM part))"""
+
 ORACLE_SQL: dict[str, str] = {
     "json_typed_fields": """
 SELECT event_type, count(*) AS n_events, count(k) AS n_k, CAST(sum(k) AS BIGINT) AS sum_k, max(k) AS max_k,
@@ -277,6 +282,58 @@ SELECT DISTINCT n.n_name, n.n_regionkey FROM supplier s JOIN nation n ON s.s_nat
     "landing_dedupe": """
 SELECT event_id, ts, user_id, event_type, value, props FROM events""",
 
+    "card_pipeline_fact": f"""
+WITH agg AS (SELECT l_partkey, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, count(*) AS n,
+                    max(l_discount) AS md, min(l_tax) AS tlo, max(l_tax) AS thi, min(l_quantity) AS qmin
+             FROM lineitem GROUP BY l_partkey),
+{_CARD_KEYS},
+tcg AS (SELECT p.p_partkey, CAST(DATE '2026-01-20' - CAST(p.p_partkey % 30 AS INTEGER) AS DATE) AS upd, a.*
+        FROM part p JOIN agg a ON a.l_partkey = p.p_partkey WHERE p.p_partkey % 30 < 20),
+r AS (SELECT p_partkey, upd, 'normal' AS finish, CASE WHEN n % 2 = 0 THEN md * 100.0 END AS market, hi AS high,
+             lo AS low FROM tcg
+      UNION ALL
+      SELECT p_partkey, upd, 'holofoil', qmin, thi, tlo FROM tcg)
+SELECT ck.card_key, sk.set_key, {_date_id('r.upd')} AS date_id, r.upd AS full_date, r.finish AS printing_finish_rarity,
+       coalesce(r.market, (r.high + r.low) / 2.0) AS market_price, r.high AS highest_price, r.low AS lowest_price,
+       TIMESTAMP '2026-01-20 12:00:00' AS log_created
+FROM r JOIN ck ON ck.p_partkey = r.p_partkey JOIN sk ON sk.p_brand = ck.p_brand""",
+
+    "card_pipeline_dims": f"""
+WITH RECURSIVE nodes AS (
+  SELECT DISTINCT 'n' || CAST(p_partkey AS VARCHAR) AS name,
+         CASE WHEN p_partkey = 0 THEN NULL
+              WHEN p_size = 50 THEN 'x' || CAST(p_partkey AS VARCHAR)
+              ELSE 'n' || CAST(p_partkey // 10 AS VARCHAR) END AS parent
+  FROM part),
+ev(name, tier) AS (
+  SELECT name, 1 FROM nodes WHERE parent IS NULL
+  UNION ALL
+  SELECT c.name, e.tier + 1 FROM nodes c JOIN ev e ON c.parent = e.name),
+best AS (SELECT name, CAST(min(tier) AS INTEGER) AS tier FROM ev GROUP BY name),
+{_CARD_KEYS}
+SELECT ck.card_key, sk.set_key, ck.card_id, 'n' || CAST(ck.p_partkey AS VARCHAR) AS card_name,
+       lower(ck.p_type) AS supertype, b.tier AS evolution_tier,
+       'artist ' || CAST(ck.p_partkey % 5 AS VARCHAR) AS artist,
+       CASE WHEN ck.p_partkey % 9 = 0 THEN 'special' ELSE 'rare' END AS set_card_rarity,
+       CAST(ck.p_size AS INTEGER) AS set_card_number,
+       CASE WHEN ck.p_size > 40 THEN 'Standard+' WHEN ck.p_size > 20 THEN 'Expanded+' ELSE 'Unlimited Only' END
+         AS legality,
+       CAST(1 AS INTEGER) AS number_of_attacks,
+       CAST(CASE WHEN ck.p_size % 3 = 0 THEN 1 ELSE 0 END AS INTEGER) AS number_of_abilities,
+       CAST(ck.p_size * 10 AS INTEGER) AS hp
+FROM ck JOIN sk ON sk.p_brand = ck.p_brand LEFT JOIN best b ON b.name = 'n' || CAST(ck.p_partkey AS VARCHAR)""",
+
+    "card_pipeline_extras": f"""
+WITH {_CARD_KEYS.strip()}
+SELECT ck.card_key, lower(ck.p_type) AS subtype_list,
+       lower(split_part(ck.p_name, ' ', 1)) || ', ' || lower(split_part(ck.p_name, ' ', 2)) AS type_list,
+       CASE WHEN ck.p_size % 2 = 1 THEN 'psychic' ELSE 'n/a' END AS resistances_list,
+       lower(split_part(ck.p_name, ' ', 1)) AS weaknesses_list,
+       CAST(ck.p_partkey % 1000 AS VARCHAR) AS pokedex_list,
+       'https://img.example/c' || CAST(ck.p_partkey AS VARCHAR) || '.png' AS small_image_url,
+       'https://img.example/c' || CAST(ck.p_partkey AS VARCHAR) || '_hires.png' AS large_image_url
+FROM ck""",
+
     "stream_daily": f"""
 SELECT event_id, {_date_id('ts')} AS date_id, event_type, value FROM events""",
 }

@@ -487,6 +487,52 @@ def stream_daily(spark, sf_dir):
     return spark.read.parquet(sink).select("event_id", "date_id", "event_type", "value")
 
 
+# ----------------------------------------------------------------------------- the card pipeline
+
+_PIPELINE_RUNS: dict[tuple[str, str], str] = {}
+
+
+def _card_lake(spark, sf_dir) -> str:
+    """Run bronze -> silver -> gold once per (application, tables) over card documents derived
+    from ``part``/``lineitem``; later queries read the written tables."""
+    from strata.plans import pipeline
+    from strata.plans.card_docs import DOC_AS_OF, write_card_documents
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PIPELINE_RUNS:
+        landing = write_card_documents(spark, table(spark, sf_dir, "part"), table(spark, sf_dir, "lineitem"),
+                                       scratch_path(spark, "card-landing"))
+        root = scratch_path(spark, "card-lake")
+        pipeline.run(spark, root, DOC_AS_OF, source=landing, multi_line=False)
+        _PIPELINE_RUNS[key] = root
+    return _PIPELINE_RUNS[key]
+
+
+def card_pipeline_fact(spark, sf_dir):
+    """X2/D8 end to end: the daily price fact after the full bronze/silver/gold load."""
+    from strata.sources import layer_path, read_table
+    root = _card_lake(spark, sf_dir)
+    fact = read_table(spark, layer_path(root, "gold", "fact_hst_tcg_data"))
+    return fact.select("card_key", "set_key", "date_id", "full_date", "printing_finish_rarity", "market_price",
+                       "highest_price", "lowest_price", "log_created")
+
+
+def card_pipeline_dims(spark, sf_dir):
+    """D4/D9/A3/F5/F9 end to end: the card dimension after the full load."""
+    from strata.sources import layer_path, read_table
+    root = _card_lake(spark, sf_dir)
+    dim = read_table(spark, layer_path(root, "gold", "dim_cards"))
+    return dim.select("card_key", "set_key", "card_id", "card_name", "supertype", "evolution_tier", "artist",
+                      "set_card_rarity", "set_card_number", "legality", "number_of_attacks", "number_of_abilities",
+                      "hp")
+
+
+def card_pipeline_extras(spark, sf_dir):
+    """D6/D10 end to end: flattened lists and images per card key."""
+    from strata.sources import layer_path, read_table
+    root = _card_lake(spark, sf_dir)
+    return read_table(spark, layer_path(root, "gold", "dim_cards_extra_info"))
+
+
 QUERIES = {
     "json_typed_fields": json_typed_fields,
     "explode_objects": q_explode_objects,
@@ -522,4 +568,7 @@ QUERIES = {
     "distinct_pairs": distinct_pairs,
     "landing_dedupe": landing_dedupe,
     "stream_daily": stream_daily,
+    "card_pipeline_fact": card_pipeline_fact,
+    "card_pipeline_dims": card_pipeline_dims,
+    "card_pipeline_extras": card_pipeline_extras,
 }

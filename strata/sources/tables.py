@@ -31,11 +31,18 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def _read_marker(spark: SparkSession, table_dir: str) -> int | None:
-    marker = f"{table_dir.rstrip('/')}/{_MARKER}"
-    if not _exists(spark, marker):
+    # Read through the Hadoop API: Spark's file sources skip names starting with '_'.
+    fs, marker = _fs(spark, f"{table_dir.rstrip('/')}/{_MARKER}")
+    if not fs.exists(marker):
         return None
-    row = spark.read.text(marker).first()
-    return int(row[0]) if row else None
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(marker)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        line = reader.readLine()
+    finally:
+        stream.close()
+    return int(line.strip()) if line and line.strip() else None
 
 
 def _write_marker(spark: SparkSession, table_dir: str, version: int) -> None:
