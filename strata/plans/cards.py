@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from strata import functions as sf
 from strata.operators import (child_counts, count_within, date_dimension, explode_entries, explode_objects,
                               explode_scalars, flat_lists, flatten_struct, fresh_since, hierarchy_tier,
-                              keep_one, merge_type1, new_facts, number_within)
+                              keep_one, merge_type1, new_facts, number_within, split_null_grain)
 from strata.sources import read_json_documents
 
 S, I, D = T.StringType(), T.IntegerType(), T.DoubleType()
@@ -310,17 +310,31 @@ def dim_cards_extra_info(extras: DataFrame, images: DataFrame, cards_dim: DataFr
 FACT_GRAIN = ["date_id", "card_key", "printing_finish_rarity"]
 
 
-def fact_rows(tcg: DataFrame, cards_dim: DataFrame, dates_dim: DataFrame, sets_dim: DataFrame,
-              history: DataFrame | None, log_ts: _dt.datetime) -> DataFrame:
-    """D8 = J1 + J2 + J5: today's prices not yet stored at (date_id, card_key, finish)."""
+def fact_candidates(tcg: DataFrame, cards_dim: DataFrame, dates_dim: DataFrame, sets_dim: DataFrame) -> DataFrame:
+    """J1 + J2: today's prices with card, set and date keys (before the history check)."""
     dates = dates_dim.select(F.col("date_id").alias("d_date_id"), "full_date")
     j = (cards_dim.select("card_key", "card_id", "set_key")
          .join(tcg, "card_id", "inner")
          # dim_dates holds one row per day of a fixed span: a bounded broadcast.
          .join(F.broadcast(dates), F.col("date_id") == F.col("d_date_id"), "left")
          .join(sets_dim.select(F.col("set_key").alias("s_set_key")), F.col("set_key") == F.col("s_set_key"), "left"))
-    rows = j.select("card_key", F.col("s_set_key").alias("set_key"), F.col("d_date_id").alias("date_id"),
+    return j.select("card_key", F.col("s_set_key").alias("set_key"), F.col("d_date_id").alias("date_id"),
                     "full_date", "printing_finish_rarity", "market_price", "highest_price", "lowest_price")
+
+
+def fact_rows(tcg: DataFrame, cards_dim: DataFrame, dates_dim: DataFrame, sets_dim: DataFrame,
+              history: DataFrame | None, log_ts: _dt.datetime) -> DataFrame:
+    """D8 = J1 + J2 + J5: today's prices not yet stored at (date_id, card_key, finish)."""
+    rows = fact_candidates(tcg, cards_dim, dates_dim, sets_dim)
     # The freshness window bounds the batch's distinct days, so the history scan is pruned.
     new = new_facts(rows, history, FACT_GRAIN, prune_col="date_id")
     return new.withColumn("log_created", sf.ts_literal(log_ts))
+
+
+def fact_rejects(tcg: DataFrame, cards_dim: DataFrame, dates_dim: DataFrame, sets_dim: DataFrame,
+                 log_ts: _dt.datetime) -> DataFrame:
+    """Q2 before D8: price rows whose grain has a NULL part (e.g. a day outside dim_dates);
+    the source's primary key would reject the whole load, here they are kept aside."""
+    rows = fact_candidates(tcg, cards_dim, dates_dim, sets_dim)
+    _, bad = split_null_grain(rows, FACT_GRAIN)
+    return bad.withColumn("log_created", sf.ts_literal(log_ts))

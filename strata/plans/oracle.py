@@ -260,6 +260,23 @@ SELECT l_orderkey, l_linenumber,
                       CASE WHEN l_quantity IS NULL THEN 'l_quantity' END) AS null_columns
 FROM t WHERE l_returnflag IS NULL OR l_quantity IS NULL""",
 
+    "length_violations": """
+SELECT p_partkey, p_name, p_type,
+       concat_ws(',', CASE WHEN length(p_name) > 10 THEN 'p_name' END,
+                      CASE WHEN length(p_type) > 6 THEN 'p_type' END) AS too_long
+FROM part WHERE length(p_name) > 10 OR length(p_type) > 6""",
+
+    "cast_rejects": """
+WITH c AS (
+  SELECT p_partkey, CASE WHEN p_partkey % 13 = 0 THEN p_type
+                         WHEN p_partkey % 17 = 0 THEN '1' || lower(substr(p_type, 1, 1)) || '2'
+                         WHEN p_partkey % 19 = 0 THEN p_brand || '!'
+                         WHEN p_partkey % 23 = 0 THEN NULL
+                         ELSE p_brand END AS code
+  FROM part),
+s AS (SELECT p_partkey, code, trim(translate(lower(code), 'abcdefghijklmnopqrstuvwxyz!?#', '                             ')) AS t FROM c)
+SELECT p_partkey, code FROM s WHERE code IS NOT NULL AND t <> '' AND TRY_CAST(t AS INTEGER) IS NULL""",
+
     "profile": f"""
 WITH t AS (SELECT c_name, {_SEGMENT} AS c_mktsegment FROM customer)
 SELECT 'c_name' AS column_name, count(*) AS n_rows, count_if(c_name IS NULL) AS n_null,

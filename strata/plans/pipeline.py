@@ -17,14 +17,15 @@ from strata.operators import RunAudit
 from strata.plans import cards
 from strata.sources import (append_table, create_if_absent, dated_path, layer_path, publish_versions, read_table,
                             replace_table)
-from strata.session import ensure_checkpoint_dir
+from strata.session import ensure_checkpoint_dir, spread
 
 
 def load_bronze(spark: SparkSession, root: str, source: str | list[str], as_of: _dt.datetime,
                 multi_line: bool = True, audit: RunAudit | None = None) -> DataFrame:
     """Parse the day's document once into typed Parquet (splittable, nested-column pruned)."""
     path = layer_path(root, "bronze", "cards_json_raw")
-    replace_table(cards.read_bronze(spark, source, as_of, multi_line), path)
+    # A multi-line document is read by one task per file; spread it so bronze is many files.
+    replace_table(spread(cards.read_bronze(spark, source, as_of, multi_line)), path)
     return read_table(spark, path)
 
 
@@ -70,7 +71,10 @@ def load_gold(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunAud
     _write(audit, "gold.dim_cards_extra_info", extra, lambda d: replace_table(d, g("dim_cards_extra_info")))
     fact_path = g("fact_hst_tcg_data")
     history = read_table(spark, fact_path)
-    new = cards.fact_rows(silver["mkt_tcgplayer"], cards_dim, read_table(spark, dates_path), sets_dim, history, as_of)
+    dates_dim = read_table(spark, dates_path)
+    rejects = cards.fact_rejects(silver["mkt_tcgplayer"], cards_dim, dates_dim, sets_dim, as_of)
+    _write(audit, "gold.fact_rejects", rejects, lambda d: append_table(d, layer_path(root, "audit", "fact_rejects")))
+    new = cards.fact_rows(silver["mkt_tcgplayer"], cards_dim, dates_dim, sets_dim, history, as_of)
     _write(audit, "gold.fact_hst_tcg_data", new,
            lambda d: append_table(d, fact_path, partition_by=["date_id"], sort_within=["card_key"]))
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import functions as sf
-from strata.operators import (assign_keys, child_counts, count_within, date_dimension_covering, dedupe_grain,
+from strata.operators import (assign_keys, cast_rejects, child_counts, length_violations, count_within, date_dimension_covering, dedupe_grain,
                               explode_entries, explode_objects, explode_scalars, flat_lists, flatten_struct,
                               fresh_since, having_value, hierarchy_tier, keep_lowest, keep_one, key_violations,
                               list_per_key, merge_type1, new_facts, null_violations, number_within, profile)
@@ -404,6 +404,19 @@ def q_null_violations(spark, sf_dir):
     return bad.select("l_orderkey", "l_linenumber", F.array_join("null_columns", ",").alias("null_columns"))
 
 
+def q_length_violations(spark, sf_dir):
+    """Q3: values longer than a declared width (gold narrows text columns)."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    bad = length_violations(p, {"p_name": 10, "p_type": 6})
+    return bad.select("p_partkey", "p_name", "p_type", F.array_join("too_long", ",").alias("too_long"))
+
+
+def q_cast_rejects(spark, sf_dir):
+    """Q4: non-NULL codes whose card number does not convert (reported, not loaded)."""
+    codes = q_digits_from_code(spark, sf_dir)
+    return cast_rejects(codes, "code", "int", converted=F.col("set_card_number")).select("p_partkey", "code")
+
+
 def q_profile(spark, sf_dir):
     """Q6: null / untrimmed / blank profile of text columns in one pass."""
     c = table(spark, sf_dir, "customer").select("c_name", _induced_segment().alias("c_mktsegment"))
@@ -563,6 +576,8 @@ QUERIES = {
     "unique_violations": unique_violations,
     "null_violations": q_null_violations,
     "profile": q_profile,
+    "length_violations": q_length_violations,
+    "cast_rejects": q_cast_rejects,
     "snapshot_restore": snapshot_restore,
     "ordered_listing": ordered_listing,
     "distinct_pairs": distinct_pairs,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # File naming of the daily source documents: <prefix><yyyyMMdd><suffix>.
-DEFAULT_PREFIX = "pokemon_data_"
+DEFAULT_PREFIX = "card_data_"
 DEFAULT_SUFFIX = ".json"
 
 

@@ -25,11 +25,11 @@ def test_digits_from_code(spark):
 
 
 def test_repair_timestamp_and_dates(spark):
-    df = spark.createDataFrame([("018/03/04 10:35:00",), ("2018/03/04 10:35:00",), (None,)], "t string")
+    df = spark.createDataFrame([("019/07/21 16:05:09",), ("2019/07/21 16:05:09",), (None,)], "t string")
     got = [r[0] for r in df.select(sf.repair_timestamp("t")).collect()]
-    assert got[0] == dt.datetime(2018, 3, 4, 10, 35) and got[1] == dt.datetime(2018, 3, 4, 10, 35) and got[2] is None
-    d = spark.createDataFrame([("2010/11/03",), ("bad",)], "t string").select(sf.parse_date("t")).collect()
-    assert d[0][0] == dt.date(2010, 11, 3) and d[1][0] is None
+    assert got[0] == dt.datetime(2019, 7, 21, 16, 5, 9) and got[1] == dt.datetime(2019, 7, 21, 16, 5, 9) and got[2] is None
+    d = spark.createDataFrame([("2013/02/27",), ("bad",)], "t string").select(sf.parse_date("t")).collect()
+    assert d[0][0] == dt.date(2013, 2, 27) and d[1][0] is None
 
 
 def test_blank_and_labels(spark):

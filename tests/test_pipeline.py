@@ -27,10 +27,10 @@ def test_bronze_silver_gold(spark, cards_file, tmp_root):
     # an attack with an empty cost vanishes
     assert s("card_attacks").where(F.col("card_id") == "set1-2").count() == 0
 
-    assert _rows(s("card_weaknesses").where("card_id = 'set1-1'"), "weakness_type", "weakness_value") == [("fire", "×2")]
+    assert _rows(s("card_weaknesses").where("card_id = 'set1-1'"), "weakness_type", "weakness_value") == [("fire", "×3")]
     assert s("card_retreat_cost").where("card_id = 'set1-1'").count() == 4
     assert _rows(s("card_types").where("card_id = 'set1-1'"), "type") == [("metal",)]
-    assert _rows(s("card_national_pokedex_numbers").where("card_id = 'set1-1'"), "national_pokedex_number") == [(306,)]
+    assert _rows(s("card_national_pokedex_numbers").where("card_id = 'set1-1'"), "national_pokedex_number") == [(411,)]
 
     legal = dict(_rows(s("card_legalities"), "card_id", "legality"))
     assert legal == {"set1-1": "Unlimited Only", "set1-2": "Standard+", "set1-3": "n/a"}
@@ -40,15 +40,15 @@ def test_bronze_silver_gold(spark, cards_file, tmp_root):
     assert cs["set1-1"]["set_card_number"] == 1
     assert cs["set1-2"]["set_card_number"] == 12
     assert cs["set1-3"]["set_card_number"] == 0
-    assert str(cs["set1-2"]["set_update_date"]) == "2018-03-04 11:00:00"
-    assert str(cs["set1-1"]["set_release_date"]) == "2010-11-03"
+    assert str(cs["set1-2"]["set_update_date"]) == "2019-06-02 09:00:00"
+    assert str(cs["set1-1"]["set_release_date"]) == "2012-05-14"
     assert sorted(r["row_number"] for r in cs.values()) == [1, 2, 3]
 
     tcg = s("mkt_tcgplayer")
     rows = {(r["card_id"], r["printing_finish_rarity"]): r for r in tcg.collect()}
     assert ("set1-3", "normal") not in rows  # 2025-12-01 is older than 20 days
-    assert rows[("set1-1", "holofoil")]["market_price"] == 4.62
-    assert rows[("set1-1", "holofoil")]["date_id"] == 20260108
+    assert rows[("set1-1", "holofoil")]["market_price"] == 3.75
+    assert rows[("set1-1", "holofoil")]["date_id"] == 20260111
     assert rows[("set1-2", "normal")]["market_price"] == 2.0  # midpoint fallback
     assert rows[("set1-2", "newFinish")]["market_price"] is None
 
@@ -63,7 +63,7 @@ def test_bronze_silver_gold(spark, cards_file, tmp_root):
 
     ex = {r["card_id"]: r for r in s("card_extras_flattened").collect()}
     assert ex["set1-1"]["subtype_list"] == "stage 2"
-    assert ex["set1-1"]["pokedex_list"] == "306"
+    assert ex["set1-1"]["pokedex_list"] == "411"
 
     g = lambda n: read_table(spark, layer_path(root, "gold", n))
     assert g("dim_dates").count() == 18628
