@@ -53,11 +53,13 @@ def hierarchy_tier(df: DataFrame, node: str, parent: str, max_depth: int | None
         seen = levels[0].select("node")
         for lv in levels[1:]:
             seen = seen.unionByName(lv.select("node"))
+        # Anti-join first: its output is already hash-partitioned by node, so the distinct
+        # that follows needs no further shuffle.
         nxt = (frontier.join(linked, frontier["node"] == linked["parent"], "inner")
                .select(F.col("child").alias("node"))
-               .distinct()
-               .join(seen, "node", "left_anti"))
-        frontier = nxt.repartition(n, "node").checkpoint(eager=True)
+               .join(seen, "node", "left_anti")
+               .distinct())
+        frontier = nxt.checkpoint(eager=True)
         levels.append(frontier.select("node", F.lit(level).alias(tier_alias)))
     reached = levels[0]
     for lv in levels[1:]:

@@ -207,11 +207,16 @@ def mkt_cardmarket(bronze: DataFrame) -> DataFrame:
                        *CARDMARKET_PRICE_NAMES.values(), "card_url")
 
 
-def card_main_info(bronze: DataFrame, card_set_df: DataFrame) -> DataFrame:
+def evolution_tiers(bronze: DataFrame) -> DataFrame:
+    """H1 over the distinct (name, evolves_from) pairs: lowest tier per name."""
+    names = bronze.select("name", "evolves_from").distinct()
+    return hierarchy_tier(names, "name", "evolves_from", tier_alias="evolution_tier")
+
+
+def card_main_info(bronze: DataFrame, card_set_df: DataFrame, tiers: DataFrame | None = None) -> DataFrame:
     """D9 = H1 + J3 + W3: main attributes with the lowest evolution tier of the card's name
     and the set card number."""
-    names = bronze.select("name", "evolves_from").distinct()
-    tiers = hierarchy_tier(names, "name", "evolves_from", tier_alias="evolution_tier")
+    tiers = evolution_tiers(bronze) if tiers is None else tiers
     base = bronze.select(F.col("id").alias("card_id"), "name", "supertype", "hp", "artist", "rarity", "flavor_text")
     numbers = card_set_df.select("card_id", "set_card_number")
     j = base.join(tiers, "name", "left").join(numbers, "card_id", "left")
@@ -254,9 +259,10 @@ def build_silver(bronze: DataFrame, as_of: _dt.datetime, numbering: str = "range
     return out
 
 
-def build_silver_dependent(bronze: DataFrame, silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def build_silver_dependent(bronze: DataFrame, silver: dict[str, DataFrame],
+                           tiers: DataFrame | None = None) -> dict[str, DataFrame]:
     """The two silver tables that read other silver tables (written after them)."""
-    main = card_main_info(bronze, silver["card_set"])
+    main = card_main_info(bronze, silver["card_set"], tiers)
     extras = card_extras_flattened(main, silver["card_subtypes"], silver["card_types"], silver["card_weaknesses"],
                                    silver["card_resistances"], silver["card_national_pokedex_numbers"])
     return {"card_main_info": main, "card_extras_flattened": extras}

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +18,7 @@ from strata.operators import RunAudit
 from strata.plans import cards
 from strata.sources import (append_table, create_if_absent, dated_path, layer_path, publish_versions, read_table,
                             replace_table)
+from strata.sources.tables import version_path
 from strata.session import ensure_checkpoint_dir, spread
 
 
@@ -30,24 +32,35 @@ def load_bronze(spark: SparkSession, root: str, source: str | list[str], as_of:
 
 
 def load_silver(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunAudit | None = None,
-                numbering: str = "range") -> dict[str, DataFrame]:
+                numbering: str = "range", parallel: int = 4) -> dict[str, DataFrame]:
+    """Write the 15 silver tables as new versions, then publish them together.
+
+    The 13 tables that read only bronze are independent jobs: they are submitted from a small
+    thread pool so their scheduling overlaps (Spark runs concurrent jobs of one session), and
+    the hierarchy tiers for ``card_main_info`` are computed alongside them.
+    """
     bronze = read_table(spark, layer_path(root, "bronze", "cards_json_raw"))
-    written: dict[str, int] = {}
     first = cards.build_silver(bronze, as_of, numbering)
-    for name, df in first.items():
-        path = layer_path(root, "silver", name)
+    paths = {name: layer_path(root, "silver", name) for name in [*first, "card_main_info", "card_extras_flattened"]}
+
+    def write_one(name: str, df: DataFrame) -> int:
         sort = ["set_id"] if name == "card_set" else []
-        written[path] = _write(audit, f"silver.{name}", df,
-                               lambda d, p=path, s=sort: replace_table(d, p, sort_within=s, publish=False))
+        return _write(audit, f"silver.{name}", df,
+                      lambda d: replace_table(d, paths[name], sort_within=sort, publish=False))
+
+    written: dict[str, int] = {}
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        tiers_job = pool.submit(cards.evolution_tiers, bronze)
+        jobs = {name: pool.submit(write_one, name, df) for name, df in first.items()}
+        for name, job in jobs.items():
+            written[name] = job.result()
+        tiers = tiers_job.result()
     # Dependent tables read the freshly written (not yet published) versions.
-    fresh = {name: spark.read.parquet(f"{layer_path(root, 'silver', name)}/v={written[layer_path(root, 'silver', name)]:06d}")
-             for name in first}
-    for name, df in cards.build_silver_dependent(bronze, fresh).items():
-        path = layer_path(root, "silver", name)
-        written[path] = _write(audit, f"silver.{name}", df, lambda d, p=path: replace_table(d, p, publish=False))
-    publish_versions(spark, written)
-    return {name: read_table(spark, layer_path(root, "silver", name)) for name in [*first, "card_main_info",
-                                                                                  "card_extras_flattened"]}
+    fresh = {name: spark.read.parquet(version_path(paths[name], written[name])) for name in first}
+    for name, df in cards.build_silver_dependent(bronze, fresh, tiers).items():
+        written[name] = write_one(name, df)
+    publish_versions(spark, {paths[n]: v for n, v in written.items()})
+    return {name: read_table(spark, path) for name, path in paths.items()}
 
 
 def load_gold(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunAudit | None = None) -> None:
