@@ -49,7 +49,7 @@ sk AS (SELECT p_brand, row_number() OVER (ORDER BY p_brand) AS set_key FROM (SEL
 ORACLE_SQL: dict[str, str] = {
     "json_typed_fields": """
 SELECT event_type, count(*) AS n_events, count(k) AS n_k, CAST(sum(k) AS BIGINT) AS sum_k, max(k) AS max_k,
-       round(avg(value), 6) AS avg_value
+       round(sum(CAST(round(value * 100) AS BIGINT)) / count(*) / 100.0, 6) AS avg_value
 FROM (SELECT event_type, value, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
 GROUP BY event_type""",
 
@@ -279,11 +279,13 @@ SELECT p_partkey, code FROM s WHERE code IS NOT NULL AND t <> '' AND TRY_CAST(t
 
     "profile": f"""
 WITH t AS (SELECT c_name, {_SEGMENT} AS c_mktsegment FROM customer)
-SELECT 'c_name' AS column_name, count(*) AS n_rows, count_if(c_name IS NULL) AS n_null,
-       count_if(trim(c_name) <> c_name) AS n_untrimmed, count_if(trim(c_name) = '') AS n_blank FROM t
+SELECT 'c_name' AS column_name, count(*) AS n_rows, CAST(count_if(c_name IS NULL) AS BIGINT) AS n_null,
+       CAST(count_if(trim(c_name) <> c_name) AS BIGINT) AS n_untrimmed,
+       CAST(count_if(trim(c_name) = '') AS BIGINT) AS n_blank FROM t
 UNION ALL
-SELECT 'c_mktsegment', count(*), count_if(c_mktsegment IS NULL), count_if(trim(c_mktsegment) <> c_mktsegment),
-       count_if(trim(c_mktsegment) = '') FROM t""",
+SELECT 'c_mktsegment', count(*), CAST(count_if(c_mktsegment IS NULL) AS BIGINT),
+       CAST(count_if(trim(c_mktsegment) <> c_mktsegment) AS BIGINT), CAST(count_if(trim(c_mktsegment) = '') AS BIGINT)
+FROM t""",
 
     "snapshot_restore": """
 SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, c.c_name, c.c_mktsegment

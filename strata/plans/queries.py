@@ -54,7 +54,9 @@ def json_typed_fields(spark, sf_dir):
     return (parsed.withColumn("k", k).groupBy("event_type")
             .agg(F.count(F.lit(1)).alias("n_events"), F.count("k").alias("n_k"),
                  F.sum("k").cast("long").alias("sum_k"), F.max("k").alias("max_k"),
-                 F.round(F.avg("value"), 6).alias("avg_value")))
+                 # Average from exact integer cents, so every engine divides the same integers.
+                 F.round(F.sum(F.round(F.col("value") * 100).cast("long")) / F.count(F.lit(1)) / F.lit(100.0), 6)
+                 .alias("avg_value")))
 
 
 def _facets_json(li: DataFrame) -> DataFrame:
