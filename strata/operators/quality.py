@@ -50,8 +50,12 @@ def cast_rejects(df: DataFrame, col: str | Column, dtype: str, converted: Column
 
 
 def enforce(df: DataFrame, violation: Column, message: str) -> DataFrame:
-    """Strict mode: fail the job when any row violates (checked on the executors)."""
-    return df.withColumn("__check", F.when(violation, F.raise_error(F.lit(message)))).drop("__check")
+    """Strict mode: fail the job when any row violates (checked on the executors).
+
+    The check is a filter predicate, so the optimizer cannot prune it away as it would an
+    unused column.
+    """
+    return df.where(F.when(violation, F.raise_error(F.lit(message))).otherwise(F.lit(True)))
 
 
 def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:

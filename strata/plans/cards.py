@@ -20,7 +20,7 @@ from strata import functions as sf
 from strata.operators import (child_counts, count_within, date_dimension, explode_entries, explode_objects,
                               explode_scalars, flat_lists, flatten_struct, fresh_since, hierarchy_tier,
                               keep_one, merge_type1, new_facts, number_within, split_null_grain)
-from strata.sources import read_json_documents
+from strata.sources import raw_json_columns, read_json_documents
 
 S, I, D = T.StringType(), T.IntegerType(), T.DoubleType()
 
@@ -81,8 +81,34 @@ def bronze_from_documents(docs: DataFrame, as_of: _dt.datetime) -> DataFrame:
     return docs.select(*cols, load_date.alias("load_date"))
 
 
-def read_bronze(spark: SparkSession, path: str | list[str], as_of: _dt.datetime, multi_line: bool = True) -> DataFrame:
-    return bronze_from_documents(read_json_documents(spark, path, CARD_SCHEMA, multi_line=multi_line), as_of)
+def read_bronze(spark: SparkSession, path: str | list[str], as_of: _dt.datetime, multi_line: bool = True,
+                raw: bool = False) -> DataFrame:
+    """Bronze from the day's document. ``raw=True`` keeps the 13 nested fields as JSON text, as
+    the source's bronze table does; silver accepts either layout (see ``as_typed``)."""
+    schema = raw_json_columns(CARD_SCHEMA, RAW_JSON_FIELDS) if raw else CARD_SCHEMA
+    return bronze_from_documents(read_json_documents(spark, path, schema, multi_line=multi_line), as_of)
+
+
+# The nested fields the source keeps as JSON text in bronze (arrays and objects).
+RAW_JSON_FIELDS = {"subtypes", "types", "attacks", "weaknesses", "resistances", "retreatCost",
+                   "nationalPokedexNumbers", "set", "abilities", "legalities", "images", "tcgplayer", "cardmarket"}
+
+
+def as_typed(bronze: DataFrame) -> DataFrame:
+    """Parse raw JSON text columns with their declared types (a no-op on typed bronze).
+
+    On raw bronze each silver query parses only the columns it reads; persisting typed bronze
+    (what ``pipeline.load_bronze`` writes) parses each document once.
+    """
+    declared = {BRONZE_RENAMES.get(f.name, f.name): f.dataType for f in CARD_SCHEMA.fields}
+    cols = []
+    for f in bronze.schema.fields:
+        target = declared.get(f.name)
+        if target is not None and isinstance(f.dataType, T.StringType) and not isinstance(target, T.StringType):
+            cols.append(F.from_json(F.col(f.name), target).alias(f.name))
+        else:
+            cols.append(F.col(f.name))
+    return bronze.select(*cols)
 
 
 # ----------------------------------------------------------------------------- silver
@@ -240,7 +266,8 @@ def card_extras_flattened(main: DataFrame, subtypes: DataFrame, types: DataFrame
 
 
 def build_silver(bronze: DataFrame, as_of: _dt.datetime, numbering: str = "range") -> dict[str, DataFrame]:
-    """All 15 silver tables (lazy), in dependency order."""
+    """The 13 silver tables that read only bronze (lazy, except the checkpointed numbering)."""
+    bronze = as_typed(bronze)
     out: dict[str, DataFrame] = {
         "card_attacks": card_attacks(bronze),
         "card_weaknesses": card_weaknesses(bronze),
@@ -262,6 +289,7 @@ def build_silver(bronze: DataFrame, as_of: _dt.datetime, numbering: str = "range
 def build_silver_dependent(bronze: DataFrame, silver: dict[str, DataFrame],
                            tiers: DataFrame | None = None) -> dict[str, DataFrame]:
     """The two silver tables that read other silver tables (written after them)."""
+    bronze = as_typed(bronze)
     main = card_main_info(bronze, silver["card_set"], tiers)
     extras = card_extras_flattened(main, silver["card_subtypes"], silver["card_types"], silver["card_weaknesses"],
                                    silver["card_resistances"], silver["card_national_pokedex_numbers"])

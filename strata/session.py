@@ -22,6 +22,8 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Remove checkpoint files once their DataFrames are garbage-collected on the driver.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -88,3 +88,13 @@ def test_bronze_schema_keeps_text_fields(spark, cards_file):
     b = cards.read_bronze(spark, cards_file, AS_OF)
     assert "evolves_from" in b.columns and "load_date" in b.columns
     assert b.where("id = 'set1-1'").select("hp").first()[0] == "140"
+
+
+def test_raw_text_bronze_gives_same_silver(spark, cards_file):
+    typed = cards.read_bronze(spark, cards_file, AS_OF)
+    raw = cards.read_bronze(spark, cards_file, AS_OF, raw=True)
+    assert dict(raw.dtypes)["attacks"] == "string" and dict(typed.dtypes)["attacks"] != "string"
+    a = cards.build_silver(typed, AS_OF, numbering="window")
+    b = cards.build_silver(raw, AS_OF, numbering="window")
+    for name in a:
+        assert sorted(map(tuple, a[name].collect())) == sorted(map(tuple, b[name].collect())), name
