@@ -63,9 +63,11 @@ def digits_from_code(c: Column | str, strip: str = CODE_STRIP_CHARS) -> Column:
 
 
 def _parse_ntz(text: Column, fmt: str) -> Column:
-    # try_to_timestamp yields NULL for malformed text; the cast keeps the wall-clock value
-    # because both directions use the session time zone.
-    return F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
+    # to_timestamp_ntz keeps the wall-clock value in every session time zone (no daylight-saving
+    # gap shifts) but raises on malformed text under ANSI, so it only runs once try_to_timestamp
+    # has accepted the text; CASE evaluates the branch lazily.
+    ok = F.try_to_timestamp(text, F.lit(fmt)).isNotNull()
+    return F.when(ok, F.to_timestamp_ntz(text, F.lit(fmt)))
 
 
 def repair_timestamp(c: Column | str, fmt: str = SOURCE_TS_FORMAT, length: int = 19,

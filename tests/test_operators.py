@@ -172,3 +172,13 @@ def test_quality(spark):
     assert null_violations(df, ["s"]).count() == 1
     p = profile(df, ["s"]).first()
     assert (p["n_rows"], p["n_null"], p["n_untrimmed"], p["n_blank"]) == (3, 1, 1, 1)
+
+
+def test_parse_keeps_wall_clock_in_any_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2026/03/08 02:30:00",), ("bad",)], "t string")
+        got = [r[0] for r in df.select(sf.parse_timestamp("t")).collect()]
+        assert got == [dt.datetime(2026, 3, 8, 2, 30), None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
