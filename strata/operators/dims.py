@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.session import ensure_checkpoint_dir
+from strata.session import ensure_checkpoint_dir, working_partitions
 
 
 def dense_numbering(keys: DataFrame, order: Sequence[str], alias: str, start: int | None = 0,
@@ -25,7 +25,7 @@ def dense_numbering(keys: DataFrame, order: Sequence[str], alias: str, start: in
     """
     spark = keys.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or working_partitions(spark)
     ranged = (keys.repartitionByRange(n, *order)
               .sortWithinPartitions(*order)
               .withColumn("__pid", F.spark_partition_id())

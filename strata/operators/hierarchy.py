@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.session import ensure_checkpoint_dir
+from strata.session import ensure_checkpoint_dir, working_partitions
 
 
 class HierarchyDepthError(RuntimeError):
@@ -32,7 +32,7 @@ def hierarchy_tier(df: DataFrame, node: str, parent: str, max_depth: int | None
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or working_partitions(spark)
     edges = (df.select(F.col(node).alias("child"), F.col(parent).alias("parent"))
              .where(F.col("child").isNotNull())
              .distinct())

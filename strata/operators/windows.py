@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.session import ensure_checkpoint_dir
+from strata.session import ensure_checkpoint_dir, working_partitions
 
 
 def _cols(x: str | Sequence[str]) -> list[str]:
@@ -102,7 +102,7 @@ def number_within(df: DataFrame, keys: str | Sequence[str], order: Sequence[str]
         return df.withColumn(alias, F.row_number().over(w))
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or working_partitions(spark)
     # Range partitions are contiguous in (keys, order): partition p holds an ordered slice.
     sorted_df = (df.repartitionByRange(n, *keys, *order)
                  .sortWithinPartitions(*keys, *order)

@@ -99,3 +99,11 @@ def spread(df, min_partitions: int | None = None):
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+def working_partitions(spark: SparkSession) -> int:
+    """Partition count for explicit repartitions (which AQE does not coalesce): the session's
+    shuffle partitions, capped at four tasks per core so small jobs are not split into hundreds
+    of tiny tasks."""
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(shuffle, 4 * spark.sparkContext.defaultParallelism))

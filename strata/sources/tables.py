@@ -112,6 +112,11 @@ def append_table(df: DataFrame, table_dir: str, partition_by: Sequence[str] = ()
     for name, value in (defaults or {}).items():
         if name not in df.columns:
             df = df.withColumn(name, value if hasattr(value, "_jc") else F.lit(value))
+    if partition_by:
+        # REBALANCE: AQE groups rows by partition value into evenly sized tasks, splitting a
+        # hot value over several files and merging small ones, so daily appends do not
+        # scatter small files into every partition.
+        df = df.hint("rebalance", *partition_by)
     out = df.sortWithinPartitions(*sort_within) if sort_within else df
     w = out.write.mode("append")
     if partition_by:
