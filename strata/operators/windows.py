@@ -20,14 +20,6 @@ def _cols(x: str | Sequence[str]) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def count_within(df: DataFrame, keys: str | Sequence[str], counted: str, alias: str) -> DataFrame:
     """``COUNT(counted) OVER (PARTITION BY keys)`` on every row, rows not collapsed.
 

@@ -317,8 +317,10 @@ def dim_cards(main: DataFrame, legalities: DataFrame, attacks: DataFrame, abilit
               load_ts: _dt.datetime) -> DataFrame:
     """Main info + legality + attack/ability counts + set key, merged type 1 (``card_key``)."""
     set_keys = card_set_df.select("card_id", "set_id").join(sets_dim.select("set_id", "set_key"), "set_id", "left")
-    base = (main.join(legalities.select("card_id", "legality").dropDuplicates(["card_id"]), "card_id", "left")
-            .join(set_keys.select("card_id", "set_key").dropDuplicates(["card_id"]), "card_id", "left"))
+    # One legality and one set per card, chosen deterministically if a card arrived twice.
+    legal = keep_one(legalities.select("card_id", "legality"), "card_id", ["legality"], latest=False)
+    one_set = keep_one(set_keys.select("card_id", "set_key"), "card_id", ["set_key"], latest=False)
+    base = main.join(legal, "card_id", "left").join(one_set, "card_id", "left")
     counted = child_counts(base, "card_id", {
         "number_of_attacks": (attacks, "attack_name", True),
         "number_of_abilities": (abilities, None, False),
@@ -334,7 +336,8 @@ def dim_cards(main: DataFrame, legalities: DataFrame, attacks: DataFrame, abilit
 def dim_cards_extra_info(extras: DataFrame, images: DataFrame, cards_dim: DataFrame,
                          target: DataFrame | None) -> DataFrame:
     """The flattened lists and image URLs, keyed by ``card_key``."""
-    src = (extras.join(images.dropDuplicates(["card_id"]), "card_id", "left")
+    one_image = keep_one(images, "card_id", ["small_image_url", "large_image_url"], latest=False)
+    src = (extras.join(one_image, "card_id", "left")
            .join(cards_dim.select("card_id", "card_key"), "card_id", "inner")
            .select("card_key", "subtype_list", "type_list", "resistances_list", "weaknesses_list", "pokedex_list",
                    "small_image_url", "large_image_url"))
