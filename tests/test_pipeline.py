@@ -98,3 +98,43 @@ def test_raw_text_bronze_gives_same_silver(spark, cards_file):
     b = cards.build_silver(raw, AS_OF, numbering="window")
     for name in a:
         assert sorted(map(tuple, a[name].collect())) == sorted(map(tuple, b[name].collect())), name
+
+
+def test_two_days_type1_and_history(spark, tmp_root):
+    import datetime as dt
+    import json
+
+    from conftest import _card, make_cards
+    landing = os.path.join(tmp_root, "landing2")
+    os.makedirs(landing)
+    day1 = make_cards()
+    with open(os.path.join(landing, "card_data_20260120.json"), "w") as fh:
+        json.dump(day1, fh)
+    root = os.path.join(tmp_root, "lake2")
+    as_of1 = dt.datetime(2026, 1, 20, 12, 0)
+    pipeline.run(spark, root, as_of1, landing_dir=landing)
+    g = lambda n: read_table(spark, layer_path(root, "gold", n))
+    keys1 = {r["card_id"]: r["card_key"] for r in g("dim_cards").collect()}
+    facts1 = g("fact_hst_tcg_data").count()
+
+    # Day 2: one card changes rarity, one disappears, one is new; prices move a day on.
+    day2 = [c for c in make_cards() if c["id"] != "set2-1"]
+    day2[0]["rarity"] = "Secret"
+    day2[0]["tcgplayer"]["updatedAt"] = "2026/01/12"
+    day2.append(_card("set1-9", "Newcomer", None))
+    with open(os.path.join(landing, "card_data_20260121.json"), "w") as fh:
+        json.dump(day2, fh)
+    as_of2 = dt.datetime(2026, 1, 21, 12, 0)
+    pipeline.run(spark, root, as_of2, landing_dir=landing)
+    dim = {r["card_id"]: r for r in g("dim_cards").collect()}
+    assert {k: dim[k]["card_key"] for k in keys1} == keys1          # keys never change
+    assert dim["set1-9"]["card_key"] == max(keys1.values()) + 1      # new card: next key
+    assert "set2-1" in dim                                          # discontinued card kept
+    assert dim["set1-1"]["set_card_rarity"] == "secret"             # type-1 overwrite
+    assert dim["set1-1"]["load_time_stamp"] == as_of2
+    assert dim["set2-1"]["load_time_stamp"] == as_of1
+    fact = g("fact_hst_tcg_data")
+    # New: set1-1 on 2026-01-12 (2 finishes) and set1-9 on 2026-01-11 (2 finishes); the
+    # unchanged days of set1-2 are already stored and are not added again.
+    assert fact.count() == facts1 + 4
+    assert fact.groupBy("date_id", "card_key", "printing_finish_rarity").count().where("count > 1").count() == 0
