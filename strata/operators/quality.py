@@ -112,10 +112,21 @@ class RunAudit:
             self._add(name, start, t0, "failed", None, str(exc)[:1000])
             self.flush()
             raise
-        rows = int(_obs.get.get("rows", 0)) if _obs is not None else None
-        self._add(name, start, t0, "succeeded", rows, None)
+        self._add(name, start, t0, "succeeded", self._observed_rows(_obs), None)
         return result
 
+    @staticmethod
+    def _observed_rows(obs: Observation | None) -> int | None:
+        # The count is audit metadata: if the metric cannot be read (it can be missing when
+        # jobs of one session run concurrently), record NULL rather than fail the load.
+        if obs is None:
+            return None
+        try:
+            value = obs.get.get("rows")
+        except Exception:
+            return None
+        return int(value) if value is not None else None
+
     def write(self, name: str, df: DataFrame, writer):
         """Run ``writer(df)`` as a step, counting the rows it writes as a side metric."""
         observed, obs = self.observe(df, name.replace(".", "_"))
