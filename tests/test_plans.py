@@ -54,3 +54,18 @@ def test_bounded_date_dimension_is_broadcast(spark):
     text = plan(Q.incremental_fact(spark, SF_SMALL))
     assert "BroadcastHashJoin" in text
     assert "LeftAnti" in text
+
+
+def test_hot_key_spread_over_tasks(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql import Window
+    from strata.operators import number_within
+    rows = [(0 if i % 3 == 0 else i, i) for i in range(3000)]  # key 0 holds a third of the rows
+    df = spark.createDataFrame(rows, "g int, t int")
+    # The range partitioning that number_within uses splits the hot key over several tasks ...
+    ranged = df.repartitionByRange(8, "g", "t").withColumn("pid", F.spark_partition_id())
+    assert ranged.where("g = 0").select("pid").distinct().count() > 1
+    # ... and the numbers still equal a single-group ROW_NUMBER.
+    ours = number_within(df, "g", ["t"], alias="rn", num_partitions=8).where("g = 0")
+    ref = df.where("g = 0").withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("t")))
+    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, ref.collect()))
