@@ -5,7 +5,7 @@ silver  : 15 relational tables shredded from bronze (full refresh)
 gold    : dim_dates, dim_card_sets, dim_cards, dim_cards_extra_info (type-1 merges with
           surrogate keys) and fact_hst_tcg_data (append-only daily prices, idempotent)
 
-Every builder is ``DataFrame -> DataFrame`` and lazy; ``strata.plans.pipeline`` writes them.
+Every builder is ``DataFrame -> DataFrame`` and lazy; ``strata.plans.loads`` writes them.
 """
 
 from __future__ import annotations
@@ -98,7 +98,7 @@ def as_typed(bronze: DataFrame) -> DataFrame:
     """Parse raw JSON text columns with their declared types (a no-op on typed bronze).
 
     On raw bronze each silver query parses only the columns it reads; persisting typed bronze
-    (what ``pipeline.load_bronze`` writes) parses each document once.
+    (what ``loads.load_bronze`` writes) parses each document once.
     """
     declared = {BRONZE_RENAMES.get(f.name, f.name): f.dataType for f in CARD_SCHEMA.fields}
     cols = []

@@ -301,7 +301,7 @@ SELECT DISTINCT n.n_name, n.n_regionkey FROM supplier s JOIN nation n ON s.s_nat
     "landing_dedupe": """
 SELECT event_id, ts, user_id, event_type, value, props FROM events""",
 
-    "card_pipeline_fact": f"""
+    "card_load_fact": f"""
 WITH agg AS (SELECT l_partkey, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, count(*) AS n,
                     max(l_discount) AS md, min(l_tax) AS tlo, max(l_tax) AS thi, min(l_quantity) AS qmin
              FROM lineitem GROUP BY l_partkey),
@@ -317,7 +317,7 @@ SELECT ck.card_key, sk.set_key, {_date_id('r.upd')} AS date_id, r.upd AS full_da
        TIMESTAMP '2026-01-20 12:00:00' AS log_created
 FROM r JOIN ck ON ck.p_partkey = r.p_partkey JOIN sk ON sk.p_brand = ck.p_brand""",
 
-    "card_pipeline_dims": f"""
+    "card_load_dims": f"""
 WITH RECURSIVE nodes AS (
   SELECT DISTINCT 'n' || CAST(p_partkey AS VARCHAR) AS name,
          CASE WHEN p_partkey = 0 THEN NULL
@@ -342,7 +342,7 @@ SELECT ck.card_key, sk.set_key, ck.card_id, 'n' || CAST(ck.p_partkey AS VARCHAR)
        CAST(ck.p_size * 10 AS INTEGER) AS hp
 FROM ck JOIN sk ON sk.p_brand = ck.p_brand LEFT JOIN best b ON b.name = 'n' || CAST(ck.p_partkey AS VARCHAR)""",
 
-    "card_pipeline_extras": f"""
+    "card_load_extras": f"""
 WITH {_CARD_KEYS.strip()}
 SELECT ck.card_key, lower(ck.p_type) AS subtype_list,
        lower(split_part(ck.p_name, ' ', 1)) || ', ' || lower(split_part(ck.p_name, ' ', 2)) AS type_list,

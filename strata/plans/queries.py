@@ -508,25 +508,25 @@ def stream_daily(spark, sf_dir):
 
 # ----------------------------------------------------------------------------- the card pipeline
 
-_PIPELINE_RUNS: dict[tuple[str, str], str] = {}
+_LOAD_RUNS: dict[tuple[str, str], str] = {}
 
 
 def _card_lake(spark, sf_dir) -> str:
     """Run bronze -> silver -> gold once per (application, tables) over card documents derived
     from ``part``/``lineitem``; later queries read the written tables."""
-    from strata.plans import pipeline
+    from strata.plans import loads
     from strata.plans.card_docs import DOC_AS_OF, write_card_documents
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _PIPELINE_RUNS:
+    if key not in _LOAD_RUNS:
         landing = write_card_documents(spark, table(spark, sf_dir, "part"), table(spark, sf_dir, "lineitem"),
                                        scratch_path(spark, "card-landing"))
         root = scratch_path(spark, "card-lake")
-        pipeline.run(spark, root, DOC_AS_OF, source=landing, multi_line=False)
-        _PIPELINE_RUNS[key] = root
-    return _PIPELINE_RUNS[key]
+        loads.run(spark, root, DOC_AS_OF, source=landing, multi_line=False)
+        _LOAD_RUNS[key] = root
+    return _LOAD_RUNS[key]
 
 
-def card_pipeline_fact(spark, sf_dir):
+def card_load_fact(spark, sf_dir):
     """X2/D8 end to end: the daily price fact after the full bronze/silver/gold load."""
     from strata.sources import layer_path, read_table
     root = _card_lake(spark, sf_dir)
@@ -535,7 +535,7 @@ def card_pipeline_fact(spark, sf_dir):
                        "highest_price", "lowest_price", "log_created")
 
 
-def card_pipeline_dims(spark, sf_dir):
+def card_load_dims(spark, sf_dir):
     """D4/D9/A3/F5/F9 end to end: the card dimension after the full load."""
     from strata.sources import layer_path, read_table
     root = _card_lake(spark, sf_dir)
@@ -545,7 +545,7 @@ def card_pipeline_dims(spark, sf_dir):
                       "hp")
 
 
-def card_pipeline_extras(spark, sf_dir):
+def card_load_extras(spark, sf_dir):
     """D6/D10 end to end: flattened lists and images per card key."""
     from strata.sources import layer_path, read_table
     root = _card_lake(spark, sf_dir)
@@ -589,7 +589,7 @@ QUERIES = {
     "distinct_pairs": distinct_pairs,
     "landing_dedupe": landing_dedupe,
     "stream_daily": stream_daily,
-    "card_pipeline_fact": card_pipeline_fact,
-    "card_pipeline_dims": card_pipeline_dims,
-    "card_pipeline_extras": card_pipeline_extras,
+    "card_load_fact": card_load_fact,
+    "card_load_dims": card_load_dims,
+    "card_load_extras": card_load_extras,
 }

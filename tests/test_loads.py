@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from conftest import AS_OF
-from strata.plans import cards, pipeline
+from strata.plans import cards, loads
 from strata.sources import layer_path, read_table
 
 
@@ -15,7 +15,7 @@ def _rows(df, *cols):
 
 def test_bronze_silver_gold(spark, cards_file, tmp_root):
     root = os.path.join(tmp_root, "lake")
-    audit = pipeline.run(spark, root, AS_OF, source=cards_file)
+    audit = loads.run(spark, root, AS_OF, source=cards_file)
     assert {r["status"] for r in audit.frame().collect()} == {"succeeded"}
     s = lambda n: read_table(spark, layer_path(root, "silver", n))
 
@@ -76,7 +76,7 @@ def test_bronze_silver_gold(spark, cards_file, tmp_root):
     assert n1 == 6  # set1-1 x2, set1-2 x2, set2-1 x2
 
     # Re-running the same day adds no fact rows; keys stay stable.
-    pipeline.run(spark, root, AS_OF, source=cards_file)
+    loads.run(spark, root, AS_OF, source=cards_file)
     assert g("fact_hst_tcg_data").count() == n1
     dc2 = {r["card_id"]: r["card_key"] for r in g("dim_cards").collect()}
     assert dc2 == {k: v["card_key"] for k, v in dc.items()}
@@ -112,7 +112,7 @@ def test_two_days_type1_and_history(spark, tmp_root):
         json.dump(day1, fh)
     root = os.path.join(tmp_root, "lake2")
     as_of1 = dt.datetime(2026, 1, 20, 12, 0)
-    pipeline.run(spark, root, as_of1, landing_dir=landing)
+    loads.run(spark, root, as_of1, landing_dir=landing)
     g = lambda n: read_table(spark, layer_path(root, "gold", n))
     keys1 = {r["card_id"]: r["card_key"] for r in g("dim_cards").collect()}
     facts1 = g("fact_hst_tcg_data").count()
@@ -125,7 +125,7 @@ def test_two_days_type1_and_history(spark, tmp_root):
     with open(os.path.join(landing, "card_data_20260121.json"), "w") as fh:
         json.dump(day2, fh)
     as_of2 = dt.datetime(2026, 1, 21, 12, 0)
-    pipeline.run(spark, root, as_of2, landing_dir=landing)
+    loads.run(spark, root, as_of2, landing_dir=landing)
     dim = {r["card_id"]: r for r in g("dim_cards").collect()}
     assert {k: dim[k]["card_key"] for k in keys1} == keys1          # keys never change
     assert dim["set1-9"]["card_key"] == max(keys1.values()) + 1      # new card: next key
