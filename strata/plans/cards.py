@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import functions as sf
-from strata.operators import (child_counts, count_within, date_dimension, explode_entries, explode_objects,
+from strata.operators import (cast_rejects, child_counts, count_within, length_violations, date_dimension, explode_entries, explode_objects,
                               explode_scalars, flat_lists, flatten_struct, fresh_since, hierarchy_tier,
                               keep_one, merge_type1, new_facts, number_within, split_null_grain)
 from strata.sources import raw_json_columns, read_json_documents
@@ -296,6 +296,47 @@ def build_silver_dependent(bronze: DataFrame, silver: dict[str, DataFrame],
     return {"card_main_info": main, "card_extras_flattened": extras}
 
 
+# ----------------------------------------------------------------------------- quality
+
+# Declared widths of gold text columns (the gold DDL narrows several silver columns).
+GOLD_WIDTHS = {
+    "dim_cards": {"card_id": 50, "card_name": 200, "supertype": 50, "artist": 255, "set_card_rarity": 50,
+                  "legality": 150},
+    "dim_cards_extra_info": {"subtype_list": 50, "type_list": 50, "resistances_list": 50, "weaknesses_list": 50,
+                             "pokedex_list": 50, "small_image_url": 200, "large_image_url": 200},
+    "dim_card_sets": {"set_id": 50, "set_name": 255, "set_series": 255},
+    "fact_hst_tcg_data": {"printing_finish_rarity": 50},
+}
+
+
+def cast_reject_report(bronze: DataFrame) -> DataFrame:
+    """Q4: source values that do not convert (the source database would abort the load).
+
+    One row per rejected value: card id, column and the text that failed.
+    """
+    bronze = as_typed(bronze)
+    hp = cast_rejects(bronze.select(F.col("id").alias("card_id"), F.col("hp").alias("value")), "value", "int")
+    number = bronze.select(F.col("id").alias("card_id"), F.col("number").alias("value"))
+    number = cast_rejects(number, "value", "int", converted=sf.digits_from_code("value"))
+    dex = _scalars(bronze, "national_pokedex_numbers", "value", lower=False)
+    dex = cast_rejects(dex, "value", "int")
+    parts = [hp.select("card_id", F.lit("hp").alias("column_name"), "value"),
+             number.select("card_id", F.lit("number").alias("column_name"), "value"),
+             dex.select("card_id", F.lit("national_pokedex_numbers").alias("column_name"), "value")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def length_report(table: str, df: DataFrame, key: str) -> DataFrame:
+    """Q3: values longer than the gold width (the source database would raise)."""
+    limits = {c: n for c, n in GOLD_WIDTHS[table].items() if c in df.columns}
+    bad = length_violations(df, limits)
+    return bad.select(F.lit(table).alias("table_name"), F.col(key).cast("string").alias("row_key"),
+                      F.array_join("too_long", ",").alias("columns"))
+
+
 # ----------------------------------------------------------------------------- gold
 
 def dim_dates(spark: SparkSession) -> DataFrame:

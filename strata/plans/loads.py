@@ -14,6 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata import functions as sf
 from strata.operators import RunAudit
 from strata.plans import cards
 from strata.sources import (append_table, create_if_absent, dated_path, layer_path, publish_versions, read_table,
@@ -92,6 +93,24 @@ def load_gold(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunAud
            lambda d: append_table(d, fact_path, partition_by=["date_id"], sort_within=["card_key"]))
 
 
+def load_quality(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunAudit | None = None) -> None:
+    """Q3/Q4 reports of the run, appended to ``audit/cast_rejects`` and
+    ``audit/length_violations`` with the run clock (reported, never silently dropped)."""
+    stamp = sf.ts_literal(as_of).alias("run_as_of")
+    bronze = read_table(spark, layer_path(root, "bronze", "cards_json_raw"))
+    casts = cards.cast_reject_report(bronze).select("*", stamp)
+    _write(audit, "quality.cast_rejects", casts,
+           lambda d: append_table(d, layer_path(root, "audit", "cast_rejects")))
+    keys = {"dim_cards": "card_id", "dim_cards_extra_info": "card_key", "dim_card_sets": "set_id",
+            "fact_hst_tcg_data": "card_key"}
+    reports = [cards.length_report(t, read_table(spark, layer_path(root, "gold", t)), k) for t, k in keys.items()]
+    lengths = reports[0]
+    for r in reports[1:]:
+        lengths = lengths.unionByName(r)
+    _write(audit, "quality.length_violations", lengths.select("*", stamp),
+           lambda d: append_table(d, layer_path(root, "audit", "length_violations")))
+
+
 def _write(audit: RunAudit | None, name: str, df: DataFrame, writer):
     return audit.write(name, df, writer) if audit is not None else writer(df)
 
@@ -107,6 +126,7 @@ def run(spark: SparkSession, root: str, as_of: _dt.datetime, source: str | list[
     audit.step("bronze", load_bronze, spark, root, source, as_of, multi_line)
     audit.step("silver", load_silver, spark, root, as_of, audit, numbering)
     audit.step("gold", load_gold, spark, root, as_of, audit)
+    audit.step("quality", load_quality, spark, root, as_of, audit)
     audit.flush()
     return audit
 

@@ -138,3 +138,26 @@ def test_two_days_type1_and_history(spark, tmp_root):
     # unchanged days of set1-2 are already stored and are not added again.
     assert fact.count() == facts1 + 4
     assert fact.groupBy("date_id", "card_key", "printing_finish_rarity").count().where("count > 1").count() == 0
+
+
+def test_quality_reports(spark, tmp_root):
+    import json
+
+    from conftest import _card
+    landing = os.path.join(tmp_root, "landing3")
+    os.makedirs(landing)
+    bad = _card("set9-1", "Oddity", None, hp="abc", number="1a2", nationalPokedexNumbers=["x1", 7],
+                artist="a" * 300)
+    with open(os.path.join(landing, "card_data_20260120.json"), "w") as fh:
+        json.dump([bad, _card("set9-2", "Fine", None)], fh)
+    root = os.path.join(tmp_root, "lake3")
+    loads.run(spark, root, AS_OF, landing_dir=landing)
+    rejects = sorted((r["card_id"], r["column_name"], r["value"])
+                     for r in read_table(spark, layer_path(root, "audit", "cast_rejects")).collect())
+    assert rejects == [("set9-1", "hp", "abc"), ("set9-1", "national_pokedex_numbers", "x1"),
+                       ("set9-1", "number", "1a2")]
+    too_long = [(r["table_name"], r["row_key"], r["columns"])
+                for r in read_table(spark, layer_path(root, "audit", "length_violations")).collect()]
+    assert ("dim_cards", "set9-1", "artist") in too_long
+    main = {r["card_id"]: r for r in read_table(spark, layer_path(root, "silver", "card_main_info")).collect()}
+    assert main["set9-1"]["hp"] is None and main["set9-2"]["hp"] == 140
