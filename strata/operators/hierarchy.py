@@ -53,12 +53,18 @@ def hierarchy_tier(df: DataFrame, node: str, parent: str, max_depth: int | None
         seen = levels[0].select("node")
         for lv in levels[1:]:
             seen = seen.unionByName(lv.select("node"))
-        # Anti-join first: its output is already hash-partitioned by node, so the distinct
-        # that follows needs no further shuffle.
+        seen = seen.withColumn("__seen", F.lit(True))
+        # frontier and linked are both hash-partitioned by the join key into n partitions, so
+        # the level join shuffles neither. The "not reached yet" test is a left join + IS NULL:
+        # written as a left-anti join, Catalyst pushes it below the inner join onto the edge
+        # table, which would then be shuffled twice on every level.
         nxt = (frontier.join(linked, frontier["node"] == linked["parent"], "inner")
                .select(F.col("child").alias("node"))
-               .join(seen, "node", "left_anti")
-               .distinct())
+               .distinct()
+               .join(seen, "node", "left")
+               .where(F.col("__seen").isNull())
+               .select("node")
+               .repartition(n, "node"))
         frontier = nxt.checkpoint(eager=True)
         levels.append(frontier.select("node", F.lit(level).alias(tier_alias)))
     reached = levels[0]
