@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from strata import functions as sf
 from strata.operators import RunAudit
 from strata.plans import cards
-from strata.sources import (append_table, create_if_absent, dated_path, layer_path, publish_versions, read_table,
-                            replace_table)
+from strata.sources import (append_table, create_if_absent, dated_path, land_pages, layer_path, publish_versions,
+                            read_table, replace_table)
 from strata.sources.tables import version_path
 from strata.session import ensure_checkpoint_dir, spread
 
@@ -32,6 +32,19 @@ def load_bronze(spark: SparkSession, root: str, source: str | list[str], as_of:
     return read_table(spark, path)
 
 
+def load_bronze_from_pages(spark: SparkSession, root: str, pages_dir: str, as_of: _dt.datetime,
+                           multi_line: bool = False) -> DataFrame:
+    """S12 + D1: bronze from the extractor's page files (``{"data": [card, ...]}``).
+
+    A resumed extract fetches its last page again, so a card can sit on two pages; one row per
+    card id is kept (the latest page wins), then typed bronze is written as usual.
+    """
+    path = layer_path(root, "bronze", "cards_json_raw")
+    cards_df = land_pages(spark, pages_dir, cards.CARD_SCHEMA, "id", multi_line=multi_line)
+    replace_table(spread(cards.bronze_from_documents(cards_df, as_of)), path)
+    return read_table(spark, path)
+
+
 def load_silver(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunAudit | None = None,
                 numbering: str = "range", parallel: int = 4) -> dict[str, DataFrame]:
     """Write the 15 silver tables as new versions, then publish them together.
@@ -116,14 +129,22 @@ def _write(audit: RunAudit | None, name: str, df: DataFrame, writer):
 
 
 def run(spark: SparkSession, root: str, as_of: _dt.datetime, source: str | list[str] | None = None,
-        landing_dir: str | None = None, multi_line: bool = True, numbering: str = "range") -> RunAudit:
-    """The whole daily load: bronze, silver, gold, with one audit row per step."""
+        landing_dir: str | None = None, multi_line: bool = True, numbering: str = "range",
+        pages_dir: str | None = None) -> RunAudit:
+    """The whole daily load: bronze, silver, gold, quality, with one audit row per step.
+
+    The input is, in order of precedence: ``pages_dir`` (the extractor's page files, deduped),
+    ``source`` (document paths), or the run day's dated document under ``landing_dir``.
+    """
     ensure_checkpoint_dir(spark)
-    if source is None:
-        run_day = as_of + _dt.timedelta(hours=cards.CLOCK_OFFSET_HOURS)
-        source = dated_path(landing_dir, run_day)
     audit = RunAudit(spark, uuid.uuid4().hex, layer_path(root, "audit", "runs"))
-    audit.step("bronze", load_bronze, spark, root, source, as_of, multi_line)
+    if pages_dir is not None:
+        audit.step("bronze", load_bronze_from_pages, spark, root, pages_dir, as_of)
+    else:
+        if source is None:
+            run_day = as_of + _dt.timedelta(hours=cards.CLOCK_OFFSET_HOURS)
+            source = dated_path(landing_dir, run_day)
+        audit.step("bronze", load_bronze, spark, root, source, as_of, multi_line)
     audit.step("silver", load_silver, spark, root, as_of, audit, numbering)
     audit.step("gold", load_gold, spark, root, as_of, audit)
     audit.step("quality", load_quality, spark, root, as_of, audit)

@@ -161,3 +161,26 @@ def test_quality_reports(spark, tmp_root):
     assert ("dim_cards", "set9-1", "artist") in too_long
     main = {r["card_id"]: r for r in read_table(spark, layer_path(root, "silver", "card_main_info")).collect()}
     assert main["set9-1"]["hp"] is None and main["set9-2"]["hp"] == 140
+
+
+def test_load_from_overlapping_pages(spark, tmp_root):
+    import json
+
+    from conftest import make_cards
+    pages = os.path.join(tmp_root, "pages")
+    os.makedirs(pages)
+    cs = make_cards()
+    stale = json.loads(json.dumps(cs[1]))
+    stale["rarity"] = "Old Value"
+    # Page 2 repeats the last card of page 1 (a resumed extract); the later page wins.
+    with open(os.path.join(pages, "page_0001.json"), "w") as fh:
+        fh.write(json.dumps({"page": 1, "data": [cs[0], stale]}) + "\n")
+    with open(os.path.join(pages, "page_0002.json"), "w") as fh:
+        fh.write(json.dumps({"page": 2, "data": [cs[1], cs[2], cs[3]]}) + "\n")
+    root = os.path.join(tmp_root, "lake4")
+    loads.run(spark, root, AS_OF, pages_dir=pages)
+    bronze = read_table(spark, layer_path(root, "bronze", "cards_json_raw"))
+    assert bronze.count() == 4 and bronze.select("id").distinct().count() == 4
+    main = {r["card_id"]: r for r in read_table(spark, layer_path(root, "silver", "card_main_info")).collect()}
+    assert main["set1-2"]["set_card_rarity"] == "rare holo"
+    assert read_table(spark, layer_path(root, "gold", "fact_hst_tcg_data")).count() == 6
