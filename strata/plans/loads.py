@@ -32,6 +32,13 @@ def load_bronze(spark: SparkSession, root: str, source: str | list[str], as_of:
     return read_table(spark, path)
 
 
+def load_bronze_frame(spark: SparkSession, root: str, docs: DataFrame, as_of: _dt.datetime) -> DataFrame:
+    """Typed bronze from documents already read (a stream micro-batch, for instance)."""
+    path = layer_path(root, "bronze", "cards_json_raw")
+    replace_table(spread(cards.bronze_from_documents(docs, as_of)), path)
+    return read_table(spark, path)
+
+
 def load_bronze_from_pages(spark: SparkSession, root: str, pages_dir: str, as_of: _dt.datetime,
                            multi_line: bool = False) -> DataFrame:
     """S12 + D1: bronze from the extractor's page files (``{"data": [card, ...]}``).
@@ -130,15 +137,18 @@ def _write(audit: RunAudit | None, name: str, df: DataFrame, writer):
 
 def run(spark: SparkSession, root: str, as_of: _dt.datetime, source: str | list[str] | None = None,
         landing_dir: str | None = None, multi_line: bool = True, numbering: str = "range",
-        pages_dir: str | None = None) -> RunAudit:
+        pages_dir: str | None = None, docs: DataFrame | None = None) -> RunAudit:
     """The whole daily load: bronze, silver, gold, quality, with one audit row per step.
 
-    The input is, in order of precedence: ``pages_dir`` (the extractor's page files, deduped),
-    ``source`` (document paths), or the run day's dated document under ``landing_dir``.
+    The input is, in order of precedence: ``docs`` (documents already read), ``pages_dir`` (the
+    extractor's page files, deduped), ``source`` (document paths), or the run day's dated
+    document under ``landing_dir``.
     """
     ensure_checkpoint_dir(spark)
     audit = RunAudit(spark, uuid.uuid4().hex, layer_path(root, "audit", "runs"))
-    if pages_dir is not None:
+    if docs is not None:
+        audit.step("bronze", load_bronze_frame, spark, root, docs, as_of)
+    elif pages_dir is not None:
         audit.step("bronze", load_bronze_from_pages, spark, root, pages_dir, as_of)
     else:
         if source is None:
@@ -163,3 +173,33 @@ def ensure_tables(spark: SparkSession, root: str) -> None:
         T.StructField("log_created", T.TimestampNTZType()),
     ])
     create_if_absent(spark, layer_path(root, "gold", "fact_hst_tcg_data"), schema, partition_by=["date_id"])
+
+
+# Run clock of a streamed day: the source runs at 02:00 in a zone 5 hours behind UTC.
+STREAM_RUN_HOUR_UTC = 7
+
+
+def stream_days(spark: SparkSession, root: str, landing_dir: str, checkpoint: str, multi_line: bool = True,
+                max_files_per_trigger: int | None = None, run_hour_utc: int = STREAM_RUN_HOUR_UTC) -> None:
+    """Load every dated document not processed yet, as an available-now stream.
+
+    The file source's checkpoint makes each file count once. A micro-batch may hold several
+    days; they are loaded in day order, each with its own run clock, through the same ``run``
+    as the batch load. A replayed micro-batch adds no fact rows (the fact load is an anti-join).
+    The day list per batch is bounded by the files in the trigger.
+    """
+    from pyspark.sql import functions as F
+    from strata.streaming import run_stream
+
+    def transform(stream: DataFrame) -> DataFrame:
+        name = F.col("_metadata.file_name")
+        return stream.withColumn("__day", F.to_date(F.regexp_extract(name, r"(\d{8})", 1), "yyyyMMdd"))
+
+    def load(batch: DataFrame, _epoch: int) -> None:
+        days = sorted(r["__day"] for r in batch.select("__day").distinct().collect() if r["__day"] is not None)
+        for day in days:
+            as_of = _dt.datetime(day.year, day.month, day.day, run_hour_utc)
+            run(spark, root, as_of, docs=batch.where(F.col("__day") == F.lit(day)).drop("__day"))
+
+    run_stream(spark, landing_dir, cards.CARD_SCHEMA, checkpoint, load, multi_line=multi_line,
+               max_files_per_trigger=max_files_per_trigger, transform=transform)

@@ -184,3 +184,29 @@ def test_load_from_overlapping_pages(spark, tmp_root):
     main = {r["card_id"]: r for r in read_table(spark, layer_path(root, "silver", "card_main_info")).collect()}
     assert main["set1-2"]["set_card_rarity"] == "rare holo"
     assert read_table(spark, layer_path(root, "gold", "fact_hst_tcg_data")).count() == 6
+
+
+def test_stream_days_exactly_once(spark, tmp_root):
+    import json
+
+    from conftest import make_cards
+    landing = os.path.join(tmp_root, "stream_in")
+    os.makedirs(landing)
+    cs = make_cards()
+    with open(os.path.join(landing, "card_data_20260120.json"), "w") as fh:
+        json.dump(cs, fh)
+    root = os.path.join(tmp_root, "lake5")
+    ck = os.path.join(tmp_root, "stream_ck")
+    loads.stream_days(spark, root, landing, ck)
+    fact = lambda: read_table(spark, layer_path(root, "gold", "fact_hst_tcg_data"))
+    n1 = fact().count()
+    assert n1 == 6
+    loads.stream_days(spark, root, landing, ck)       # nothing new: the checkpoint remembers the file
+    assert fact().count() == n1
+    cs[0]["tcgplayer"]["updatedAt"] = "2026/01/20"
+    with open(os.path.join(landing, "card_data_20260121.json"), "w") as fh:
+        json.dump(cs, fh)
+    loads.stream_days(spark, root, landing, ck)       # only the new day is loaded
+    assert fact().count() == n1 + 2
+    runs = read_table(spark, layer_path(root, "audit", "runs"))
+    assert runs.select("run_id").distinct().count() == 2
