@@ -70,6 +70,8 @@ BRONZE_RENAMES = {"evolvesFrom": "evolves_from", "convertedRetreatCost": "conver
 CLOCK_OFFSET_HOURS = -5
 # Freshness window of the daily prices, in days.
 PRICE_FRESH_DAYS = 20
+# String matches in the source run under a case-insensitive collation (names, energy symbols).
+CASE_INSENSITIVE = True
 
 
 # ----------------------------------------------------------------------------- bronze
@@ -113,12 +115,15 @@ def as_typed(bronze: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------------------- silver
 
-def card_attacks(bronze: DataFrame) -> DataFrame:
-    """K1 + W1 + F2: a row per energy symbol of each attack."""
+def card_attacks(bronze: DataFrame, case_insensitive: bool = CASE_INSENSITIVE) -> DataFrame:
+    """K1 + W1 + F2: a row per energy symbol of each attack; the per-(card, attack, symbol)
+    count compares names and symbols without case by default (F21)."""
     attacks = explode_objects(bronze.select(F.col("id").alias("card_id"), "attacks"), "attacks", keep=["card_id"])
     symbols = explode_scalars(attacks, "cost", keep=["card_id", "name", "convertedEnergyCost", "damage", "text"],
                               alias="energy")
-    counted = count_within(symbols, ["card_id", "name", "energy"], "energy", "energy_amount_neeed")
+    key = sf.ci_key if case_insensitive else (lambda c: F.col(c))
+    symbols = symbols.withColumn("__name_k", key("name")).withColumn("__energy_k", key("energy"))
+    counted = count_within(symbols, ["card_id", "__name_k", "__energy_k"], "energy", "energy_amount_neeed")
     return counted.select("card_id", F.lower("name").alias("attack_name"),
                           F.lower("energy").alias("energy_needed"), "energy_amount_neeed",
                           F.col("convertedEnergyCost").alias("total_energy_cost"),
@@ -233,19 +238,27 @@ def mkt_cardmarket(bronze: DataFrame) -> DataFrame:
                        *CARDMARKET_PRICE_NAMES.values(), "card_url")
 
 
-def evolution_tiers(bronze: DataFrame) -> DataFrame:
-    """H1 over the distinct (name, evolves_from) pairs: lowest tier per name."""
-    names = bronze.select("name", "evolves_from").distinct()
-    return hierarchy_tier(names, "name", "evolves_from", tier_alias="evolution_tier")
+def _name_key(case_insensitive: bool):
+    return sf.ci_key if case_insensitive else (lambda c: F.col(c))
 
 
-def card_main_info(bronze: DataFrame, card_set_df: DataFrame, tiers: DataFrame | None = None) -> DataFrame:
+def evolution_tiers(bronze: DataFrame, case_insensitive: bool = CASE_INSENSITIVE) -> DataFrame:
+    """H1 over the distinct (name, evolves_from) pairs: lowest tier per name key (names match
+    parents without case by default, F21)."""
+    key = _name_key(case_insensitive)
+    names = bronze.select(key("name").alias("name_key"), key("evolves_from").alias("parent_key")).distinct()
+    return hierarchy_tier(names, "name_key", "parent_key", tier_alias="evolution_tier")
+
+
+def card_main_info(bronze: DataFrame, card_set_df: DataFrame, tiers: DataFrame | None = None,
+                   case_insensitive: bool = CASE_INSENSITIVE) -> DataFrame:
     """D9 = H1 + J3 + W3: main attributes with the lowest evolution tier of the card's name
     and the set card number."""
-    tiers = evolution_tiers(bronze) if tiers is None else tiers
-    base = bronze.select(F.col("id").alias("card_id"), "name", "supertype", "hp", "artist", "rarity", "flavor_text")
+    tiers = evolution_tiers(bronze, case_insensitive) if tiers is None else tiers
+    base = bronze.select(F.col("id").alias("card_id"), "name", "supertype", "hp", "artist", "rarity", "flavor_text",
+                         _name_key(case_insensitive)("name").alias("name_key"))
     numbers = card_set_df.select("card_id", "set_card_number")
-    j = base.join(tiers, "name", "left").join(numbers, "card_id", "left")
+    j = base.join(tiers, "name_key", "left").join(numbers, "card_id", "left")
     return j.select("card_id", F.lower("name").alias("card_name"), F.lower("supertype").alias("supertype"),
                     sf.safe_cast("hp", "int").alias("hp"), "evolution_tier", F.lower("artist").alias("artist"),
                     F.lower(sf.null_default("rarity", "special")).alias("set_card_rarity"), "set_card_number",

@@ -210,3 +210,25 @@ def test_stream_days_exactly_once(spark, tmp_root):
     assert fact().count() == n1 + 2
     runs = read_table(spark, layer_path(root, "audit", "runs"))
     assert runs.select("run_id").distinct().count() == 2
+
+
+def test_case_insensitive_matches(spark, tmp_root):
+    import json
+
+    from conftest import _card
+    landing = os.path.join(tmp_root, "ci")
+    os.makedirs(landing)
+    root_card = _card("s-1", "Sparky", None)
+    child = _card("s-2", "Boltz", "SPARKY", attacks=[{"name": "Zap", "cost": ["Lightning", "lightning", "Colorless"],
+                                                      "convertedEnergyCost": 3}])
+    f = os.path.join(landing, "card_data_20260120.json")
+    with open(f, "w") as fh:
+        json.dump([root_card, child], fh)
+    bronze = cards.read_bronze(spark, f, AS_OF)
+    tiers = dict(cards.evolution_tiers(bronze).collect())
+    assert tiers == {"sparky": 1, "boltz": 2}
+    att = cards.card_attacks(bronze).where("card_id = 's-2'")
+    assert sorted((r["energy_needed"], r["energy_amount_neeed"]) for r in att.collect()) == [
+        ("colorless", 1), ("lightning", 2), ("lightning", 2)]
+    exact = cards.card_attacks(bronze, case_insensitive=False).where("card_id = 's-2'")
+    assert sorted(r["energy_amount_neeed"] for r in exact.collect()) == [1, 1, 1]
