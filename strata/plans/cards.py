@@ -20,6 +20,9 @@ from strata import functions as sf
 from strata.operators import (cast_rejects, child_counts, count_within, length_violations, date_dimension, explode_entries, explode_objects,
                               explode_scalars, flat_lists, flatten_struct, fresh_since, hierarchy_tier,
                               keep_one, merge_type1, new_facts, number_within, split_null_grain)
+from strata.plans.fixed_values import (BRONZE_RENAMES, CARDMARKET_PRICE_NAMES, CASE_INSENSITIVE,  # noqa: F401
+                                       CLOCK_OFFSET_HOURS, DATE_DIM_END, DATE_DIM_START, DEFAULT_RARITY, ENERGY_COUNT_COLUMN, GOLD_WIDTHS,
+                                       LEGALITY_LABELS, PRICE_FRESH_DAYS)
 from strata.sources import raw_json_columns, read_json_documents
 
 S, I, D = T.StringType(), T.IntegerType(), T.DoubleType()
@@ -40,15 +43,6 @@ LEGALITIES = _struct(("standard", S), ("expanded", S), ("unlimited", S))
 IMAGES = _struct(("small", S), ("large", S))
 TCG_PRICE = _struct(("low", D), ("mid", D), ("high", D), ("market", D), ("directLow", D))
 TCGPLAYER = _struct(("url", S), ("updatedAt", S), ("prices", T.MapType(S, TCG_PRICE)))
-# cardmarket.prices: source name -> silver column name.
-CARDMARKET_PRICE_NAMES = {
-    "averageSellPrice": "average_sell_price", "lowPrice": "low_price", "trendPrice": "trend_price",
-    "germanProLow": "german_pro_low", "suggestedPrice": "suggested_price", "reverseHoloSell": "reverse_holo_sell",
-    "reverseHoloLow": "reverse_holo_low", "reverseHoloTrend": "reverse_holo_trend",
-    "lowPriceExPlus": "low_price_ex_plus", "avg1": "avg_1", "avg7": "avg_7", "avg30": "avg_30",
-    "reverseHoloAvg1": "reverse_holo_avg_1", "reverseHoloAvg7": "reverse_holo_avg_7",
-    "reverseHoloAvg30": "reverse_holo_avg_30",
-}
 CARDMARKET = _struct(("url", S), ("updatedAt", S),
                      ("prices", _struct(*[(k, D) for k in CARDMARKET_PRICE_NAMES])))
 
@@ -62,16 +56,6 @@ CARD_SCHEMA = _struct(
     ("abilities", T.ArrayType(ABILITY)), ("tcgplayer", TCGPLAYER), ("cardmarket", CARDMARKET),
 )
 
-# Bronze column names (source path -> column).
-BRONZE_RENAMES = {"evolvesFrom": "evolves_from", "convertedRetreatCost": "converted_retreat_cost",
-                  "flavorText": "flavor_text", "retreatCost": "retreat_cost",
-                  "nationalPokedexNumbers": "national_pokedex_numbers"}
-# Hour offset of the source's run clock.
-CLOCK_OFFSET_HOURS = -5
-# Freshness window of the daily prices, in days.
-PRICE_FRESH_DAYS = 20
-# String matches in the source run under a case-insensitive collation (names, energy symbols).
-CASE_INSENSITIVE = True
 
 
 # ----------------------------------------------------------------------------- bronze
@@ -123,9 +107,9 @@ def card_attacks(bronze: DataFrame, case_insensitive: bool = CASE_INSENSITIVE) -
                               alias="energy")
     key = sf.ci_key if case_insensitive else (lambda c: F.col(c))
     symbols = symbols.withColumn("__name_k", key("name")).withColumn("__energy_k", key("energy"))
-    counted = count_within(symbols, ["card_id", "__name_k", "__energy_k"], "energy", "energy_amount_neeed")
+    counted = count_within(symbols, ["card_id", "__name_k", "__energy_k"], "energy", ENERGY_COUNT_COLUMN)
     return counted.select("card_id", F.lower("name").alias("attack_name"),
-                          F.lower("energy").alias("energy_needed"), "energy_amount_neeed",
+                          F.lower("energy").alias("energy_needed"), ENERGY_COUNT_COLUMN,
                           F.col("convertedEnergyCost").alias("total_energy_cost"),
                           sf.blank_to_default("damage").alias("damage"),
                           sf.blank_to_default("text").alias("description"))
@@ -200,8 +184,7 @@ def card_set(bronze: DataFrame, numbering: str = "range") -> DataFrame:
 def card_legalities(bronze: DataFrame) -> DataFrame:
     """K10 + F9: a label from which formats are present (a missing object gives no row)."""
     base = bronze.select(F.col("id").alias("card_id"), "legalities").where(F.col("legalities").isNotNull())
-    label = sf.first_present_label([("legalities.standard", "Standard+"), ("legalities.expanded", "Expanded+"),
-                                    ("legalities.unlimited", "Unlimited Only")])
+    label = sf.first_present_label([(f"legalities.{field}", text) for field, text in LEGALITY_LABELS])
     return base.select("card_id", label.alias("legality"))
 
 
@@ -261,7 +244,7 @@ def card_main_info(bronze: DataFrame, card_set_df: DataFrame, tiers: DataFrame |
     j = base.join(tiers, "name_key", "left").join(numbers, "card_id", "left")
     return j.select("card_id", F.lower("name").alias("card_name"), F.lower("supertype").alias("supertype"),
                     sf.safe_cast("hp", "int").alias("hp"), "evolution_tier", F.lower("artist").alias("artist"),
-                    F.lower(sf.null_default("rarity", "special")).alias("set_card_rarity"), "set_card_number",
+                    F.lower(sf.null_default("rarity", DEFAULT_RARITY)).alias("set_card_rarity"), "set_card_number",
                     F.lower(sf.null_default("flavor_text", "n/a")).alias("description")).distinct()
 
 
@@ -311,15 +294,6 @@ def build_silver_dependent(bronze: DataFrame, silver: dict[str, DataFrame],
 
 # ----------------------------------------------------------------------------- quality
 
-# Declared widths of gold text columns (the gold DDL narrows several silver columns).
-GOLD_WIDTHS = {
-    "dim_cards": {"card_id": 50, "card_name": 200, "supertype": 50, "artist": 255, "set_card_rarity": 50,
-                  "legality": 150},
-    "dim_cards_extra_info": {"subtype_list": 50, "type_list": 50, "resistances_list": 50, "weaknesses_list": 50,
-                             "pokedex_list": 50, "small_image_url": 200, "large_image_url": 200},
-    "dim_card_sets": {"set_id": 50, "set_name": 255, "set_series": 255},
-    "fact_hst_tcg_data": {"printing_finish_rarity": 50},
-}
 
 
 def cast_reject_report(bronze: DataFrame) -> DataFrame:
@@ -353,8 +327,8 @@ def length_report(table: str, df: DataFrame, key: str) -> DataFrame:
 # ----------------------------------------------------------------------------- gold
 
 def dim_dates(spark: SparkSession) -> DataFrame:
-    """D7."""
-    return date_dimension(spark)
+    """The calendar over the source's fixed span."""
+    return date_dimension(spark, DATE_DIM_START, DATE_DIM_END)
 
 
 def dim_card_sets(card_set_df: DataFrame, target: DataFrame | None, load_ts: _dt.datetime) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strata import functions as sf
 from strata.operators import RunAudit
 from strata.plans import cards
+from strata.plans.fixed_values import STREAM_RUN_HOUR_UTC
 from strata.sources import (append_table, create_if_absent, dated_path, land_pages, layer_path, publish_versions,
                             read_table, replace_table)
 from strata.sources.tables import version_path
@@ -175,8 +176,6 @@ def ensure_tables(spark: SparkSession, root: str) -> None:
     create_if_absent(spark, layer_path(root, "gold", "fact_hst_tcg_data"), schema, partition_by=["date_id"])
 
 
-# Run clock of a streamed day: the source runs at 02:00 in a zone 5 hours behind UTC.
-STREAM_RUN_HOUR_UTC = 7
 
 
 def stream_days(spark: SparkSession, root: str, landing_dir: str, checkpoint: str, multi_line: bool = True,
