@@ -1,9 +1,11 @@
 """Parquet tables with full-refresh and append sinks.
 
 A full refresh never overwrites the directory being read: it writes a new version directory
-``<table>/v=<n>`` (committed by Spark's output committer, ``_SUCCESS`` last) and then points a
-small ``_current`` marker at it. Readers resolve the marker, so they see either the old or the
-new version, never a half-written one, and a failed refresh leaves the old version current.
+``<table>/v=<n>`` (committed by Spark's output committer, ``_SUCCESS`` last) and then publishes
+it: the layer's ``_manifest`` (one small file listing every table's current version, replaced
+in one write) and the table's ``_current`` marker. Readers resolve the manifest first, so they
+see a whole layer switch at once, never a half-written version, and a failed refresh leaves the
+old versions current.
 Appends go to a partitioned directory (``partitionBy``), and dynamic partition overwrite is
 available for re-loading single partitions.
 """
@@ -59,8 +61,62 @@ def _write_marker(spark: SparkSession, table_dir: str, version: int) -> None:
     fs.rename(tmp, dst)
 
 
+_MANIFEST = "_manifest"
+
+
+def _split(table_dir: str) -> tuple[str, str]:
+    base = table_dir.rstrip("/")
+    parent, _, name = base.rpartition("/")
+    return parent, name
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        lines = []
+        line = reader.readLine()
+        while line is not None:
+            lines.append(line)
+            line = reader.readLine()
+    finally:
+        stream.close()
+    return "\n".join(lines)
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    # Write a temporary file, then replace the target in one rename.
+    fs, dst = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    parent, _, name = path.rstrip("/").rpartition("/")
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{parent}/.{name}.tmp")
+    out = fs.create(tmp, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    if fs.exists(dst):
+        fs.delete(dst, False)
+    fs.rename(tmp, dst)
+
+
+def _read_manifest(spark: SparkSession, layer_dir: str) -> dict[str, int]:
+    text = _read_text(spark, f"{layer_dir}/{_MANIFEST}")
+    entries = {}
+    for line in (text or "").splitlines():
+        if "=" in line:
+            name, version = line.split("=", 1)
+            entries[name.strip()] = int(version)
+    return entries
+
+
 def current_version(spark: SparkSession, table_dir: str) -> int | None:
-    return _read_marker(spark, table_dir)
+    """The published version: the layer manifest first, then the table's own marker."""
+    parent, name = _split(table_dir)
+    version = _read_manifest(spark, parent).get(name) if parent else None
+    return version if version is not None else _read_marker(spark, table_dir)
 
 
 def version_path(table_dir: str, version: int) -> str:
@@ -75,7 +131,8 @@ def replace_table(df: DataFrame, table_dir: str, partition_by: Sequence[str] = (
     together with ``publish_versions``).
     """
     spark = df.sparkSession
-    cur = _read_marker(spark, table_dir)
+    cur = max([v for v in (current_version(spark, table_dir), _read_marker(spark, table_dir)) if v is not None],
+              default=None)
     version = 1 if cur is None else cur + 1
     out = df.sortWithinPartitions(*sort_within) if sort_within else df
     w = out.write.mode("overwrite")
@@ -83,19 +140,32 @@ def replace_table(df: DataFrame, table_dir: str, partition_by: Sequence[str] = (
         w = w.partitionBy(*partition_by)
     w.parquet(version_path(table_dir, version))
     if publish:
-        _write_marker(spark, table_dir, version)
+        publish_versions(spark, {table_dir: version})
     return version
 
 
 def publish_versions(spark: SparkSession, versions: dict[str, int]) -> None:
-    """Make several written versions current, marker by marker, after all data is written."""
+    """Make written versions current, atomically per layer.
+
+    The versions of all tables of one layer directory go into that layer's ``_manifest``,
+    replaced in one write, so readers see the whole layer switch at once. Per-table markers
+    are written too, for tables read outside their layer directory.
+    """
+    by_layer: dict[str, dict[str, int]] = {}
+    for table_dir, version in versions.items():
+        parent, name = _split(table_dir)
+        by_layer.setdefault(parent, {})[name] = version
+    for layer_dir, entries in by_layer.items():
+        merged = _read_manifest(spark, layer_dir)
+        merged.update(entries)
+        _write_text(spark, f"{layer_dir}/{_MANIFEST}", "\n".join(f"{k}={v}" for k, v in sorted(merged.items())))
     for table_dir, version in versions.items():
         _write_marker(spark, table_dir, version)
 
 
 def read_table(spark: SparkSession, table_dir: str, schema: T.StructType | None = None) -> DataFrame | None:
     """The current version of a versioned table, or a plain Parquet directory."""
-    version = _read_marker(spark, table_dir)
+    version = current_version(spark, table_dir)
     if version is not None:
         path = version_path(table_dir, version)
     elif _exists(spark, table_dir):

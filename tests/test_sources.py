@@ -77,3 +77,17 @@ def test_zone_day_and_elapsed(spark):
                                "a timestamp_ntz, b timestamp_ntz")
     r = df.select(sf.zone_day("a", "America/New_York").alias("z"), sf.elapsed_seconds("a", "b").alias("s")).first()
     assert r["z"] == dt.date(2026, 6, 30) and r["s"] == 65
+
+
+def test_layer_publish_is_one_switch(spark, tmp_root):
+    layer = os.path.join(tmp_root, "silver")
+    a, b = os.path.join(layer, "a"), os.path.join(layer, "b")
+    replace_table(spark.range(1), a)
+    replace_table(spark.range(2), b)
+    va = replace_table(spark.range(10), a, publish=False)
+    vb = replace_table(spark.range(20), b, publish=False)
+    assert read_table(spark, a).count() == 1 and read_table(spark, b).count() == 2   # nothing visible yet
+    from strata.sources import publish_versions
+    publish_versions(spark, {a: va, b: vb})
+    assert read_table(spark, a).count() == 10 and read_table(spark, b).count() == 20
+    assert open(os.path.join(layer, "_manifest")).read().split() == ["a=2", "b=2"]
