@@ -261,25 +261,29 @@ def card_extras_flattened(main: DataFrame, subtypes: DataFrame, types: DataFrame
     })
 
 
+def silver_builders(as_of: _dt.datetime, numbering: str = "range") -> dict:
+    """The 13 silver tables that read only bronze: name -> builder(typed bronze)."""
+    return {
+        "card_attacks": card_attacks,
+        "card_weaknesses": card_weaknesses,
+        "card_abilities": card_abilities,
+        "card_resistances": card_resistances,
+        "card_retreat_cost": card_retreat_cost,
+        "card_subtypes": card_subtypes,
+        "card_types": card_types,
+        "card_set": lambda b: card_set(b, numbering),
+        "card_national_pokedex_numbers": card_national_pokedex_numbers,
+        "card_legalities": card_legalities,
+        "card_images": card_images,
+        "mkt_tcgplayer": lambda b: mkt_tcgplayer(b, as_of),
+        "mkt_cardmarket": mkt_cardmarket,
+    }
+
+
 def build_silver(bronze: DataFrame, as_of: _dt.datetime, numbering: str = "range") -> dict[str, DataFrame]:
     """The 13 silver tables that read only bronze (lazy, except the checkpointed numbering)."""
-    bronze = as_typed(bronze)
-    out: dict[str, DataFrame] = {
-        "card_attacks": card_attacks(bronze),
-        "card_weaknesses": card_weaknesses(bronze),
-        "card_abilities": card_abilities(bronze),
-        "card_resistances": card_resistances(bronze),
-        "card_retreat_cost": card_retreat_cost(bronze),
-        "card_subtypes": card_subtypes(bronze),
-        "card_types": card_types(bronze),
-        "card_set": card_set(bronze, numbering),
-        "card_national_pokedex_numbers": card_national_pokedex_numbers(bronze),
-        "card_legalities": card_legalities(bronze),
-        "card_images": card_images(bronze),
-        "mkt_tcgplayer": mkt_tcgplayer(bronze, as_of),
-        "mkt_cardmarket": mkt_cardmarket(bronze),
-    }
-    return out
+    typed_bronze = as_typed(bronze)
+    return {name: build(typed_bronze) for name, build in silver_builders(as_of, numbering).items()}
 
 
 def build_silver_dependent(bronze: DataFrame, silver: dict[str, DataFrame],

@@ -62,7 +62,8 @@ def load_silver(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunA
     the hierarchy tiers for ``card_main_info`` are computed alongside them.
     """
     bronze = read_table(spark, layer_path(root, "bronze", "cards_json_raw"))
-    first = cards.build_silver(bronze, as_of, numbering)
+    typed_bronze = cards.as_typed(bronze)
+    first = cards.silver_builders(as_of, numbering)
     paths = {name: layer_path(root, "silver", name) for name in [*first, "card_main_info", "card_extras_flattened"]}
 
     def write_one(name: str, df: DataFrame) -> int:
@@ -73,7 +74,9 @@ def load_silver(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunA
     written: dict[str, int] = {}
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         tiers_job = pool.submit(cards.evolution_tiers, bronze)
-        jobs = {name: pool.submit(write_one, name, df) for name, df in first.items()}
+        # Each task builds its table too, so eager steps (card_set's numbering) overlap the rest.
+        jobs = {name: pool.submit(lambda n=name, b=build: write_one(n, b(typed_bronze)))
+                for name, build in first.items()}
         for name, job in jobs.items():
             written[name] = job.result()
         tiers = tiers_job.result()
@@ -91,27 +94,40 @@ def load_gold(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunAud
                "card_extras_flattened", "card_images", "mkt_tcgplayer"]}
     g = lambda t: layer_path(root, "gold", t)
     dates_path = g("dim_dates")
-    if read_table(spark, dates_path) is None:
-        _write(audit, "gold.dim_dates", cards.dim_dates(spark), lambda d: replace_table(d, dates_path))
     sets = cards.dim_card_sets(silver["card_set"], read_table(spark, g("dim_card_sets")), as_of)
-    _write(audit, "gold.dim_card_sets", sets, lambda d: replace_table(d, g("dim_card_sets")))
-    sets_dim = read_table(spark, g("dim_card_sets"))
-    cards_df = cards.dim_cards(silver["card_main_info"], silver["card_legalities"], silver["card_attacks"],
-                               silver["card_abilities"], silver["card_set"], sets_dim,
-                               read_table(spark, g("dim_cards")), as_of)
-    _write(audit, "gold.dim_cards", cards_df, lambda d: replace_table(d, g("dim_cards")))
-    cards_dim = read_table(spark, g("dim_cards"))
-    extra = cards.dim_cards_extra_info(silver["card_extras_flattened"], silver["card_images"], cards_dim,
-                                       read_table(spark, g("dim_cards_extra_info")))
-    _write(audit, "gold.dim_cards_extra_info", extra, lambda d: replace_table(d, g("dim_cards_extra_info")))
-    fact_path = g("fact_hst_tcg_data")
-    history = read_table(spark, fact_path)
-    dates_dim = read_table(spark, dates_path)
-    rejects = cards.fact_rejects(silver["mkt_tcgplayer"], cards_dim, dates_dim, sets_dim, as_of)
-    _write(audit, "gold.fact_rejects", rejects, lambda d: append_table(d, layer_path(root, "audit", "fact_rejects")))
-    new = cards.fact_rows(silver["mkt_tcgplayer"], cards_dim, dates_dim, sets_dim, history, as_of)
-    _write(audit, "gold.fact_hst_tcg_data", new,
-           lambda d: append_table(d, fact_path, partition_by=["date_id"], sort_within=["card_key"]))
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        # Independent steps run as concurrent jobs: dim_dates with dim_card_sets, then the
+        # extra-info dimension, the reject table and the fact append.
+        first = [pool.submit(_write, audit, "gold.dim_card_sets", sets,
+                             lambda d: replace_table(d, g("dim_card_sets")))]
+        if read_table(spark, dates_path) is None:
+            first.append(pool.submit(_write, audit, "gold.dim_dates", cards.dim_dates(spark),
+                                     lambda d: replace_table(d, dates_path)))
+        for job in first:
+            job.result()
+        sets_dim = read_table(spark, g("dim_card_sets"))
+        cards_df = cards.dim_cards(silver["card_main_info"], silver["card_legalities"], silver["card_attacks"],
+                                   silver["card_abilities"], silver["card_set"], sets_dim,
+                                   read_table(spark, g("dim_cards")), as_of)
+        _write(audit, "gold.dim_cards", cards_df, lambda d: replace_table(d, g("dim_cards")))
+        cards_dim = read_table(spark, g("dim_cards"))
+        dates_dim = read_table(spark, dates_path)
+        extra = cards.dim_cards_extra_info(silver["card_extras_flattened"], silver["card_images"], cards_dim,
+                                           read_table(spark, g("dim_cards_extra_info")))
+        fact_path = g("fact_hst_tcg_data")
+        history = read_table(spark, fact_path)
+        rejects = cards.fact_rejects(silver["mkt_tcgplayer"], cards_dim, dates_dim, sets_dim, as_of)
+        new = cards.fact_rows(silver["mkt_tcgplayer"], cards_dim, dates_dim, sets_dim, history, as_of)
+        last = [
+            pool.submit(_write, audit, "gold.dim_cards_extra_info", extra,
+                        lambda d: replace_table(d, g("dim_cards_extra_info"))),
+            pool.submit(_write, audit, "gold.fact_rejects", rejects,
+                        lambda d: append_table(d, layer_path(root, "audit", "fact_rejects"))),
+            pool.submit(_write, audit, "gold.fact_hst_tcg_data", new,
+                        lambda d: append_table(d, fact_path, partition_by=["date_id"], sort_within=["card_key"])),
+        ]
+        for job in last:
+            job.result()
 
 
 def load_quality(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunAudit | None = None) -> None:

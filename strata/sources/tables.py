@@ -12,6 +12,7 @@ available for re-loading single partitions.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +63,8 @@ def _write_marker(spark: SparkSession, table_dir: str, version: int) -> None:
 
 
 _MANIFEST = "_manifest"
+# Manifest updates are read-modify-write; steps of one driver may publish from several threads.
+_PUBLISH_LOCK = threading.Lock()
 
 
 def _split(table_dir: str) -> tuple[str, str]:
@@ -155,12 +158,14 @@ def publish_versions(spark: SparkSession, versions: dict[str, int]) -> None:
     for table_dir, version in versions.items():
         parent, name = _split(table_dir)
         by_layer.setdefault(parent, {})[name] = version
-    for layer_dir, entries in by_layer.items():
-        merged = _read_manifest(spark, layer_dir)
-        merged.update(entries)
-        _write_text(spark, f"{layer_dir}/{_MANIFEST}", "\n".join(f"{k}={v}" for k, v in sorted(merged.items())))
-    for table_dir, version in versions.items():
-        _write_marker(spark, table_dir, version)
+    with _PUBLISH_LOCK:
+        for layer_dir, entries in by_layer.items():
+            merged = _read_manifest(spark, layer_dir)
+            merged.update(entries)
+            _write_text(spark, f"{layer_dir}/{_MANIFEST}",
+                        "\n".join(f"{k}={v}" for k, v in sorted(merged.items())))
+        for table_dir, version in versions.items():
+            _write_marker(spark, table_dir, version)
 
 
 def read_table(spark: SparkSession, table_dir: str, schema: T.StructType | None = None) -> DataFrame | None:
