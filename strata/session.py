@@ -95,8 +95,12 @@ def spread(df, min_partitions: int | None = None):
     by one task; row-wise work such as JSON parsing would then run on one core. A well-split
     input is returned unchanged, so at scale this adds no shuffle.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a Spark Connect session): leave the plan as is
+        return df
+    if current >= target:
         return df
     return df.repartition(target)
 
@@ -106,4 +110,8 @@ def working_partitions(spark: SparkSession) -> int:
     shuffle partitions, capped at four tasks per core so small jobs are not split into hundreds
     of tiny tasks."""
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(shuffle, 4 * spark.sparkContext.defaultParallelism))
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext on the client (Spark Connect)
+        return max(1, shuffle)
+    return max(1, min(shuffle, 4 * cores))
