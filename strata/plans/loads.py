@@ -18,7 +18,7 @@ from strata import functions as sf
 from strata.operators import RunAudit
 from strata.plans import cards
 from strata.plans.fixed_values import STREAM_RUN_HOUR_UTC
-from strata.sources import (append_table, create_if_absent, dated_path, land_pages, layer_path, publish_versions,
+from strata.sources import (append_table, dated_path, land_pages, layer_path, publish_versions,
                             read_table, replace_table)
 from strata.sources.tables import version_path
 from strata.session import ensure_checkpoint_dir, spread
@@ -179,19 +179,6 @@ def run(spark: SparkSession, root: str, as_of: _dt.datetime, source: str | list[
     return audit
 
 
-def ensure_tables(spark: SparkSession, root: str) -> None:
-    """Create the fact directory on a first run so readers find an empty table."""
-    from pyspark.sql import types as T
-    schema = T.StructType([
-        T.StructField("card_key", T.LongType()), T.StructField("set_key", T.LongType()),
-        T.StructField("date_id", T.IntegerType()), T.StructField("full_date", T.DateType()),
-        T.StructField("printing_finish_rarity", T.StringType()), T.StructField("market_price", T.DoubleType()),
-        T.StructField("highest_price", T.DoubleType()), T.StructField("lowest_price", T.DoubleType()),
-        T.StructField("log_created", T.TimestampNTZType()),
-    ])
-    create_if_absent(spark, layer_path(root, "gold", "fact_hst_tcg_data"), schema, partition_by=["date_id"])
-
-
 
 
 def stream_days(spark: SparkSession, root: str, landing_dir: str, checkpoint: str, multi_line: bool = True,
