@@ -80,3 +80,32 @@ def test_restore_after_snapshot_is_identity(spark, tmp_root):
     base = os.path.join(tmp_root, "snaps")
     snapshot(df, base, "20260120")
     assert sorted(map(tuple, restore(spark, base, "20260120").collect())) == sorted(map(tuple, df.collect()))
+
+
+children = st.lists(st.tuples(st.integers(0, 4), st.integers(0, 3), st.one_of(st.none(), st.sampled_from("abc"))),
+                    max_size=25)
+
+
+@SETTINGS
+@given(children, children)
+def test_rollups_match_brute_force(spark, kids1, kids2):
+    from strata.operators import child_counts, flat_lists, list_per_key
+    base = spark.createDataFrame([(k,) for k in range(6)], "id int")
+    c1 = spark.createDataFrame(kids1, "id int, pos int, v string") if kids1 else \
+        spark.createDataFrame([], "id int, pos int, v string")
+    c2 = spark.createDataFrame(kids2, "id int, pos int, v string") if kids2 else \
+        spark.createDataFrame([], "id int, pos int, v string")
+
+    def joined(kids, k):
+        vals = sorted((p, v) for i, p, v in kids if i == k and v is not None)
+        return ", ".join(v for _, v in vals) if vals else "n/a"
+
+    got = {r["id"]: (r["l1"], r["l2"]) for r in
+           flat_lists(base, "id", {"l1": (c1, "v", ["pos"]), "l2": (c2, "v", ["pos"])}).collect()}
+    assert got == {k: (joined(kids1, k), joined(kids2, k)) for k in range(6)}
+    counts = {r["id"]: (r["d"], r["n"]) for r in
+              child_counts(base, "id", {"d": (c1, "v", True), "n": (c2, None, False)}).collect()}
+    assert counts == {k: (len({v for i, _, v in kids1 if i == k and v is not None}),
+                          sum(1 for i, _, _ in kids2 if i == k)) for k in range(6)}
+    lists = {r["id"]: r["l"] for r in list_per_key(c1, "id", "v", "l", order=["pos"]).collect()}
+    assert lists == {k: joined(kids1, k) for k in range(6) if joined(kids1, k) != "n/a"}
