@@ -43,7 +43,7 @@ def keep_lowest(df: DataFrame, keys: str | Sequence[str], order_col: str,
     """Rows whose ``order_col`` ranks first within ``keys`` (ties kept).
 
     Equals ``RANK() OVER (PARTITION BY keys ORDER BY order_col) = 1``. With ``nulls_first``
-    (ascending order in both T-SQL and Spark) a group holding a NULL keeps its NULL rows.
+    (ascending order in both the source database and Spark) a group holding a NULL keeps its NULL rows.
     """
     keys = _cols(keys)
     best = df.groupBy(*keys).agg(
