@@ -182,3 +182,13 @@ def test_parse_keeps_wall_clock_in_any_zone(spark):
         assert got == [dt.datetime(2026, 3, 8, 2, 30), None]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_ci_key_lower_and_collation(spark):
+    a = spark.createDataFrame([("Metal",), ("FIRE",)], "x string")
+    b = spark.createDataFrame([("metal",), ("fire",), ("water",)], "y string")
+    for collation in (None, "UTF8_LCASE"):
+        j = a.join(b, sf.ci_key(a["x"], collation) == sf.ci_key(b["y"], collation))
+        assert sorted((r["x"], r["y"]) for r in j.collect()) == [("FIRE", "fire"), ("Metal", "metal")]
+    grouped = a.unionByName(b.withColumnRenamed("y", "x")).groupBy(sf.ci_key("x", "UTF8_LCASE").alias("k")).count()
+    assert sorted(r["count"] for r in grouped.collect()) == [1, 2, 2]
