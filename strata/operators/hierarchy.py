@@ -54,17 +54,18 @@ def hierarchy_tier(df: DataFrame, node: str, parent: str, max_depth: int | None
         for lv in levels[1:]:
             seen = seen.unionByName(lv.select("node"))
         seen = seen.withColumn("__seen", F.lit(True))
-        # frontier and linked are both hash-partitioned by the join key into n partitions, so
-        # the level join shuffles neither. The "not reached yet" test is a left join + IS NULL:
+        # linked is hash-partitioned by parent, so the level join shuffles at most the frontier. The "not reached yet" test is a left join + IS NULL:
         # written as a left-anti join, Catalyst pushes it below the inner join onto the edge
         # table, which would then be shuffled twice on every level.
+        # The distinct and the left join already leave the output hash-partitioned by node, so
+        # no explicit repartition: if AQE coalesces it, only the small frontier is re-shuffled
+        # to meet the edge table's partitioning at the next level.
         nxt = (frontier.join(linked, frontier["node"] == linked["parent"], "inner")
                .select(F.col("child").alias("node"))
                .distinct()
                .join(seen, "node", "left")
                .where(F.col("__seen").isNull())
-               .select("node")
-               .repartition(n, "node"))
+               .select("node"))
         frontier = nxt.checkpoint(eager=True)
         levels.append(frontier.select("node", F.lit(level).alias(tier_alias)))
     reached = levels[0]
