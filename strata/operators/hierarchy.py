@@ -14,6 +14,8 @@ and lets a lost executor recompute from the last level instead of from the sourc
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,3 +74,59 @@ def hierarchy_tier(df: DataFrame, node: str, parent: str, max_depth: int | None
     for lv in levels[1:]:
         reached = reached.unionByName(lv)
     return reached.select(F.col("node").alias(node), F.col(tier_alias))
+
+
+def hierarchy_tier_doubling(df: DataFrame, node: str, parent: str, max_depth: int | None = 100,
+                            tier_alias: str = "tier", max_rounds: int = 64) -> DataFrame:
+    """H1 for tree-shaped hierarchies (at most one parent row per node), in O(log depth) rounds.
+
+    Pointer doubling: each node keeps (ancestor, distance); every round replaces the ancestor by
+    the ancestor's ancestor and adds the distances, until it reaches a root (tier = distance + 1)
+    or a missing parent (unreachable). Deep chains take about log2(depth) rounds instead of
+    one job per level. Cycles never reach a root and get no tier, as in breadth-first order.
+    Raises ValueError when some node has several parent rows (use ``hierarchy_tier``).
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    edges = (df.select(F.col(node).alias("node"), F.col(parent).alias("parent"))
+             .where(F.col("node").isNotNull()).distinct())
+    # A NULL-parent row makes a node a root whatever its other rows say.
+    per_node = edges.groupBy("node").agg(
+        F.max(F.col("parent").isNull().cast("int")).alias("is_root"),
+        F.count_distinct("parent").alias("n_parents"),
+        F.max("parent").alias("parent"))
+    if per_node.where((F.col("is_root") == 0) & (F.col("n_parents") > 1)).limit(1).count() > 0:
+        raise ValueError("a node has several parents; use hierarchy_tier")
+    # state: ancestor still to resolve (NULL when done), distance so far, status.
+    state = per_node.select(
+        "node",
+        F.when(F.col("is_root") == 1, F.lit(None).cast("string")).otherwise(F.col("parent")).alias("anc"),
+        F.when(F.col("is_root") == 1, F.lit(0)).otherwise(F.lit(1)).alias("dist"),
+        F.when(F.col("is_root") == 1, F.lit("done")).otherwise(F.lit("open")).alias("status"),
+    ).checkpoint(eager=True)
+    # After ceil(log2(n)) + 1 rounds every node that can reach a root has done so; what is still
+    # open then sits on a cycle (or under one) and gets no tier.
+    n_nodes = state.count()
+    rounds = min(max_rounds, max(1, math.ceil(math.log2(max(n_nodes, 2)))) + 1)
+    for _ in range(rounds):
+        if state.where(F.col("status") == "open").limit(1).count() == 0:
+            break
+        t = state.select(F.col("node").alias("t_node"), F.col("anc").alias("t_anc"),
+                         F.col("dist").alias("t_dist"), F.col("status").alias("t_status"))
+        j = state.join(t, state["anc"] == t["t_node"], "left")
+        is_open = F.col("status") == "open"
+        state = j.select(
+            "node",
+            F.when(is_open & (F.col("t_status") == "open"), F.col("t_anc"))
+             .when(is_open, F.lit(None).cast("string")).otherwise(F.col("anc")).alias("anc"),
+            F.when(is_open & F.col("t_status").isNotNull(), F.col("dist") + F.col("t_dist"))
+             .otherwise(F.col("dist")).alias("dist"),
+            F.when(is_open & F.col("t_node").isNull(), F.lit("dead"))
+             .when(is_open & (F.col("t_status") == "done"), F.lit("done"))
+             .when(is_open & (F.col("t_status") == "dead"), F.lit("dead"))
+             .otherwise(F.col("status")).alias("status"),
+        ).checkpoint(eager=True)
+    tiers = state.where(F.col("status") == "done").select("node", (F.col("dist") + 1).alias(tier_alias))
+    if max_depth is not None and tiers.where(F.col(tier_alias) > max_depth).limit(1).count() > 0:
+        raise HierarchyDepthError(f"hierarchy deeper than {max_depth} levels")
+    return tiers.select(F.col("node").alias(node), F.col(tier_alias))

@@ -109,3 +109,25 @@ def test_rollups_match_brute_force(spark, kids1, kids2):
                           sum(1 for i, _, _ in kids2 if i == k)) for k in range(6)}
     lists = {r["id"]: r["l"] for r in list_per_key(c1, "id", "v", "l", order=["pos"]).collect()}
     assert lists == {k: joined(kids1, k) for k in range(6) if joined(kids1, k) != "n/a"}
+
+
+forests = st.lists(st.one_of(st.none(), st.integers(0, 30)), min_size=1, max_size=30)
+
+
+@SETTINGS
+@given(forests)
+def test_doubling_matches_breadth_first_on_trees(spark, parents):
+    from strata.operators import hierarchy_tier_doubling
+    # node i has parent parents[i] (None = root; may point to a missing node or form a cycle)
+    rows = [(str(i), None if p is None else str(p)) for i, p in enumerate(parents)]
+    df = spark.createDataFrame(rows, "n string, p string")
+    bfs = dict(hierarchy_tier(df, "n", "p", tier_alias="t").collect())
+    dbl = dict(hierarchy_tier_doubling(df, "n", "p", tier_alias="t").collect())
+    assert dbl == bfs
+
+
+def test_doubling_deep_chain(spark):
+    from strata.operators import hierarchy_tier_doubling
+    chain = spark.createDataFrame([(str(i), str(i - 1) if i else None) for i in range(300)], "n string, p string")
+    got = dict(hierarchy_tier_doubling(chain, "n", "p", max_depth=None).collect())
+    assert got == {str(i): i + 1 for i in range(300)}
