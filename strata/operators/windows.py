@@ -91,7 +91,7 @@ def number_within(df: DataFrame, keys: str | Sequence[str], order: Sequence[str]
     order = list(order)
     if method == "window":
         w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(alias, F.row_number().over(w))
+        return df.withColumn(alias, F.row_number().over(w).cast("long"))
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or working_partitions(spark)
@@ -115,5 +115,6 @@ def number_within(df: DataFrame, keys: str | Sequence[str], order: Sequence[str]
         e = local[c].eqNullSafe(s[f"__s{i}"])
         cond = e if cond is None else cond & e
     joined = local.join(s, cond, "inner")
-    number = (F.col("__before") + F.col("__idx") - F.col("__first") + F.lit(1)).cast("int")
+    # BIGINT, as ROW_NUMBER in the source: one hot key may exceed 2^31 rows at scale.
+    number = (F.col("__before") + F.col("__idx") - F.col("__first") + F.lit(1)).cast("long")
     return joined.select(*df.columns, number.alias(alias))

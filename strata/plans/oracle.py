@@ -179,7 +179,7 @@ WHERE r = 1""",
 
     "row_number_latest": """
 SELECT o_custkey, o_orderkey, o_orderdate,
-       CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS INTEGER) AS order_seq
+       row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS order_seq
 FROM orders""",
 
     "keep_latest": """
