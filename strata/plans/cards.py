@@ -395,6 +395,10 @@ def fact_rows(tcg: DataFrame, cards_dim: DataFrame, dates_dim: DataFrame, sets_d
               history: DataFrame | None, log_ts: _dt.datetime) -> DataFrame:
     """D8 = J1 + J2 + J5: today's prices not yet stored at (date_id, card_key, finish)."""
     rows = fact_candidates(tcg, cards_dim, dates_dim, sets_dim)
+    # One row per grain inside the batch (a card listed twice in the day's documents), as the
+    # primary key demands; a partial aggregate, so a repeated card is combined map-side.
+    rows = keep_one(rows.where(F.col("date_id").isNotNull()), FACT_GRAIN,
+                    ["market_price", "highest_price", "lowest_price", "set_key", "full_date"], latest=False)
     # The freshness window bounds the batch's distinct days, so the history scan is pruned.
     new = new_facts(rows, history, FACT_GRAIN, prune_col="date_id")
     return new.withColumn("log_created", sf.ts_literal(log_ts))

@@ -232,3 +232,20 @@ def test_case_insensitive_matches(spark, tmp_root):
         ("colorless", 1), ("lightning", 2), ("lightning", 2)]
     exact = cards.card_attacks(bronze, case_insensitive=False).where("card_id = 's-2'")
     assert sorted(r["energy_amount_neeed"] for r in exact.collect()) == [1, 1, 1]
+
+
+def test_card_listed_twice_gives_one_fact_row(spark, tmp_root):
+    import json
+
+    from conftest import make_cards
+    landing = os.path.join(tmp_root, "dup")
+    os.makedirs(landing)
+    cs = make_cards()
+    with open(os.path.join(landing, "card_data_20260120.json"), "w") as fh:
+        json.dump(cs + [cs[0]], fh)  # the first card appears twice in the day's document
+    root = os.path.join(tmp_root, "lake6")
+    loads.run(spark, root, AS_OF, landing_dir=landing)
+    fact = read_table(spark, layer_path(root, "gold", "fact_hst_tcg_data"))
+    assert fact.count() == 6
+    dims = read_table(spark, layer_path(root, "gold", "dim_cards"))
+    assert dims.count() == 4 and dims.select("card_id").distinct().count() == 4
