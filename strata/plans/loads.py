@@ -198,10 +198,15 @@ def stream_days(spark: SparkSession, root: str, landing_dir: str, checkpoint: st
         return stream.withColumn("__day", F.to_date(F.regexp_extract(name, r"(\d{8})", 1), "yyyyMMdd"))
 
     def load(batch: DataFrame, _epoch: int) -> None:
-        days = sorted(r["__day"] for r in batch.select("__day").distinct().collect() if r["__day"] is not None)
-        for day in days:
-            as_of = _dt.datetime(day.year, day.month, day.day, run_hour_utc)
-            run(spark, root, as_of, docs=batch.where(F.col("__day") == F.lit(day)).drop("__day"))
+        # The batch is read once per day below; keep it for the length of the micro-batch.
+        batch = batch.persist()
+        try:
+            days = sorted(r["__day"] for r in batch.select("__day").distinct().collect() if r["__day"] is not None)
+            for day in days:
+                as_of = _dt.datetime(day.year, day.month, day.day, run_hour_utc)
+                run(spark, root, as_of, docs=batch.where(F.col("__day") == F.lit(day)).drop("__day"))
+        finally:
+            batch.unpersist()
 
     run_stream(spark, landing_dir, cards.CARD_SCHEMA, checkpoint, load, multi_line=multi_line,
                max_files_per_trigger=max_files_per_trigger, transform=transform)
