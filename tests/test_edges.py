@@ -26,3 +26,15 @@ def test_empty_batch_and_stale_days(spark):
     child = spark.createDataFrame([], "id int, v string")
     assert sorted(map(tuple, flat_lists(base, "id", {"l": (child, "v")}).collect())) == [(1, "n/a"), (2, "n/a")]
     assert sorted(map(tuple, child_counts(base, "id", {"n": (child, "v", True)}).collect())) == [(1, 0), (2, 0)]
+
+
+def test_prune_history_many_days_uses_semi_join(spark, tmp_root):
+    import os
+    hist_path = os.path.join(tmp_root, "h")
+    spark.createDataFrame([(d, d, "x") for d in range(100)], "date_id int, k long, f string") \
+        .write.partitionBy("date_id").parquet(hist_path)
+    batch = spark.createDataFrame([(d, d if d % 2 else d + 1000, "x") for d in range(80)],
+                                  "date_id int, k long, f string")
+    out = new_facts(batch, spark.read.parquet(hist_path), ["date_id", "k", "f"], prune_col="date_id",
+                    max_prune_values=64)
+    assert sorted(r["k"] for r in out.collect()) == [d + 1000 for d in range(0, 80, 2)]
