@@ -15,6 +15,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -178,7 +179,13 @@ def read_table(spark: SparkSession, table_dir: str, schema: T.StructType | None
     else:
         return spark.createDataFrame([], schema) if schema is not None else None
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(path)
+    try:
+        return reader.parquet(path)
+    except AnalysisException as exc:
+        # A directory with no data files yet (an empty first append writes only _SUCCESS).
+        if "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            return spark.createDataFrame([], schema) if schema is not None else None
+        raise
 
 
 def append_table(df: DataFrame, table_dir: str, partition_by: Sequence[str] = (),

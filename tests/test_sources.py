@@ -91,3 +91,14 @@ def test_layer_publish_is_one_switch(spark, tmp_root):
     publish_versions(spark, {a: va, b: vb})
     assert read_table(spark, a).count() == 10 and read_table(spark, b).count() == 20
     assert open(os.path.join(layer, "_manifest")).read().split() == ["a=2", "b=2"]
+
+
+def test_empty_first_append_reads_as_no_table(spark, tmp_root):
+    from strata.operators import new_facts
+    f = os.path.join(tmp_root, "fact0")
+    append_table(spark.createDataFrame([], "date_id int, k long"), f, partition_by=["date_id"])
+    assert read_table(spark, f) is None  # only _SUCCESS so far
+    batch = spark.createDataFrame([(20260101, 1)], "date_id int, k long")
+    append_table(new_facts(batch, read_table(spark, f), ["date_id", "k"], prune_col="date_id"), f,
+                 partition_by=["date_id"])
+    assert read_table(spark, f).count() == 1
