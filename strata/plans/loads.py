@@ -130,14 +130,19 @@ def load_gold(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunAud
             job.result()
 
 
-def load_quality(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunAudit | None = None) -> None:
-    """Q3/Q4 reports of the run, appended to ``audit/cast_rejects`` and
-    ``audit/length_violations`` with the run clock (reported, never silently dropped)."""
+def load_cast_rejects(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunAudit | None = None) -> None:
+    """Q4 report of the run (reads bronze only), appended to ``audit/cast_rejects``."""
     stamp = sf.ts_literal(as_of).alias("run_as_of")
     bronze = read_table(spark, layer_path(root, "bronze", "cards_json_raw"))
     casts = cards.cast_reject_report(bronze).select("*", stamp)
     _write(audit, "quality.cast_rejects", casts,
            lambda d: append_table(d, layer_path(root, "audit", "cast_rejects")))
+
+
+def load_quality(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunAudit | None = None) -> None:
+    """Q3 report of the run (reads gold), appended to ``audit/length_violations`` with the run
+    clock (reported, never silently dropped)."""
+    stamp = sf.ts_literal(as_of).alias("run_as_of")
     keys = {"dim_cards": "card_id", "dim_cards_extra_info": "card_key", "dim_card_sets": "set_id",
             "fact_hst_tcg_data": "card_key"}
     reports = [cards.length_report(t, read_table(spark, layer_path(root, "gold", t)), k) for t, k in keys.items()]
@@ -173,7 +178,11 @@ def run(spark: SparkSession, root: str, as_of: _dt.datetime, source: str | list[
             source = dated_path(landing_dir, run_day)
         audit.step("bronze", load_bronze, spark, root, source, as_of, multi_line)
     audit.step("silver", load_silver, spark, root, as_of, audit, numbering)
-    audit.step("gold", load_gold, spark, root, as_of, audit)
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        # The cast report reads bronze only, so it runs while gold is loaded.
+        casts = pool.submit(audit.step, "quality.casts", load_cast_rejects, spark, root, as_of, audit)
+        audit.step("gold", load_gold, spark, root, as_of, audit)
+        casts.result()
     audit.step("quality", load_quality, spark, root, as_of, audit)
     audit.flush()
     return audit
