@@ -188,8 +188,6 @@ def run(spark: SparkSession, root: str, as_of: _dt.datetime, source: str | list[
     return audit
 
 
-
-
 def stream_days(spark: SparkSession, root: str, landing_dir: str, checkpoint: str, multi_line: bool = True,
                 max_files_per_trigger: int | None = None, run_hour_utc: int = STREAM_RUN_HOUR_UTC) -> None:
     """Load every dated document not processed yet, as an available-now stream.
