@@ -203,7 +203,10 @@ def q_repair_timestamp(spark, sf_dir):
     """timestamp text that lost its first character is repaired; slash dates parsed."""
     o = table(spark, sf_dir, "orders")
     ts = F.timestamp_add("SECOND", (F.col("o_orderkey") % 86400), F.col("o_orderdate"))
-    text = F.date_format(ts, "yyyy/MM/dd HH:mm:ss")
+    # Text from the wall-clock fields: date_format would pass a TIMESTAMP_NTZ through the session
+    # time zone and move times that fall in a daylight-saving gap.
+    text = F.format_string("%04d/%02d/%02d %02d:%02d:%02d", F.year(ts), F.month(ts), F.dayofmonth(ts),
+                           F.hour(ts), F.minute(ts), F.second(ts))
     broken = F.when(F.col("o_orderkey") % 3 == 0, F.substring(text, 2, 100)).otherwise(text)
     rel = F.date_format("o_orderdate", "yyyy/MM/dd")
     return o.select("o_orderkey", broken.alias("update_text"), rel.alias("release_text")).select(
