@@ -9,6 +9,8 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from strata.plans.oracle import ORACLE_SQL
+from strata.plans.queries import QUERIES
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -34,7 +36,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE_SQL) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.fixture(scope="module")
