@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import simhash
+from strata.llm import decontaminate, oracle, simhash
 from strata.llm.common import table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_simhash_near_dedup,)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op6_simhash_near_dedup)}
+ORACLE_SQL: dict[str, str] = {"op1_decontamination": oracle.DECONTAMINATION}
