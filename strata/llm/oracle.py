@@ -21,3 +21,12 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)
 """
+
+WARC = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT d, min(page_id) AS f FROM p WHERE n >= 100 GROUP BY 1)
+SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest,
+       CASE WHEN f IS NOT NULL AND page_id <> f THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f IS NOT NULL AND page_id <> f THEN f END AS refers_to
+FROM p LEFT JOIN f USING (d)
+"""

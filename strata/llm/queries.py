@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, oracle, simhash
+from strata.llm import decontaminate, oracle, simhash, warc
 from strata.llm.common import table
 
 
@@ -16,5 +17,12 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op6_simhash_near_dedup)}
-ORACLE_SQL: dict[str, str] = {"op1_decontamination": oracle.DECONTAMINATION}
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The pages carry no fetch time: one capture a minute, in the order of their ids.
+    pages = table(spark, sf_dir, "pages").withColumn("fetched", F.timestamp_seconds(F.col("page_id") * 60))
+    index = warc.archive_and_index(pages, time_col="fetched")
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op6_simhash_near_dedup, op9_warc)}
+ORACLE_SQL: dict[str, str] = {"op1_decontamination": oracle.DECONTAMINATION, "op9_warc": oracle.WARC}
