@@ -30,3 +30,17 @@ SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest,
        CASE WHEN f IS NOT NULL AND page_id <> f THEN f END AS refers_to
 FROM p LEFT JOIN f USING (d)
 """
+
+EMBEDDINGS = """
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+                   WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+r(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY 1),
+n AS (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY 1)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM c LEFT JOIN n USING (vec_id)
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, oracle, simhash, warc
+from strata.llm import decontaminate, embeddings, oracle, simhash, warc
 from strata.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The pages carry no fetch time: one capture a minute, in the order of their ids.
     pages = table(spark, sf_dir, "pages").withColumn("fetched", F.timestamp_seconds(F.col("page_id") * 60))
@@ -24,5 +28,6 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op6_simhash_near_dedup, op9_warc)}
-ORACLE_SQL: dict[str, str] = {"op1_decontamination": oracle.DECONTAMINATION, "op9_warc": oracle.WARC}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op6_simhash_near_dedup, op8_embedding_near_dedup, op9_warc)}
+ORACLE_SQL: dict[str, str] = {"op1_decontamination": oracle.DECONTAMINATION, "op8_embedding_near_dedup": oracle.EMBEDDINGS,
+                              "op9_warc": oracle.WARC}
