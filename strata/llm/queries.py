@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, embeddings, oracle, simhash, warc
+from strata.llm import decontaminate, embeddings, oracle, simhash, toxicity, warc
 from strata.llm.common import table
 
 
@@ -28,6 +28,11 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op6_simhash_near_dedup, op8_embedding_near_dedup, op9_warc)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op6_simhash_near_dedup, op8_embedding_near_dedup, op9_warc,
+                                  op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {"op1_decontamination": oracle.DECONTAMINATION, "op8_embedding_near_dedup": oracle.EMBEDDINGS,
                               "op9_warc": oracle.WARC}
