@@ -27,9 +27,9 @@ SAMPLE = {1: 4000, 0: 12000}
 #: At most so many word forms are kept, those with the most evidence.
 FORMS = 8192
 #: Bytes of word beginnings that count as forms, beside whole words.
-PREFIXES = (3, 4, 5, 6, 8)
-#: Bounds between the classes of known forms, by the share of toxic documents.
-_SHARES = (0.5, 0.8, 0.95)
+PREFIXES = (3, 4, 5, 6, 7, 8, 9, 10)
+#: Bounds between the classes of known forms, by the lower confidence bound of their toxic share.
+_SHARES = (0.3, 0.5, 0.65, 0.8, 0.9, 0.95, 0.98)
 #: Tokens on either side of the middle of a training window.
 _SIDE = 16
 _TABLE = 1 << 20
@@ -328,6 +328,12 @@ def _summary_rows(model: Model):
     return run
 
 
+def _lower_bound(share: np.ndarray, n: np.ndarray, z: float = 1.0) -> np.ndarray:
+    """The Wilson bound: few documents leave the share of toxic ones open."""
+    centre = share + z * z / (2 * n)
+    return (centre - z * np.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic") -> Model:
     """Learns the forms, the chain and the score from at most SAMPLE labelled rows of each class.
@@ -358,8 +364,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = np.sort(known[np.argsort(-evidence[known], kind="stable")][:FORMS])
     if not len(known):
         return model
-    smooth = (in_toxic[known] + prior) / (in_toxic[known] + in_clean[known] + 1)
-    model = Model(forms[known], (1 + np.searchsorted(_SHARES, smooth)).astype(np.int8))
+    total = in_toxic[known] + in_clean[known]
+    model = Model(forms[known], (1 + np.searchsorted(_SHARES, _lower_bound(share[known], total))).astype(np.int8))
     rows = sample.mapInArrow(_windows(model), "y long, codes binary").toPandas()
     length = 2 * _SIDE + 1
     codes = np.full((len(rows), length), -1, dtype=np.int64)
