@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, embeddings, oracle, quality, simhash, toxicity, warc
+from strata.llm import decontaminate, embeddings, oracle, quality, simhash, substring, toxicity, warc
 from strata.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("mark")
 
@@ -36,7 +40,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op4_quality_classifier, op6_simhash_near_dedup, op8_embedding_near_dedup, op9_warc,
+QUERIES = {f.__name__: f for f in (op1_decontamination, op3_substring_dedup, op4_quality_classifier, op6_simhash_near_dedup, op8_embedding_near_dedup, op9_warc,
                                   op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {"op1_decontamination": oracle.DECONTAMINATION, "op8_embedding_near_dedup": oracle.EMBEDDINGS,
                               "op9_warc": oracle.WARC}
