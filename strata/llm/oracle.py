@@ -44,3 +44,80 @@ n AS (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY 1)
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
 FROM c LEFT JOIN n USING (vec_id)
 """
+
+_COUNT = "len(regexp_extract_all(coalesce({0}, ''), '{1}'))"
+
+
+def _mixing(rounds: int = 8, budget: float = 0.5, power: float = 0.7) -> str:
+    """The rounds of raking as a chain of tables, then the capped rate from running sums."""
+    steps = [f"""
+d AS MATERIALIZED (
+  SELECT doc_id, source, lang, {_COUNT.format("text", "[^ \t-\r]+")} AS n,
+         CASE WHEN regexp_matches(text, '(?i)licen[cs]e|copyright') THEN 'legal' WHEN regexp_matches(text, '@') THEN 'contact'
+              WHEN regexp_matches(text, 'https?://') THEN 'web' WHEN regexp_matches(text, '\\| .*\\| ') THEN 'table'
+              ELSE 'prose' END AS topic,
+         ('0x' || substr(md5(doc_id::VARCHAR), 1, 13))::BIGINT / 4503599627370496.0 AS u FROM documents),
+w0 AS MATERIALIZED (SELECT source, lang, topic, sum(n)::BIGINT AS tokens, 1.0::DOUBLE AS w FROM d GROUP BY ALL),
+tot AS MATERIALIZED (SELECT sum(tokens)::DOUBLE AS t FROM w0)"""]
+    for dim in ("source", "lang", "topic"):
+        steps.append(f"""
+t_{dim} AS MATERIALIZED (SELECT {dim}, pow(sum(tokens)::DOUBLE, {power}) / sum(pow(sum(tokens)::DOUBLE, {power})) OVER () AS share
+  FROM w0 GROUP BY 1)""")
+    k = 0
+    for _ in range(rounds):
+        for dim in ("source", "lang", "topic"):
+            steps.append(f"""
+w{k + 1} AS MATERIALIZED (SELECT source, lang, topic, tokens,
+  w * coalesce(share * t / nullif(sum(w * tokens) OVER (PARTITION BY w{k}.{dim}), 0), 1) AS w
+  FROM w{k} JOIN t_{dim} ON w{k}.{dim} IS NOT DISTINCT FROM t_{dim}.{dim}, tot)""".replace("SELECT source, lang, topic", "SELECT " + ", ".join(f"w{k}.{c}" for c in ("source", "lang", "topic"))))
+            k += 1
+    steps.append(f"""
+o AS (SELECT *, row_number() OVER (ORDER BY w DESC, source, lang, topic) AS i FROM w{k}),
+r AS (SELECT i, w, ({budget} * t - coalesce(sum(tokens) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+             / sum(w * tokens) OVER (ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate FROM o, tot),
+rate AS (SELECT rate FROM r WHERE rate * w <= 1 ORDER BY i LIMIT 1)""")
+    return "WITH " + ",".join(steps) + f"""
+SELECT doc_id, d.source, d.lang, d.topic, n::BIGINT AS n_tokens, round(w, 6) AS weight, round(least(1.0, w * rate), 6) AS probability,
+       u < least(1.0, w * rate) AS sampled
+FROM d JOIN w{k} AS c ON d.source IS NOT DISTINCT FROM c.source AND d.lang IS NOT DISTINCT FROM c.lang AND d.topic = c.topic, rate
+"""
+
+
+MIXING = _mixing()
+
+_PIECES = "[A-Za-z]+|[0-9]|[^ \\t-\\rA-Za-z0-9]"
+_CLEAN = "regexp_replace(text, '[!-/:-@\\[-`{-~]+', '', 'g')"
+TOKEN_COUNTS = f"""
+WITH l AS (SELECT doc_id, max(toxic) AS toxic, min(quality) AS quality FROM labels GROUP BY 1),
+d AS (SELECT source, lang, CASE WHEN quality = 0 THEN {_CLEAN} ELSE text END AS text
+      FROM documents LEFT JOIN l USING (doc_id) WHERE coalesce(toxic, 0) <> 1),
+c AS (SELECT source, lang, unnest([{{'t': 'words-1', 'n': {_COUNT.format("text", "[^ \\t-\\r]+")}}},
+                                   {{'t': 'pieces-1', 'n': {_COUNT.format("text", _PIECES)}}}]) AS c FROM d)
+SELECT source, lang, c.t AS tokenizer, count(*)::BIGINT AS n_docs, sum(c.n)::BIGINT AS n_tokens FROM c GROUP BY ALL
+"""
+
+URL_FILTERS = r"""
+WITH c AS MATERIALIZED (
+  SELECT page_id, url, (to_timestamp(page_id * 3600) AT TIME ZONE 'UTC')::DATE AS day,
+         lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1)) AS host,
+         list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1), '/'), lambda s: s <> '') AS seg,
+         regexp_extract(url, '://[^/?#]*/([^/?#]+)', 1) AS top FROM pages),
+f AS (SELECT host, min(day) AS day FROM c WHERE contains(host, 'farm') OR starts_with(host, 'blog.') GROUP BY 1),
+e AS (SELECT 'tracking' AS list, host || '/' || top AS pattern, CASE WHEN max(contains(url, 'utm_')) THEN 'block' ELSE 'allow' END AS action, day
+      FROM c WHERE host <> '' AND top <> '' GROUP BY host, top, day
+      UNION ALL SELECT 'farms', '.' || host, 'block', day FROM f
+      UNION ALL SELECT 'farms', host || '/en', 'allow', (day + 10)::DATE FROM f),
+dl AS (SELECT list, pattern, day, max(action) AS action FROM e GROUP BY ALL),
+v AS (SELECT *, lead(day) OVER (PARTITION BY list, pattern ORDER BY day) AS until FROM dl),
+p AS (SELECT page_id, day, host AS pattern, 1 AS rank FROM c WHERE host <> ''
+      UNION ALL SELECT page_id, day, '.' || array_to_string(string_split(host, '.')[i:], '.'), 0
+                FROM (SELECT *, unnest(range(1, len(string_split(host, '.')))) AS i FROM c WHERE host <> '')
+      UNION ALL SELECT page_id, day, host || '/' || array_to_string(seg[1:i], '/'), 2
+                FROM (SELECT *, unnest(range(1, len(seg) + 1)) AS i FROM c WHERE host <> '')),
+m AS (SELECT page_id, list, action, row_number() OVER (PARTITION BY page_id, list ORDER BY rank DESC, length(p.pattern) DESC, p.pattern DESC) AS k
+      FROM p JOIN v ON p.pattern = v.pattern AND p.day >= v.day AND (until IS NULL OR p.day < until)),
+g AS (SELECT page_id, count(*) AS n, string_agg(list, ',' ORDER BY list) FILTER (WHERE k = 1 AND action = 'block') AS blocked_by,
+             max(action) FILTER (WHERE k = 1) AS decision FROM m GROUP BY 1)
+SELECT page_id, coalesce(n, 0)::BIGINT AS n_active, coalesce(blocked_by, '') AS blocked_by, coalesce(decision, 'none') AS decision
+FROM c LEFT JOIN g USING (page_id)
+"""
