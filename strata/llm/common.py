@@ -190,6 +190,18 @@ def by_key_runs(df: DataFrame, keys: list[str], order: list[str], fn: Callable,
             .mapInArrow(fn, schema))
 
 
+def mark(text_col: str):
+    """A hash of a row's text: with the id it tells rows apart, also those without an id."""
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that are not in ``gone`` (doc_id, mark), compared null-safe."""
+    gone = gone.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (mark(text_col) == F.col("_mark"))
+    return docs.join(gone, same, "left_anti")
+
+
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, component) of the nodes in ``edges`` (columns a, b; long): component is the
     smallest node reachable.

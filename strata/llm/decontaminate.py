@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import ALNUM, Words, gram_hashes, mix, staged, text_chunks
+from strata.llm.common import ALNUM, Words, gram_hashes, mark, mix, staged, text_chunks, without
 
 #: Bits of the Bloom filter (2 MB), two per gram.
 FILTER_BITS = 1 << 24
@@ -125,7 +125,7 @@ def bloom(grams: DataFrame) -> np.ndarray:
 
 def _candidates(docs: DataFrame, id_col: str, text_col: str, k: int, window: int, lengths: list[int],
                 bits) -> DataFrame:
-    """(doc_id, n_words, found): a document's grams that may be in the benchmark."""
+    """(doc_id, mark, n_words, found): a document's grams that may be in the benchmark."""
     struct = pa.struct([("n", pa.int32()), ("hash", pa.int64()), ("pos", pa.int32()), ("context", pa.list_(pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,12 +145,13 @@ def _candidates(docs: DataFrame, id_col: str, text_col: str, k: int, window: int
                     for p, x, i, c in zip(at.tolist(), h.view(np.int64).tolist(), in_doc.tolist(), ctx):
                         found[i].append({"n": n, "hash": x, "pos": p - int(words.first[i]), "context": c})
                 yield pa.RecordBatch.from_arrays([
-                    b.column(0).slice(row, end - row), pa.array(np.diff(words.first)),
-                    pa.array(found, type=pa.list_(struct))], names=["doc_id", "n_words", "found"])
+                    b.column(0).slice(row, end - row), b.column(2).slice(row, end - row), pa.array(np.diff(words.first)),
+                    pa.array(found, type=pa.list_(struct))], names=["doc_id", "mark", "n_words", "found"])
 
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                         mark(text_col).alias("mark"))
     return source.mapInArrow(
-        run, f"doc_id long, n_words long, found array<struct<n:int,hash:long,pos:int,context:{_CONTEXT}>>")
+        run, f"doc_id long, mark long, n_words long, found array<struct<n:int,hash:long,pos:int,context:{_CONTEXT}>>")
 
 
 def _extend(side: int, k: int) -> tuple[Column, Column]:
@@ -168,7 +169,7 @@ def _extend(side: int, k: int) -> tuple[Column, Column]:
 def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          item_col: str = "item_id", item_text_col: str = "text", window: int = 10,
          k: int = 8) -> tuple[DataFrame, DataFrame]:
-    """(rows, spans): ``rows`` has (row, doc_id, n_words) for every input row; ``spans`` has
+    """(rows, spans): ``rows`` has (row, doc_id, mark, n_words) for every input row; ``spans`` has
     (row, item_id, start, end), the word ranges of a row that match an item."""
     grams = staged(benchmark_grams(items, item_col, item_text_col, k, window), "decontaminate-grams")
     lengths = [r.n for r in grams.where(F.col("n") < window).select("n").distinct().collect()]  # at most window - 1
@@ -187,7 +188,7 @@ def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
                     .otherwise(F.col("context") == F.col("item_context")))
              .select("row", "item_id", (F.col("pos") - F.col("left")).alias("start"),
                      (F.col("pos") + F.when(long, F.lit(k)).otherwise(F.col("n")) + F.col("right")).alias("end")))
-    return rows.select("row", "doc_id", "n_words"), spans
+    return rows.select("row", "doc_id", "mark", "n_words"), spans
 
 
 def contamination(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
@@ -214,3 +215,9 @@ def contamination(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
                     F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
                     F.sha2(F.coalesce("items", F.lit("")).cast("binary"), 256).alias("items_sha256"),
                     (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated")))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``docs``, all columns, that hold no window of an item; see ``contamination``."""
+    rows, spans = hits(docs, items, id_col, text_col, **how)
+    return without(docs, rows.join(spans.select("row").distinct(), "row", "left_semi"), id_col, text_col)

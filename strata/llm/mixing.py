@@ -62,17 +62,16 @@ def rake(cells: DataFrame, targets: DataFrame, rounds: int = ROUNDS) -> DataFram
     last dimension is exact, the others as near as the rounds bring them.
     """
     total = cells.agg(F.sum("tokens").alias("t")).first().t or 0
+    shares = staged(targets.groupBy("dimension", "value").agg(F.sum("share").alias("share")), "mixing-shares")
     now = cells.withColumn("weight", F.lit(1.0))
-    for _ in range(rounds):
-        for d in DIMENSIONS:
-            share = targets.where(F.col("dimension") == d).groupBy("value").agg(F.sum("share").alias("share"))
-            margin = now.groupBy(F.col(d).alias("value")).agg(F.sum(F.col("weight") * F.col("tokens")).alias("m"))
-            factor = (margin.withColumnRenamed("value", "v").join(share, F.col("v").eqNullSafe(F.col("value")), "left")
-                      .select("v", F.when(F.col("m") > 0, F.coalesce("share", F.lit(0.0)) * float(total) / F.col("m"))
-                              .otherwise(F.lit(1.0)).alias("factor")))
-            now = (now.join(factor, F.col(d).eqNullSafe(F.col("v")))
-                   .withColumn("weight", F.col("weight") * F.col("factor")).drop("v", "factor"))
-        now = staged(now, "mixing-round")
+    for d in DIMENSIONS * rounds:
+        share = shares.where(F.col("dimension") == d).select("value", "share")
+        margin = now.groupBy(F.col(d).alias("v")).agg(F.sum(F.col("weight") * F.col("tokens")).alias("m"))
+        factor = (margin.join(share, F.col("v").eqNullSafe(F.col("value")), "left")
+                  .select("v", F.when(F.col("m") > 0, F.coalesce("share", F.lit(0.0)) * float(total) / F.col("m"))
+                          .otherwise(F.lit(1.0)).alias("factor")))
+        now = staged(now.join(factor, F.col(d).eqNullSafe(F.col("v")))
+                     .withColumn("weight", F.col("weight") * F.col("factor")).drop("v", "factor"), "mixing-step")
     return now
 
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import Words, separators, staged, text_chunks
+from strata.llm.common import Words, mark, separators, staged, text_chunks, without
 from strata.llm.toxicity import logistic_fit
 
 #: At most so many labelled rows of each class are used for the classifier.
@@ -152,7 +152,7 @@ def evidence(docs: DataFrame, model: Classifier, id_col: str, text_col: str, hos
 
     text = F.col(text_col).cast("string")
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(host_col).cast("string").alias("host"),
-                         F.col(path_col).cast("string").alias("path"), F.xxhash64(text).alias("mark"), text.alias("text"))
+                         F.col(path_col).cast("string").alias("path"), mark(text_col).alias("mark"), text.alias("text"))
     return source.mapInArrow(run, "id long, host string, path string, mark long, evidence double, p double")
 
 
@@ -210,6 +210,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """The rows of ``docs``, all columns, that ``score`` keeps. A row is known by its id and text, so
     rows that share an id are judged one by one, and a row without an id by its text."""
     id_col, text_col = how.get("id_col", "doc_id"), how.get("text_col", "text")
-    bad = score(docs, labels, **how).where(~F.col("keep")).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("_mark"))
-    return docs.join(bad, same, "left_anti")
+    return without(docs, score(docs, labels, **how).where(~F.col("keep")), id_col, text_col)

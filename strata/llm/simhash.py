@@ -22,10 +22,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import by_key_runs, connected_components, run_bounds, runs, staged
+from strata.llm.common import by_key_runs, connected_components, mark, run_bounds, runs, staged, without
 
 #: Rows of a bucket that one task compares with another tile.
 TILE = 4096
@@ -64,16 +64,17 @@ def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                  seed: int = 42) -> DataFrame:
-    """(id, fp long): one row per input row; a null text has no words and the fingerprint zero."""
+    """(id, fp long, mark): one row per input row; a null text has no words and the fingerprint zero."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(1).cast(pa.large_binary())
             fp = np.fromiter((fingerprint(t.as_py() or b"", shingle, seed) for t in texts), dtype=np.uint64,
                              count=len(texts))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64)), b.column(2)], names=["id", "fp", "mark"])
 
     ids = F.col(id_col).cast("long").alias("id")
-    return docs.select(ids, F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id long, fp long")
+    return (docs.select(ids, F.col(text_col).cast("string").alias("text"), mark(text_col).alias("mark"))
+            .mapInArrow(run, "id long, fp long, mark long"))
 
 
 def _block_masks(blocks: int) -> list[int]:
@@ -229,7 +230,7 @@ def links(classes: DataFrame, radius: int = 4, blocks: int | None = None, tile:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                     radius: int = 4, seed: int = 42) -> DataFrame:
-    """(doc_id, fingerprint, component_id), one row per row of ``docs``.
+    """(doc_id, fingerprint, component_id, mark), one row per row of ``docs``; mark is a hash of the text.
 
     component_id is the smallest id reachable over links of ``radius`` bits or fewer, itself
     included. Null and empty texts have the fingerprint zero and link like any other. A row with
@@ -245,4 +246,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by_fp = named.join(component.withColumnRenamed("node", "rep"), "rep", "left").select(
         "fp", F.coalesce("component", "rep").alias("component_id"))
     return rows.join(by_fp, "fp", "left").select(
-        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "mark")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``docs``, all columns, with one document of each component: that with the smallest id.
+
+    Of rows that repeat an id one stays, with the least text. A row without an id goes if its
+    fingerprint is that of a row with one, and stays otherwise.
+    """
+    found = near_duplicates(docs, id_col, text_col, **how)
+    rest = without(docs, found.where("not component_id <=> doc_id"), id_col, text_col)
+    ids = docs.groupBy(F.col(id_col).alias("_id")).agg(F.count("*").alias("n")).where("n > 1 and _id is not null")
+    repeated = staged(ids.select("_id"), "simhash-repeated")
+    if repeated.isEmpty():
+        return rest
+    same = F.col(id_col) == F.col("_id")
+    order = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first())
+    one = rest.join(repeated, same, "left_semi").withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    return rest.join(repeated, same, "left_anti").union(one)
