@@ -67,8 +67,11 @@ def merge_type1(target: DataFrame | None, source: DataFrame, natural_key: str, k
     natural key is the primary key).
 
     Presence is decided per row with a marker column, not per value with ``coalesce``, so a
-    NULL in the source still replaces a target value.
+    NULL in the source still replaces a target value. A NULL natural key names nobody: such source
+    rows are left out (the load reports them as rejects), and so are such target rows.
     """
+    source = source.where(F.col(natural_key).isNotNull())
+    target = None if target is None else target.where(F.col(natural_key).isNotNull())
     value_cols = [c for c in source.columns if c not in (natural_key, key_col, load_ts_col)]
     key_part = [key_col] if key_col else []
     tgt_cols = [*key_part, natural_key, *value_cols] + ([load_ts_col] if load_ts_col else [])

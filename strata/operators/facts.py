@@ -5,11 +5,10 @@ left-anti join). Re-running a batch adds nothing, so a retried micro-batch or a
 safe. Rows with a NULL grain part never match an anti-join and would be re-added every run;
 they are split off as rejects first.
 
-Scale: the stored history grows without bound while a batch touches few days. When the batch
-names at most ``max_prune_values`` distinct partition values, the history is filtered with a
-literal ``IN`` list so the Parquet scan reads only those partitions (static pruning); beyond
-that the history is semi-joined to the batch's values, which still lets dynamic partition
-pruning apply.
+Scale: the stored history grows without bound while a batch touches few days. The history is
+semi-joined to the batch's distinct days, so dynamic partition pruning reads only those partitions.
+The days are broadcast: a table of days is bounded by the calendar (a century is 36,525 rows). They
+can be given as a narrow table (``days``), so that the batch's joins do not run just to list them.
 """
 
 from __future__ import annotations
@@ -34,27 +33,27 @@ def split_null_grain(batch: DataFrame, grain: Sequence[str]) -> tuple[DataFrame,
     return batch.where(~bad), batch.where(bad)
 
 
-def prune_history(history: DataFrame, batch: DataFrame, prune_col: str,
-                  max_prune_values: int = 64) -> DataFrame:
-    """The part of ``history`` whose ``prune_col`` occurs in the batch."""
-    vals = batch.select(prune_col).where(F.col(prune_col).isNotNull()).distinct()
-    few = vals.limit(max_prune_values + 1).collect()
-    if len(few) <= max_prune_values:
-        return history.where(F.col(prune_col).isin([r[0] for r in few]))
-    return history.join(vals, prune_col, "left_semi")
+def prune_history(history: DataFrame, days: DataFrame, prune_col: str) -> DataFrame:
+    """The part of ``history`` whose ``prune_col`` occurs in ``days`` (any rows with that column)."""
+    # Not null, said as a comparison: Catalyst plans dynamic pruning only by a filtered side.
+    wanted = days.select(prune_col).where(F.col(prune_col).cast("string") > "").distinct()
+    return history.join(F.broadcast(wanted), prune_col, "left_semi")
 
 
 def new_facts(batch: DataFrame, history: DataFrame | None, grain: Sequence[str],
-              prune_col: str | None = None, max_prune_values: int = 64) -> DataFrame:
-    """Rows of ``batch`` whose grain is not yet in ``history`` (NULL-grain rows excluded)."""
+              prune_col: str | None = None, days: DataFrame | None = None) -> DataFrame:
+    """Rows of ``batch`` whose grain is not yet in ``history`` (NULL-grain rows excluded).
+
+    prune_col: the day (or month) by which the history is partitioned; ``days`` lists the batch's
+    values of it, by default taken from the batch itself.
+    """
     grain = list(grain)
     good, _ = split_null_grain(batch, grain)
     if history is None:
         return good
-    hist = history.select(*grain)
     if prune_col is not None:
-        hist = prune_history(hist, good, prune_col, max_prune_values)
-    return good.join(hist, grain, "left_anti")
+        history = prune_history(history, good if days is None else days, prune_col)
+    return good.join(history.select(*grain), grain, "left_anti")
 
 
 def dedupe_grain(batch: DataFrame, grain: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -7,9 +7,10 @@ the loop yields the lowest tier directly, ends on cycles, and runs as many jobs
 hierarchy is deep. Nodes never reached (orphans, cycles without a root) get no row; a left
 join from the caller gives them a NULL tier.
 
-Scale: edges are hash-partitioned by parent and checkpointed once, so each level shuffles only
-the frontier; every level is checkpointed to the shared checkpoint folder, which cuts lineage
-and lets a lost executor recompute from the last level instead of from the source.
+Scale: the edges are checkpointed once, and adaptive execution plans each level's join, so a parent
+with very many children is split over tasks. Every level is checkpointed to the shared folder, which
+cuts lineage and lets a lost executor recompute from the last level instead of from the source. The
+nodes reached so far are kept in few checkpoints: every ``_COMPACT`` levels they are written as one.
 """
 
 from __future__ import annotations
@@ -19,70 +20,68 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.session import ensure_checkpoint_dir, working_partitions
+from strata.session import ensure_checkpoint_dir
+
+# Levels whose nodes are written together, so that plans stay small in deep hierarchies.
+_COMPACT = 8
 
 
 class HierarchyDepthError(RuntimeError):
     pass
 
 
-def hierarchy_tier(df: DataFrame, node: str, parent: str, max_depth: int | None = 100,
-                   tier_alias: str = "tier", num_partitions: int | None = None) -> DataFrame:
+def _check_depth(deeper: DataFrame, max_depth: int) -> None:
+    if not deeper.isEmpty():
+        raise HierarchyDepthError(f"hierarchy deeper than {max_depth} steps below a root")
+
+
+def hierarchy_tier(df: DataFrame, node: str, parent: str, max_depth: int | None = None,
+                   tier_alias: str = "tier") -> DataFrame:
     """Lowest tier per node: roots (NULL parent) are tier 1.
 
-    ``max_depth`` mirrors the source's recursion limit: a chain longer than that raises.
+    The loop ends by itself, also on cycles. ``max_depth`` is the number of steps below a root that
+    are allowed, as a recursion limit counts them: a node at tier ``max_depth + 2`` raises.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or working_partitions(spark)
+    ensure_checkpoint_dir(df.sparkSession)
     edges = (df.select(F.col(node).alias("child"), F.col(parent).alias("parent"))
-             .where(F.col("child").isNotNull())
-             .distinct())
-    linked = (edges.where(F.col("parent").isNotNull())
-              .repartition(n, "parent")
-              .checkpoint(eager=True))
+             .where(F.col("child").isNotNull()).distinct().checkpoint(eager=True))
+    linked = edges.where(F.col("parent").isNotNull())
     frontier = (edges.where(F.col("parent").isNull())
-                .select(F.col("child").alias("node")).distinct()
-                .repartition(n, "node")
+                .select(F.col("child").alias("node"), F.lit(1).alias(tier_alias)).distinct()
                 .checkpoint(eager=True))
-    levels = [frontier.select("node", F.lit(1).alias(tier_alias))]
+    reached = [frontier]
     level = 1
     while not frontier.isEmpty():
-        if max_depth is not None and level >= max_depth:
-            raise HierarchyDepthError(f"hierarchy deeper than {max_depth} levels")
+        if max_depth is not None and level > max_depth + 1:
+            _check_depth(frontier, max_depth)
         level += 1
-        # Every level is a checkpointed scan, so this union's lineage stays shallow.
-        seen = levels[0].select("node")
-        for lv in levels[1:]:
-            seen = seen.unionByName(lv.select("node"))
-        seen = seen.withColumn("__seen", F.lit(True))
-        # linked is hash-partitioned by parent, so the level join shuffles at most the frontier. The "not reached yet" test is a left join + IS NULL:
-        # written as a left-anti join, Catalyst pushes it below the inner join onto the edge
-        # table, which would then be shuffled twice on every level.
-        # The distinct and the left join already leave the output hash-partitioned by node, so
-        # no explicit repartition: if AQE coalesces it, only the small frontier is re-shuffled
-        # to meet the edge table's partitioning at the next level.
-        nxt = (frontier.join(linked, frontier["node"] == linked["parent"], "inner")
-               .select(F.col("child").alias("node"))
-               .distinct()
-               .join(seen, "node", "left")
-               .where(F.col("__seen").isNull())
-               .select("node"))
-        frontier = nxt.checkpoint(eager=True)
-        levels.append(frontier.select("node", F.lit(level).alias(tier_alias)))
-    reached = levels[0]
-    for lv in levels[1:]:
-        reached = reached.unionByName(lv)
-    return reached.select(F.col("node").alias(node), F.col(tier_alias))
-
-
-def hierarchy_tier_doubling(df: DataFrame, node: str, parent: str, max_depth: int | None = 100,
-                            tier_alias: str = "tier", max_rounds: int = 64) -> DataFrame:
+        if len(reached) > _COMPACT:
+            reached = [_union(reached).checkpoint(eager=True)]
+        seen = _union(reached).select("node", F.lit(True).alias("__seen"))
+        # The "not reached yet" test is a left join + IS NULL: written as a left-anti join, Catalyst
+        # pushes it below the inner join onto the edge table, which would then be shuffled twice.
+        found = (frontier.select(F.col("node").alias("parent")).join(linked, "parent")
+                 .select(F.col("child").alias("node")).distinct()
+                 .join(seen, "node", "left").where(F.col("__seen").isNull()))
+        frontier = found.select("node", F.lit(level).alias(tier_alias)).checkpoint(eager=True)
+        reached.append(frontier)
+    return _union(reached).select(F.col("node").alias(node), F.col(tier_alias))
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def hierarchy_tier_doubling(df: DataFrame, node: str, parent: str, max_depth: int | None = None,
+                            tier_alias: str = "tier") -> DataFrame:
     """H1 for tree-shaped hierarchies (at most one parent row per node), in O(log depth) rounds.
 
     Pointer doubling: each node keeps (ancestor, distance); every round replaces the ancestor by
     the ancestor's ancestor and adds the distances, until it reaches a root (tier = distance + 1)
-    or a missing parent (unreachable). Deep chains take about log2(depth) rounds instead of
+    or a missing parent (unreachable). ``max_depth`` is as in ``hierarchy_tier``. Deep chains take about log2(depth) rounds instead of
     one job per level. Cycles never reach a root and get no tier, as in breadth-first order.
     Raises ValueError when some node has several parent rows (use ``hierarchy_tier``).
     """
@@ -107,7 +106,7 @@ def hierarchy_tier_doubling(df: DataFrame, node: str, parent: str, max_depth: in
     # After ceil(log2(n)) + 1 rounds every node that can reach a root has done so; what is still
     # open then sits on a cycle (or under one) and gets no tier.
     n_nodes = state.count()
-    rounds = min(max_rounds, max(1, math.ceil(math.log2(max(n_nodes, 2)))) + 1)
+    rounds = max(1, math.ceil(math.log2(max(n_nodes, 2)))) + 1
     for _ in range(rounds):
         if state.where(F.col("status") == "open").limit(1).count() == 0:
             break
@@ -127,6 +126,6 @@ def hierarchy_tier_doubling(df: DataFrame, node: str, parent: str, max_depth: in
              .otherwise(F.col("status")).alias("status"),
         ).checkpoint(eager=True)
     tiers = state.where(F.col("status") == "done").select("node", (F.col("dist") + 1).alias(tier_alias))
-    if max_depth is not None and tiers.where(F.col(tier_alias) > max_depth).limit(1).count() > 0:
-        raise HierarchyDepthError(f"hierarchy deeper than {max_depth} levels")
+    if max_depth is not None:
+        _check_depth(tiers.where(F.col(tier_alias) > max_depth + 1), max_depth)
     return tiers.select(F.col("node").alias(node), F.col(tier_alias))

@@ -109,23 +109,24 @@ class RunAudit:
         try:
             result = fn(*args, **kwargs)
         except Exception as exc:  # recorded, then re-raised
-            self._add(name, start, t0, "failed", None, str(exc)[:1000])
+            self._add(name, start, t0, "failed", None, str(exc))
             self.flush()
             raise
-        self._add(name, start, t0, "succeeded", self._observed_rows(_obs), None)
+        rows, why = self._observed_rows(_obs)
+        self._add(name, start, t0, "succeeded", rows, why)
         return result
 
     @staticmethod
-    def _observed_rows(obs: Observation | None) -> int | None:
-        # The count is audit metadata: if the metric cannot be read (it can be missing when
-        # jobs of one session run concurrently), record NULL rather than fail the load.
+    def _observed_rows(obs: Observation | None) -> tuple[int | None, str | None]:
+        """(rows, None), or (None, why the count is missing). The count is audit metadata: a metric
+        that cannot be read (jobs of one session may run concurrently) does not fail the load."""
         if obs is None:
-            return None
+            return None, None
         try:
             value = obs.get.get("rows")
-        except Exception:
-            return None
-        return int(value) if value is not None else None
+        except Exception as exc:
+            return None, f"row count not read: {exc}"
+        return (int(value), None) if value is not None else (None, "row count not read: no metric arrived")
 
     def write(self, name: str, df: DataFrame, writer):
         """Run ``writer(df)`` as a step, counting the rows it writes as a side metric."""

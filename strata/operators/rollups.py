@@ -30,40 +30,47 @@ def list_per_key(df: DataFrame, key: str | Sequence[str], value: str, alias: str
     return rows.groupBy(*keys).agg(_ordered_join(F.collect_list(elem), sep).alias(alias))
 
 
+def _slots(specs: list[tuple[DataFrame, Column]], key: str) -> DataFrame:
+    """One row per child row with its key and a slot ``__e<i>`` per spec (child, value).
+
+    Specs that read the same child table share its rows, so each child is scanned once; a row
+    leaves the slots of other children NULL.
+    """
+    types = [c.select(v.alias("v")).schema["v"].dataType for c, v in specs]
+    parts, done = [], []
+    for child, _ in specs:
+        if any(child is d for d in done):
+            continue
+        done.append(child)
+        parts.append(child.select(F.col(key).alias("__key"), *[
+            (v if c is child else F.lit(None).cast(types[i])).alias(f"__e{i}") for i, (c, v) in enumerate(specs)]))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def flat_lists(base: DataFrame, key: str, lists: Mapping[str, tuple], default: str = DEFAULT_TEXT,
-               sep: str = ", ") -> DataFrame:
+               sep: str = ", ", distinct: bool = False) -> DataFrame:
     """Attach several per-key lists to ``base``; keys without children get ``default``.
 
-    ``lists`` maps output column -> (child DataFrame, value column[, order columns]).
-    All children are tagged and unioned, then aggregated in **one** shuffle and joined to the
-    base once, instead of one aggregation and one join per list.
+    ``lists`` maps output column -> (child DataFrame, value column[, order columns]). Children are
+    aggregated in **one** shuffle and joined to the base once, instead of one aggregation and one
+    join per list; lists of the same child DataFrame read it once. ``distinct`` keeps each value
+    (with its order columns) once per key, already before the shuffle.
     """
     specs = []
-    for alias, spec in lists.items():
-        child, value = spec[0], spec[1]
-        order = list(spec[2]) if len(spec) > 2 else []
-        elem = F.struct(*[F.col(o).alias(f"o{j}") for j, o in enumerate(order)],
+    for child, value, *order in lists.values():
+        elem = F.struct(*[F.col(o).alias(f"o{j}") for j, o in enumerate(order[0] if order else [])],
                         F.col(value).cast("string").alias("v"))
-        specs.append((alias, child.where(F.col(value).isNotNull()), elem))
-    # Wide union: child i fills slot i and leaves the other slots NULL, so each slot keeps
-    # its own element type and collect_list (which skips NULLs) separates the lists.
-    elem_types = [c.select(e.alias("e")).schema["e"].dataType for _, c, e in specs]
-    parts = []
-    for i, (_alias, child, elem) in enumerate(specs):
-        slots = [elem.alias(f"__e{j}") if j == i else F.lit(None).cast(elem_types[j]).alias(f"__e{j}")
-                 for j in range(len(specs))]
-        parts.append(child.select(F.col(key).alias("__key"), *slots))
-    children = parts[0]
-    for p in parts[1:]:
-        children = children.unionByName(p)
-    aggs = [F.collect_list(F.col(f"__e{i}")).alias(f"__l{i}") for i in range(len(specs))]
-    agg = children.groupBy("__key").agg(*aggs)
+        specs.append((child, F.when(F.col(value).isNotNull(), elem)))
+    collect = F.collect_set if distinct else F.collect_list
+    agg = _slots(specs, key).groupBy("__key").agg(*[collect(f"__e{i}").alias(f"__l{i}") for i in range(len(specs))])
     # A key with rows for some lists only has an empty array for the others: default too.
     joined = base.join(agg, base[key] == agg["__key"], "left")
     out = [base[c] for c in base.columns]
-    for i, (alias, _c, _e) in enumerate(specs):
-        arr = F.col(f"__l{i}")
-        text = F.when(F.size(arr) > 0, _ordered_join(arr, sep))
+    for i, alias in enumerate(lists):
+        text = F.when(F.size(f"__l{i}") > 0, _ordered_join(F.col(f"__l{i}"), sep))
         out.append(F.coalesce(text, F.lit(default)).alias(alias))
     return joined.select(*out)
 
@@ -72,20 +79,12 @@ def child_counts(base: DataFrame, key: str, children: Mapping[str, tuple]) -> Da
     """A3: per-key child counts attached to ``base``, 0 when there are no children.
 
     ``children`` maps output column -> (child DataFrame, counted column or None for rows,
-    distinct flag). Children are unioned and counted in one aggregation.
+    distinct flag). All are counted in one aggregation; counts of the same child DataFrame read it once.
     """
-    parts = []
-    for i, (alias, (child, counted, _distinct)) in enumerate(children.items()):
-        v = F.col(counted).cast("string") if counted else F.lit("")
-        parts.append(child.select(F.col(key).alias("__key"), F.lit(i).alias("__tag"), v.alias("__v")))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    aggs = []
-    for i, (alias, (_child, counted, distinct)) in enumerate(children.items()):
-        sel = F.when(F.col("__tag") == i, F.col("__v"))
-        aggs.append((F.count_distinct(sel) if distinct else F.count(sel)).alias(alias))
-    agg = u.groupBy("__key").agg(*aggs)
+    specs = [(child, F.col(counted).cast("string") if counted else F.lit("")) for child, counted, _ in children.values()]
+    aggs = [(F.count_distinct(F.col(f"__e{i}")) if distinct else F.count(f"__e{i}")).alias(alias)
+            for i, (alias, (_, _, distinct)) in enumerate(children.items())]
+    agg = _slots(specs, key).groupBy("__key").agg(*aggs)
     joined = base.join(agg, base[key] == agg["__key"], "left")
     return joined.select(*[base[c] for c in base.columns],
                          *[F.coalesce(F.col(a), F.lit(0)).cast("long").alias(a) for a in children])

@@ -23,7 +23,13 @@ def _maybe(cond: Column, value: Column) -> Column:
     return F.when(cond, value)
 
 
-def card_documents(part: DataFrame, lineitem: DataFrame, as_of: _dt.datetime = DOC_AS_OF) -> DataFrame:
+# The market prices that the documents carry, of the names that a card may have.
+CARDMARKET_PRICES = ("averageSellPrice", "lowPrice")
+
+
+def card_documents(part: DataFrame, lineitem: DataFrame, as_of: _dt.datetime = DOC_AS_OF,
+                   updated: Column | None = None) -> DataFrame:
+    """updated: the day from which the price update days count back (by default the run day)."""
     k = F.col("p_partkey")
     words = F.split(F.upper("p_name"), " ")
     brand_no = F.regexp_extract("p_brand", r"(\d+)", 1).cast("int")
@@ -32,9 +38,9 @@ def card_documents(part: DataFrame, lineitem: DataFrame, as_of: _dt.datetime = D
         F.max("l_discount").alias("md"), F.min("l_tax").alias("tlo"), F.max("l_tax").alias("thi"),
         F.min("l_quantity").alias("qmin"))
     p = part.join(prices, part["p_partkey"] == prices["l_partkey"], "left")
-    upd_day = F.date_sub(F.lit(as_of.date().isoformat()).cast("date"), (k % UPDATE_SPREAD_DAYS).cast("int"))
+    upd_day = F.date_sub(F.lit(as_of.date()) if updated is None else updated, (k % UPDATE_SPREAD_DAYS).cast("int"))
     upd_text = F.date_format(upd_day, "yyyy/MM/dd")
-    set_ts = F.format_string("2018/03/04 10:%02d:00", (k % 60).cast("int"))
+    set_ts = F.format_string("2001/02/03 04:%02d:00", (k % 60).cast("int"))
     tcg_prices = F.when(F.col("n").isNotNull(), F.create_map(
         F.lit("normal"), F.struct(F.col("lo").alias("low"), F.col("hi").alias("high"),
                                   _maybe(F.col("n") % 2 == 0, F.col("md") * F.lit(100.0)).alias("market")),
@@ -55,16 +61,16 @@ def card_documents(part: DataFrame, lineitem: DataFrame, as_of: _dt.datetime = D
                          F.when(F.col("p_size") % 5 == 0, F.lit(" ")).otherwise(F.col("p_size").cast("string"))
                          .alias("damage"),
                          F.col("p_brand").alias("text"))).alias("attacks"),
-        F.array(F.struct(words.getItem(0).alias("type"), F.lit("×2").alias("value"))).alias("weaknesses"),
-        F.when(F.col("p_size") % 2 == 1, F.array(F.struct(F.lit("PSYCHIC").alias("type"),
-                                                          F.lit("-20").alias("value"))))
+        F.array(F.struct(words.getItem(0).alias("type"), F.concat(F.lit("×"), F.col("p_size").cast("string")).alias("value"))).alias("weaknesses"),
+        F.when(F.col("p_size") % 2 == 1, F.array(F.struct(F.col("p_brand").alias("type"),
+                                                          F.col("p_size").cast("string").alias("value"))))
          .otherwise(F.array().cast("array<struct<type:string,value:string>>")).alias("resistances"),
-        F.array_repeat(F.lit("Colorless"), (F.col("p_size") % 4).cast("int")).alias("retreatCost"),
+        F.array_repeat(words.getItem(1), (F.col("p_size") % 4).cast("int")).alias("retreatCost"),
         (F.col("p_size") % 4).cast("int").alias("convertedRetreatCost"),
         F.struct(F.col("p_brand").alias("id"), F.concat("p_brand", F.lit(" Set")).alias("name"),
                  F.concat(F.lit("Series "), (brand_no % 3).cast("string")).alias("series"),
                  brand_no.alias("printedTotal"), (brand_no + 1).alias("total"), F.lit("ST").alias("ptcgoCode"),
-                 F.lit("2010/11/03").alias("releaseDate"),
+                 F.format_string("20%02d/01/01", (brand_no % 25).cast("int")).alias("releaseDate"),
                  F.when(k % 7 == 0, F.substring(set_ts, 2, 100)).otherwise(set_ts).alias("updatedAt"),
                  F.struct(F.concat(F.lit("https://img.example/"), F.col("p_brand"), F.lit("/symbol.png")).alias("symbol"),
                           F.concat(F.lit("https://img.example/"), F.col("p_brand"), F.lit("/logo.png")).alias("logo"))
@@ -72,7 +78,7 @@ def card_documents(part: DataFrame, lineitem: DataFrame, as_of: _dt.datetime = D
         F.when(k % 11 == 0, F.concat(F.lit("TG"), F.col("p_size").cast("string")))
          .otherwise(F.col("p_size").cast("string")).alias("number"),
         F.concat(F.lit("Artist "), (k % 5).cast("string")).alias("artist"),
-        F.when(k % 9 == 0, F.lit(None).cast("string")).otherwise(F.lit("Rare")).alias("rarity"),
+        F.when(k % 9 == 0, F.lit(None).cast("string")).otherwise(F.col("p_type")).alias("rarity"),
         F.when(k % 4 == 0, F.lit(None).cast("string")).otherwise(F.col("p_name")).alias("flavorText"),
         F.array((k % 1000).cast("int")).alias("nationalPokedexNumbers"),
         F.struct(_maybe(F.col("p_size") > 40, F.lit("Legal")).alias("standard"),
@@ -81,8 +87,8 @@ def card_documents(part: DataFrame, lineitem: DataFrame, as_of: _dt.datetime = D
         F.struct(F.concat(F.lit("https://img.example/c"), k.cast("string"), F.lit(".png")).alias("small"),
                  F.concat(F.lit("https://img.example/c"), k.cast("string"), F.lit("_hires.png")).alias("large"))
         .alias("images"),
-        F.when(F.col("p_size") % 3 == 0, F.array(F.struct(F.lit("Sturdy").alias("name"),
-                                                          F.lit("Holds on.").alias("text")))).alias("abilities"),
+        F.when(F.col("p_size") % 3 == 0, F.array(F.struct(words.getItem(0).alias("name"),
+                                                          F.col("p_type").alias("text")))).alias("abilities"),
         F.struct(F.concat(F.lit("https://prices.example/c"), k.cast("string")).alias("url"),
                  upd_text.alias("updatedAt"), tcg_prices.alias("prices")).alias("tcgplayer"),
         F.struct(F.concat(F.lit("https://market.example/c"), k.cast("string")).alias("url"),

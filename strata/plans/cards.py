@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +23,7 @@ from strata.operators import (cast_rejects, child_counts, count_within, length_v
 from strata.plans.fixed_values import (BRONZE_RENAMES, CARDMARKET_PRICE_NAMES, CASE_INSENSITIVE,  # noqa: F401
                                        CLOCK_OFFSET_HOURS, DATE_DIM_END, DATE_DIM_START, DEFAULT_RARITY, ENERGY_COUNT_COLUMN, GOLD_WIDTHS,
                                        LEGALITY_LABELS, PRICE_FRESH_DAYS)
-from strata.sources import raw_json_columns, read_json_documents
+from strata.sources import CORRUPT_COLUMN, raw_json_columns, read_json_documents
 
 S, I, D = T.StringType(), T.IntegerType(), T.DoubleType()
 
@@ -67,12 +67,19 @@ def bronze_from_documents(docs: DataFrame, as_of: _dt.datetime) -> DataFrame:
     return docs.select(*cols, load_date.alias("load_date"))
 
 
+def accepted(bronze: DataFrame) -> Column:
+    """Whether a bronze row is a card: a document that could be parsed, with an id."""
+    whole = F.col(CORRUPT_COLUMN).isNull() if CORRUPT_COLUMN in bronze.columns else F.lit(True)
+    return whole & F.col("id").isNotNull()
+
+
 def read_bronze(spark: SparkSession, path: str | list[str], as_of: _dt.datetime, multi_line: bool = True,
-                raw: bool = False) -> DataFrame:
+                raw: bool = False, keep_corrupt: bool = False) -> DataFrame:
     """Bronze from the day's document. ``raw=True`` keeps the 13 nested fields as JSON text, as
     the source's bronze table does; silver accepts either layout (see ``as_typed``)."""
     schema = raw_json_columns(CARD_SCHEMA, RAW_JSON_FIELDS) if raw else CARD_SCHEMA
-    return bronze_from_documents(read_json_documents(spark, path, schema, multi_line=multi_line), as_of)
+    return bronze_from_documents(read_json_documents(spark, path, schema, multi_line=multi_line, keep_corrupt=keep_corrupt),
+                                 as_of)
 
 
 # The nested fields the source keeps as JSON text in bronze (arrays and objects).
@@ -391,23 +398,21 @@ def fact_candidates(tcg: DataFrame, cards_dim: DataFrame, dates_dim: DataFrame,
                     "full_date", "printing_finish_rarity", "market_price", "highest_price", "lowest_price")
 
 
-def fact_rows(tcg: DataFrame, cards_dim: DataFrame, dates_dim: DataFrame, sets_dim: DataFrame,
-              history: DataFrame | None, log_ts: _dt.datetime) -> DataFrame:
-    """D8 = J1 + J2 + J5: today's prices not yet stored at (date_id, card_key, finish)."""
-    rows = fact_candidates(tcg, cards_dim, dates_dim, sets_dim)
+def fact_rows(candidates: DataFrame, days: DataFrame, history: DataFrame | None, log_ts: _dt.datetime) -> DataFrame:
+    """D8 = J1 + J2 + J5: the candidates not yet stored at (date_id, card_key, finish).
+
+    days: the price table, whose ``date_id`` values bound the part of the history that is read.
+    """
     # One row per grain inside the batch (a card listed twice in the day's documents), as the
     # primary key demands; a partial aggregate, so a repeated card is combined map-side.
-    rows = keep_one(rows.where(F.col("date_id").isNotNull()), FACT_GRAIN,
+    rows = keep_one(candidates.where(F.col("date_id").isNotNull()), FACT_GRAIN,
                     ["market_price", "highest_price", "lowest_price", "set_key", "full_date"], latest=False)
-    # The freshness window bounds the batch's distinct days, so the history scan is pruned.
-    new = new_facts(rows, history, FACT_GRAIN, prune_col="date_id")
+    new = new_facts(rows, history, FACT_GRAIN, prune_col="date_id", days=days)
     return new.withColumn("log_created", sf.ts_literal(log_ts))
 
 
-def fact_rejects(tcg: DataFrame, cards_dim: DataFrame, dates_dim: DataFrame, sets_dim: DataFrame,
-                 log_ts: _dt.datetime) -> DataFrame:
+def fact_rejects(candidates: DataFrame, log_ts: _dt.datetime) -> DataFrame:
     """Q2 before D8: price rows whose grain has a NULL part (e.g. a day outside dim_dates);
     the source's primary key would reject the whole load, here they are kept aside."""
-    rows = fact_candidates(tcg, cards_dim, dates_dim, sets_dim)
-    _, bad = split_null_grain(rows, FACT_GRAIN)
+    _, bad = split_null_grain(candidates, FACT_GRAIN)
     return bad.withColumn("log_created", sf.ts_literal(log_ts))

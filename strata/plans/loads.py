@@ -4,6 +4,11 @@ Tables live under ``root/<layer>/<table>``. Bronze and silver are full refreshes
 new versions and published after the whole layer is written; gold dimensions are merged and
 republished; the fact is appended, partitioned by ``date_id``. Each step is audited; errors
 are recorded and re-raised (a failed layer is never published).
+
+Input that cannot be loaded never gets that far. Documents are written once to an unpublished bronze
+version, split by whether they are cards; the others (text that is no JSON document, cards without an
+id) go to ``audit/bronze_rejects``, and if a document was damaged the load raises before anything is
+published. Report tables hold one folder per run day, which a repeated run of that day replaces.
 """
 
 from __future__ import annotations
@@ -13,31 +18,59 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata import functions as sf
 from strata.operators import RunAudit
 from strata.plans import cards
 from strata.plans.fixed_values import STREAM_RUN_HOUR_UTC
-from strata.sources import (append_table, dated_path, land_pages, layer_path, publish_versions,
-                            read_table, replace_table)
+from strata.session import ensure_checkpoint_dir, scratch_path
+from strata.sources import (CORRUPT_COLUMN, append_table, create_if_absent, dated_path, land_pages, layer_path,
+                            publish_versions, read_table, replace_table, with_corrupt_column, write_day)
 from strata.sources.tables import version_path
-from strata.session import ensure_checkpoint_dir, spread
+from strata.streaming import run_stream
+
+
+class MalformedInputError(RuntimeError):
+    """A source document could not be parsed; nothing was published."""
+
+
+def _bronze_path(root: str) -> str:
+    return layer_path(root, "bronze", "cards_json_raw")
+
+
+def read_bronze_table(spark: SparkSession, root: str) -> DataFrame:
+    """The current bronze cards (rejected rows are in another partition, which is not read)."""
+    # A partition value comes back as text where the schema is read from the files.
+    return read_table(spark, _bronze_path(root)).where("cast(accepted AS boolean)").drop("accepted", CORRUPT_COLUMN)
+
+
+def _store_bronze(spark: SparkSession, root: str, bronze: DataFrame, as_of: _dt.datetime) -> DataFrame:
+    """Write bronze, put rows that are no cards aside, and publish unless a document was damaged."""
+    path = _bronze_path(root)
+    if CORRUPT_COLUMN not in bronze.columns:
+        bronze = bronze.withColumn(CORRUPT_COLUMN, F.lit(None).cast("string"))
+    # A multi-line document is read by one task per file: REBALANCE makes bronze many even files.
+    rows = bronze.withColumn("accepted", cards.accepted(bronze)).hint("rebalance")
+    version = replace_table(rows, path, partition_by=["accepted"], publish=False)
+    written = spark.read.schema(rows.schema).parquet(version_path(path, version))
+    write_day(written.where("not accepted").select("id", "name", CORRUPT_COLUMN), layer_path(root, "audit", "bronze_rejects"), as_of)
+    damaged = written.where(F.col(CORRUPT_COLUMN).isNotNull()).count()
+    if damaged:
+        raise MalformedInputError(f"{damaged} damaged source document(s), kept in audit/bronze_rejects; nothing was published")
+    publish_versions(spark, {path: version})
+    return read_bronze_table(spark, root)
 
 
 def load_bronze(spark: SparkSession, root: str, source: str | list[str], as_of: _dt.datetime,
                 multi_line: bool = True, audit: RunAudit | None = None) -> DataFrame:
     """Parse the day's document once into typed Parquet (splittable, nested-column pruned)."""
-    path = layer_path(root, "bronze", "cards_json_raw")
-    # A multi-line document is read by one task per file; spread it so bronze is many files.
-    replace_table(spread(cards.read_bronze(spark, source, as_of, multi_line)), path)
-    return read_table(spark, path)
+    return _store_bronze(spark, root, cards.read_bronze(spark, source, as_of, multi_line, keep_corrupt=True), as_of)
 
 
 def load_bronze_frame(spark: SparkSession, root: str, docs: DataFrame, as_of: _dt.datetime) -> DataFrame:
     """Typed bronze from documents already read (a stream micro-batch, for instance)."""
-    path = layer_path(root, "bronze", "cards_json_raw")
-    replace_table(spread(cards.bronze_from_documents(docs, as_of)), path)
-    return read_table(spark, path)
+    return _store_bronze(spark, root, cards.bronze_from_documents(docs, as_of), as_of)
 
 
 def load_bronze_from_pages(spark: SparkSession, root: str, pages_dir: str, as_of: _dt.datetime,
@@ -47,10 +80,8 @@ def load_bronze_from_pages(spark: SparkSession, root: str, pages_dir: str, as_of
     A resumed extract fetches its last page again, so a card can sit on two pages; one row per
     card id is kept (the latest page wins), then typed bronze is written as usual.
     """
-    path = layer_path(root, "bronze", "cards_json_raw")
-    cards_df = land_pages(spark, pages_dir, cards.CARD_SCHEMA, "id", multi_line=multi_line)
-    replace_table(spread(cards.bronze_from_documents(cards_df, as_of)), path)
-    return read_table(spark, path)
+    cards_df = land_pages(spark, pages_dir, cards.CARD_SCHEMA, "id", multi_line=multi_line, keep_corrupt=True)
+    return _store_bronze(spark, root, cards.bronze_from_documents(cards_df, as_of), as_of)
 
 
 def load_silver(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunAudit | None = None,
@@ -61,7 +92,7 @@ def load_silver(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunA
     thread pool so their scheduling overlaps (Spark runs concurrent jobs of one session), and
     the hierarchy tiers for ``card_main_info`` are computed alongside them.
     """
-    bronze = read_table(spark, layer_path(root, "bronze", "cards_json_raw"))
+    bronze = read_bronze_table(spark, root)
     typed_bronze = cards.as_typed(bronze)
     first = cards.silver_builders(as_of, numbering)
     paths = {name: layer_path(root, "silver", name) for name in [*first, "card_main_info", "card_extras_flattened"]}
@@ -116,13 +147,18 @@ def load_gold(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunAud
                                            read_table(spark, g("dim_cards_extra_info")))
         fact_path = g("fact_hst_tcg_data")
         history = read_table(spark, fact_path)
-        rejects = cards.fact_rejects(silver["mkt_tcgplayer"], cards_dim, dates_dim, sets_dim, as_of)
-        new = cards.fact_rows(silver["mkt_tcgplayer"], cards_dim, dates_dim, sets_dim, history, as_of)
+        # The candidates (three joins) are written once; rejects and new facts both read them.
+        path = scratch_path(spark, "fact-candidates")
+        cards.fact_candidates(silver["mkt_tcgplayer"], cards_dim, dates_dim, sets_dim).write.parquet(path)
+        candidates = spark.read.parquet(path)
+        rejects = cards.fact_rejects(candidates, as_of)
+        new = cards.fact_rows(candidates, silver["mkt_tcgplayer"].select("date_id"), history, as_of)
+        create_if_absent(spark, fact_path, new.schema, ["date_id"])
         last = [
             pool.submit(_write, audit, "gold.dim_cards_extra_info", extra,
                         lambda d: replace_table(d, g("dim_cards_extra_info"))),
             pool.submit(_write, audit, "gold.fact_rejects", rejects,
-                        lambda d: append_table(d, layer_path(root, "audit", "fact_rejects"))),
+                        lambda d: write_day(d, layer_path(root, "audit", "fact_rejects"), as_of)),
             pool.submit(_write, audit, "gold.fact_hst_tcg_data", new,
                         lambda d: append_table(d, fact_path, partition_by=["date_id"], sort_within=["card_key"])),
         ]
@@ -131,26 +167,27 @@ def load_gold(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunAud
 
 
 def load_cast_rejects(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunAudit | None = None) -> None:
-    """Q4 report of the run (reads bronze only), appended to ``audit/cast_rejects``."""
+    """Q4 report of the run (reads bronze only), the run day's part of ``audit/cast_rejects``."""
     stamp = sf.ts_literal(as_of).alias("run_as_of")
-    bronze = read_table(spark, layer_path(root, "bronze", "cards_json_raw"))
+    bronze = read_bronze_table(spark, root)
     casts = cards.cast_reject_report(bronze).select("*", stamp)
     _write(audit, "quality.cast_rejects", casts,
-           lambda d: append_table(d, layer_path(root, "audit", "cast_rejects")))
+           lambda d: write_day(d, layer_path(root, "audit", "cast_rejects"), as_of))
 
 
 def load_quality(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunAudit | None = None) -> None:
-    """Q3 report of the run (reads gold), appended to ``audit/length_violations`` with the run
-    clock (reported, never silently dropped)."""
+    """Q3 report of the run (reads gold), the run day's part of ``audit/length_violations``
+    (reported, never silently dropped). A table without data files has nothing to report."""
     stamp = sf.ts_literal(as_of).alias("run_as_of")
     keys = {"dim_cards": "card_id", "dim_cards_extra_info": "card_key", "dim_card_sets": "set_id",
             "fact_hst_tcg_data": "card_key"}
-    reports = [cards.length_report(t, read_table(spark, layer_path(root, "gold", t)), k) for t, k in keys.items()]
+    tables = {t: read_table(spark, layer_path(root, "gold", t)) for t in keys}
+    reports = [cards.length_report(t, df, keys[t]) for t, df in tables.items() if df is not None]
     lengths = reports[0]
     for r in reports[1:]:
         lengths = lengths.unionByName(r)
     _write(audit, "quality.length_violations", lengths.select("*", stamp),
-           lambda d: append_table(d, layer_path(root, "audit", "length_violations")))
+           lambda d: write_day(d, layer_path(root, "audit", "length_violations"), as_of))
 
 
 def _write(audit: RunAudit | None, name: str, df: DataFrame, writer):
@@ -189,31 +226,35 @@ def run(spark: SparkSession, root: str, as_of: _dt.datetime, source: str | list[
 
 
 def stream_days(spark: SparkSession, root: str, landing_dir: str, checkpoint: str, multi_line: bool = True,
-                max_files_per_trigger: int | None = None, run_hour_utc: int = STREAM_RUN_HOUR_UTC) -> None:
+                max_files_per_trigger: int | None = 64, run_hour_utc: int = STREAM_RUN_HOUR_UTC) -> None:
     """Load every dated document not processed yet, as an available-now stream.
 
     The file source's checkpoint makes each file count once. A micro-batch may hold several
     days; they are loaded in day order, each with its own run clock, through the same ``run``
     as the batch load. A replayed micro-batch adds no fact rows (the fact load is an anti-join).
-    The day list per batch is bounded by the files in the trigger.
-    """
-    from pyspark.sql import functions as F
-    from strata.streaming import run_stream
+    The day list per batch is bounded by the files in the trigger (``max_files_per_trigger``).
 
+    A file whose name has no day cannot be loaded: its cards go to ``audit/undated_rejects`` (one
+    folder per micro-batch), and the dated files beside it load. A damaged document raises and
+    leaves its micro-batch unprocessed.
+    """
     def transform(stream: DataFrame) -> DataFrame:
         name = F.col("_metadata.file_name")
-        return stream.withColumn("__day", F.to_date(F.regexp_extract(name, r"(\d{8})", 1), "yyyyMMdd"))
+        return (stream.withColumn("__file", name)
+                .withColumn("__day", F.try_to_date(F.regexp_extract(name, r"(\d{8})", 1), "yyyyMMdd")))
 
-    def load(batch: DataFrame, _epoch: int) -> None:
+    def load(batch: DataFrame, epoch: int) -> None:
         # The batch is read once per day below; keep it for the length of the micro-batch.
         batch = batch.persist()
         try:
+            undated = batch.where(F.col("__day").isNull()).select("__file", "id", "name", CORRUPT_COLUMN)
+            undated.write.mode("overwrite").parquet(f"{layer_path(root, 'audit', 'undated_rejects')}/epoch={epoch}")
             days = sorted(r["__day"] for r in batch.select("__day").distinct().collect() if r["__day"] is not None)
             for day in days:
                 as_of = _dt.datetime(day.year, day.month, day.day, run_hour_utc)
-                run(spark, root, as_of, docs=batch.where(F.col("__day") == F.lit(day)).drop("__day"))
+                run(spark, root, as_of, docs=batch.where(F.col("__day") == F.lit(day)).drop("__day", "__file"))
         finally:
             batch.unpersist()
 
-    run_stream(spark, landing_dir, cards.CARD_SCHEMA, checkpoint, load, multi_line=multi_line,
+    run_stream(spark, landing_dir, with_corrupt_column(cards.CARD_SCHEMA), checkpoint, load, multi_line=multi_line,
                max_files_per_trigger=max_files_per_trigger, transform=transform)

@@ -188,29 +188,19 @@ SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM (
 WHERE rn = 1""",
 
     "list_per_key": """
-SELECT p_brand, string_agg(p_type, ', ' ORDER BY p_type, p_partkey) AS type_list FROM part GROUP BY p_brand""",
+SELECT l_orderkey, string_agg(l_returnflag, ', ' ORDER BY l_linenumber, l_returnflag) AS flag_list FROM lineitem GROUP BY l_orderkey""",
 
     "flat_lists": """
-WITH flags AS (SELECT l_suppkey AS k, string_agg(l_returnflag, ', ' ORDER BY l_returnflag) AS v
-               FROM (SELECT DISTINCT l_suppkey, l_returnflag FROM lineitem) GROUP BY l_suppkey),
-status AS (SELECT l_suppkey AS k, string_agg(l_linestatus, ', ' ORDER BY l_linestatus) AS v
-           FROM (SELECT DISTINCT l_suppkey, l_linestatus FROM lineitem) GROUP BY l_suppkey),
-types AS (SELECT l_suppkey AS k, string_agg(p_type, ', ' ORDER BY p_type) AS v
-          FROM (SELECT DISTINCT l.l_suppkey, p.p_type FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)
-          GROUP BY l_suppkey),
-years AS (SELECT l_suppkey AS k, string_agg(CAST(y AS VARCHAR), ', ' ORDER BY y) AS v
-          FROM (SELECT DISTINCT l_suppkey, year(l_shipdate) AS y FROM lineitem) GROUP BY l_suppkey),
-rare AS (SELECT l_suppkey AS k, string_agg(o_orderstatus, ', ' ORDER BY o_orderstatus) AS v
-         FROM (SELECT DISTINCT l.l_suppkey, o.o_orderstatus FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-               WHERE l.l_discount = 0.1 AND l.l_tax = 0.08 AND o.o_orderpriority = '1-URGENT')
-         GROUP BY l_suppkey)
-SELECT s.s_suppkey, s.s_name, coalesce(flags.v, 'n/a') AS returnflag_list, coalesce(status.v, 'n/a') AS status_list,
-       coalesce(types.v, 'n/a') AS type_list, coalesce(years.v, 'n/a') AS year_list,
-       coalesce(rare.v, 'n/a') AS urgent_status_list
-FROM supplier s
-LEFT JOIN flags ON flags.k = s.s_suppkey LEFT JOIN status ON status.k = s.s_suppkey
-LEFT JOIN types ON types.k = s.s_suppkey LEFT JOIN years ON years.k = s.s_suppkey
-LEFT JOIN rare ON rare.k = s.s_suppkey""",
+WITH r AS (SELECT l_suppkey AS k, l_returnflag, l_linestatus, p_type, year(l_shipdate) AS y,
+                  CASE WHEN l_suppkey % 3 <> 0 THEN o_orderstatus END AS os
+           FROM lineitem LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN orders ON l_orderkey = o_orderkey),
+g AS (SELECT k, list_sort(list(DISTINCT l_returnflag)) AS f, list_sort(list(DISTINCT l_linestatus)) AS s,
+             list_sort(list(DISTINCT p_type) FILTER (WHERE p_type IS NOT NULL)) AS t, list_sort(list(DISTINCT y)) AS y,
+             list_sort(list(DISTINCT os) FILTER (WHERE os IS NOT NULL)) AS o FROM r GROUP BY k)
+SELECT s_suppkey, s_name, coalesce(array_to_string(f, ', '), 'n/a') AS returnflag_list,
+       coalesce(array_to_string(s, ', '), 'n/a') AS status_list, coalesce(array_to_string(t, ', '), 'n/a') AS type_list,
+       coalesce(array_to_string(y, ', '), 'n/a') AS year_list, coalesce(array_to_string(o, ', '), 'n/a') AS order_status_list
+FROM supplier LEFT JOIN g ON k = s_suppkey""",
 
     "child_counts": """
 SELECT o.o_orderkey, coalesce(c.np, 0) AS number_of_parts, coalesce(c.nl, 0) AS number_of_lines
@@ -333,7 +323,7 @@ best AS (SELECT name, CAST(min(tier) AS INTEGER) AS tier FROM ev GROUP BY name),
 SELECT ck.card_key, sk.set_key, ck.card_id, 'n' || CAST(ck.p_partkey AS VARCHAR) AS card_name,
        lower(ck.p_type) AS supertype, b.tier AS evolution_tier,
        'artist ' || CAST(ck.p_partkey % 5 AS VARCHAR) AS artist,
-       CASE WHEN ck.p_partkey % 9 = 0 THEN 'special' ELSE 'rare' END AS set_card_rarity,
+       CASE WHEN ck.p_partkey % 9 = 0 THEN 'special' ELSE lower(ck.p_type) END AS set_card_rarity,
        CAST(ck.p_size AS INTEGER) AS set_card_number,
        CASE WHEN ck.p_size > 40 THEN 'Standard+' WHEN ck.p_size > 20 THEN 'Expanded+' ELSE 'Unlimited Only' END
          AS legality,
@@ -346,13 +336,78 @@ FROM ck JOIN sk ON sk.p_brand = ck.p_brand LEFT JOIN best b ON b.name = 'n' || C
 WITH {_CARD_KEYS.strip()}
 SELECT ck.card_key, lower(ck.p_type) AS subtype_list,
        lower(split_part(ck.p_name, ' ', 1)) || ', ' || lower(split_part(ck.p_name, ' ', 2)) AS type_list,
-       CASE WHEN ck.p_size % 2 = 1 THEN 'psychic' ELSE 'n/a' END AS resistances_list,
+       CASE WHEN ck.p_size % 2 = 1 THEN lower(ck.p_brand) ELSE 'n/a' END AS resistances_list,
        lower(split_part(ck.p_name, ' ', 1)) AS weaknesses_list,
        CAST(ck.p_partkey % 1000 AS VARCHAR) AS pokedex_list,
        'https://img.example/c' || CAST(ck.p_partkey AS VARCHAR) || '.png' AS small_image_url,
        'https://img.example/c' || CAST(ck.p_partkey AS VARCHAR) || '_hires.png' AS large_image_url
 FROM ck""",
 
+    "card_day2_dims": f"""
+WITH {_CARD_KEYS.strip()},
+n AS (SELECT 'c' || CAST(p_partkey + 1000000000 AS VARCHAR) AS card_id, p_brand, p_size FROM part WHERE p_partkey % 19 = 5),
+d AS (SELECT card_key, card_id, p_brand, p_size, CASE WHEN p_partkey % 17 = 3 THEN TIMESTAMP '2026-01-20 12:00:00'
+             ELSE TIMESTAMP '2026-01-21 12:00:00' END AS load_time_stamp FROM ck
+      UNION ALL
+      SELECT (SELECT max(card_key) FROM ck) + row_number() OVER (ORDER BY card_id), card_id, p_brand, p_size,
+             TIMESTAMP '2026-01-21 12:00:00' FROM n)
+SELECT card_key, set_key, card_id, CAST(p_size AS INTEGER) AS set_card_number,
+       CAST(CASE WHEN p_size % 3 = 0 THEN 1 ELSE 0 END AS INTEGER) AS number_of_abilities, load_time_stamp
+FROM d JOIN sk USING (p_brand)""",
+
+    "card_day2_sets": f"""
+WITH {_CARD_KEYS.strip()},
+d AS (SELECT p_brand, p_partkey % 60 AS m FROM part WHERE p_partkey % 17 <> 3
+      UNION ALL SELECT p_brand, (p_partkey + 1000000000) % 60 FROM part WHERE p_partkey % 19 = 5),
+u AS (SELECT p_brand, min(m) AS m, CAST(regexp_extract(p_brand, '[0-9]+') AS INTEGER) AS b FROM d GROUP BY p_brand)
+SELECT set_key, p_brand AS set_id, lower(p_brand) || ' set' AS set_name, 'series ' || CAST(b % 3 AS VARCHAR) AS set_series,
+       b AS set_total_printed, CAST(b + 1 AS INTEGER) AS set_total_cards, make_date(2000 + b % 25, 1, 1) AS set_release_date,
+       TIMESTAMP '2001-02-03 04:00:00' + to_minutes(m) AS set_update_date, TIMESTAMP '2026-01-21 12:00:00' AS load_time_stamp
+FROM sk JOIN u USING (p_brand)""",
+
+    "card_day2_fact": f"""
+WITH {_CARD_KEYS.strip()},
+agg AS (SELECT l_partkey, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, count(*) AS n, max(l_discount) AS md,
+               min(l_quantity) AS qmin FROM lineitem GROUP BY l_partkey),
+t AS (SELECT p_partkey AS k, DATE '2026-01-20' AS day, TIMESTAMP '2026-01-20 12:00:00' AS log_created FROM part
+      UNION ALL
+      SELECT p_partkey, DATE '2026-01-21', TIMESTAMP '2026-01-21 12:00:00' FROM part WHERE p_partkey % 17 <> 3 AND p_partkey % 4 <> 0),
+r AS (SELECT k, CAST(day - CAST(k % 30 AS INTEGER) AS DATE) AS upd, log_created, a.* FROM t JOIN agg a ON a.l_partkey = k
+      WHERE k % 30 < 20)
+SELECT card_key, {_date_id('upd')} AS date_id, 'normal' AS printing_finish_rarity,
+       CASE WHEN n % 2 = 0 THEN md * 100.0 ELSE (hi + lo) / 2.0 END AS market_price, log_created
+FROM r JOIN ck ON ck.p_partkey = k
+UNION ALL
+SELECT card_key, {_date_id('upd')}, 'holofoil', qmin, log_created FROM r JOIN ck ON ck.p_partkey = k""",
+
+    "rerun_idempotent": """
+WITH k AS (SELECT DISTINCT l_partkey AS k FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_partkey % 30 < 20)
+SELECT 'fact' AS what, f AS value, count(*) AS n FROM k, (VALUES ('normal'), ('holofoil')) AS t(f) GROUP BY f
+UNION ALL
+SELECT 'cast_rejects', 'seventy', count(*) FROM part WHERE p_size = 7 HAVING count(*) > 0""",
+
+    "card_retreat_cost": """
+SELECT 'c' || CAST(p_partkey AS VARCHAR) AS card_id, lower(split_part(p_name, ' ', 2)) AS energy_type_to_retreat,
+       CAST(i AS INTEGER) AS position
+FROM (SELECT *, unnest(range(0, p_size % 4)) AS i FROM part)""",
+
+    "mkt_cardmarket": """
+SELECT 'c' || CAST(p_partkey AS VARCHAR) AS card_id, CAST(DATE '2026-01-20' - CAST(p_partkey % 30 AS INTEGER) AS DATE) AS cardmarket_updated_at,
+       p_retailprice AS average_sell_price, p_retailprice / 2.0 AS low_price, CAST(NULL AS DOUBLE) AS trend_price,
+       CAST(NULL AS DOUBLE) AS avg_30, 'https://market.example/c' || CAST(p_partkey AS VARCHAR) AS card_url
+FROM part""",
+
+    "json_malformed": """
+WITH t AS (SELECT event_id, event_type, '{"event_id":' || CAST(event_id AS VARCHAR) || ',"event_type":"' || event_type || '"}' AS s FROM events)
+SELECT CASE WHEN event_id % 50 <> 7 THEN event_id END AS event_id, CASE WHEN event_id % 50 <> 7 THEN event_type END AS event_type,
+       CASE WHEN event_id % 50 = 7 THEN substr(s, 1, length(s) - 3) END AS damaged FROM t""",
+
+    "dated_documents": """
+SELECT CAST(r_regionkey AS BIGINT) AS r_regionkey, r_name || ' × é ✓' AS r_name, CAST(20260120 + r_regionkey AS INTEGER) AS day FROM region""",
+
+    "hierarchy_deep": """
+SELECT 'n' || CAST(p_partkey AS VARCHAR) AS name, CAST(p_partkey + 1 AS INTEGER) AS tier FROM part""",
+
     "stream_daily": f"""
 SELECT event_id, {_date_id('ts')} AS date_id, event_type, value FROM events""",
 }

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from strata import functions as sf
 from strata.operators import (assign_keys, cast_rejects, child_counts, length_violations, count_within, date_dimension_covering, dedupe_grain,
                               explode_entries, explode_objects, explode_scalars, flat_lists, flatten_struct,
-                              fresh_since, having_value, hierarchy_tier, keep_lowest, keep_one, key_violations,
+                              fresh_since, having_value, hierarchy_tier, hierarchy_tier_doubling, keep_lowest, keep_one, key_violations,
                               list_per_key, merge_type1, new_facts, null_violations, number_within, profile)
 from strata.session import scratch_path, spread
 from strata.sources import land_pages, restore, snapshot
@@ -292,32 +292,30 @@ def keep_latest(spark, sf_dir):
 
 
 def q_list_per_key(spark, sf_dir):
-    """A1: ordered ', '-joined list of a text child per key."""
-    p = table(spark, sf_dir, "part")
-    return list_per_key(p, "p_brand", "p_type", "type_list", order=["p_type", "p_partkey"])
+    """A1: ordered ', '-joined list of a text child per key (an order has few lines, however many
+    orders there are)."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    return list_per_key(li, "l_orderkey", "l_returnflag", "flag_list", order=["l_linenumber"])
 
 
 def q_flat_lists(spark, sf_dir):
-    """Five per-supplier lists (one an INT list), 'n/a' when empty."""
+    """Five per-supplier lists (one an INT list) from one scan, 'n/a' when empty
+    (a supplier in three has no status list by rule)."""
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    flags = li.select(F.col("l_suppkey").alias("s_suppkey"), "l_returnflag").distinct()
-    status = li.select(F.col("l_suppkey").alias("s_suppkey"), "l_linestatus").distinct()
-    types = (li.join(part, li["l_partkey"] == part["p_partkey"])
-             .select(F.col("l_suppkey").alias("s_suppkey"), "p_type").distinct())
-    years = li.select(F.col("l_suppkey").alias("s_suppkey"), F.year("l_shipdate").alias("ship_year")).distinct()
-    rare = (li.where((F.col("l_discount") == 0.1) & (F.col("l_tax") == 0.08))
-            .join(orders.where(F.col("o_orderpriority") == "1-URGENT"), li["l_orderkey"] == orders["o_orderkey"])
-            .select(F.col("l_suppkey").alias("s_suppkey"), "o_orderstatus").distinct())
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    rows = (li.join(part, li["l_partkey"] == part["p_partkey"], "left").join(orders, li["l_orderkey"] == orders["o_orderkey"], "left")
+            .select(F.col("l_suppkey").alias("s_suppkey"), "l_returnflag", "l_linestatus", "p_type",
+                    F.year("l_shipdate").alias("ship_year"),
+                    F.when(F.col("l_suppkey") % 3 != 0, F.col("o_orderstatus")).alias("order_status")))
     return flat_lists(s, "s_suppkey", {
-        "returnflag_list": (flags, "l_returnflag"),
-        "status_list": (status, "l_linestatus"),
-        "type_list": (types, "p_type"),
-        "year_list": (years, "ship_year", ["ship_year"]),
-        "urgent_status_list": (rare, "o_orderstatus"),
-    })
+        "returnflag_list": (rows, "l_returnflag"),
+        "status_list": (rows, "l_linestatus"),
+        "type_list": (rows, "p_type"),
+        "year_list": (rows, "ship_year", ["ship_year"]),
+        "order_status_list": (rows, "order_status"),
+    }, distinct=True)
 
 
 def q_child_counts(spark, sf_dir):
@@ -358,6 +356,15 @@ FACT_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_disc
 FACT_GRAIN = ["date_id", "order_key", "line_number"]
 
 
+def _written(spark, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """``df`` written to the shared scratch folder and read again, so that it is computed once."""
+    path = scratch_path(spark, name)
+    out = df.hint("rebalance", partition_by) if partition_by else df
+    w = out.write.partitionBy(partition_by) if partition_by else out.write
+    w.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _fact_source(spark, sf_dir) -> DataFrame:
     # The grain dedupe is a sort-based aggregate (min_by over a struct): spread an unsplit scan
     # so its map side runs on every core.
@@ -365,15 +372,15 @@ def _fact_source(spark, sf_dir) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cust = table(spark, sf_dir, "customer").select("c_custkey")
     batch = dedupe_grain(li.select("l_orderkey", "l_linenumber", sf.date_key("l_shipdate").alias("l_date_id"),
-                                   *FACT_ORDER),
+                                   F.col("l_shipdate").cast("date").alias("l_day"), *FACT_ORDER),
                          ["l_orderkey", "l_linenumber", "l_date_id"], FACT_ORDER)
+    batch = _written(spark, batch, "fact-batch")  # the only scan of lineitem
     order_keys = assign_keys(orders, "o_orderkey", "order_key")
     cust_keys = assign_keys(cust, "c_custkey", "cust_key")
-    dates = date_dimension_covering(li, "l_shipdate").select("date_id", "full_date")
+    dates = date_dimension_covering(batch, "l_day").select("date_id", "full_date")
     dim = orders.join(order_keys, "o_orderkey")
-    # dim_dates has one row per day of a bounded span: safe to broadcast.
     src = (batch.join(dim, batch["l_orderkey"] == dim["o_orderkey"], "inner")
-           .join(F.broadcast(dates), F.col("l_date_id") == dates["date_id"], "left")
+           .join(dates, F.col("l_date_id") == dates["date_id"], "left")
            .join(cust_keys, F.col("o_custkey") == cust_keys["c_custkey"], "left"))
     return src.select("order_key", "cust_key", "date_id", "full_date",
                       F.col("l_linenumber").alias("line_number"), "l_orderkey",
@@ -383,12 +390,12 @@ def _fact_source(spark, sf_dir) -> DataFrame:
 
 
 def incremental_fact(spark, sf_dir):
-    """New fact rows = batch minus the stored history at the grain."""
-    src = _fact_source(spark, sf_dir)
-    history = src.where(F.col("l_orderkey") % 2 == 0).select(*FACT_GRAIN)
-    # The history here is derived in-plan, not a date-partitioned table, so there is nothing to
-    # prune; the stored-table path (prune_col) is used by the card pipeline and stream_daily.
-    new = new_facts(src, history, FACT_GRAIN)
+    """New fact rows = batch minus the stored history at the grain. The history (even
+    orders) is a table partitioned by month, of which only the batch's months are read."""
+    month = F.floor(F.col("date_id") / 100).cast("int").alias("month_id")
+    src = _written(spark, _fact_source(spark, sf_dir).select("*", month), "fact-source")
+    history = _written(spark, src.where(F.col("l_orderkey") % 2 == 0).select(*FACT_GRAIN, "month_id"), "fact-history", "month_id")
+    new = new_facts(src, history, FACT_GRAIN, prune_col="month_id")
     return new.select("order_key", "cust_key", "date_id", "full_date", "line_number",
                       "market_price", "highest_price", "lowest_price")
 
@@ -511,22 +518,130 @@ def stream_daily(spark, sf_dir):
 
 # ----------------------------------------------------------------------------- the card pipeline
 
-_LOAD_RUNS: dict[tuple[str, str], str] = {}
-
-
 def _card_lake(spark, sf_dir) -> str:
-    """Run bronze -> silver -> gold once per (application, tables) over card documents derived
-    from ``part``/``lineitem``; later queries read the written tables."""
+    """Bronze -> silver -> gold over card documents derived from ``part``/``lineitem``."""
     from strata.plans import loads
     from strata.plans.card_docs import DOC_AS_OF, write_card_documents
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LOAD_RUNS:
-        landing = write_card_documents(spark, table(spark, sf_dir, "part"), table(spark, sf_dir, "lineitem"),
-                                       scratch_path(spark, "card-landing"))
-        root = scratch_path(spark, "card-lake")
+    landing = write_card_documents(spark, table(spark, sf_dir, "part"), table(spark, sf_dir, "lineitem"),
+                                   scratch_path(spark, "card-landing"))
+    root = scratch_path(spark, "card-lake")
+    loads.run(spark, root, DOC_AS_OF, source=landing, multi_line=False)
+    return root
+
+
+def _two_day_lake(spark, sf_dir) -> str:
+    """The lake after a second day, on which some cards are gone, some are new, and the prices of
+    most have moved on a day."""
+    from strata.plans import loads
+    from strata.plans.card_docs import DOC_AS_OF, card_documents
+    part, lineitem = table(spark, sf_dir, "part"), table(spark, sf_dir, "lineitem")
+    root, day2 = _card_lake(spark, sf_dir), DOC_AS_OF + _dt.timedelta(days=1)
+    k = F.col("p_partkey")
+    new = part.where(k % 19 == 5).withColumn("p_partkey", k + NEW_CARD_OFFSET)
+    later = card_documents(part.where(k % 17 != 3).unionByName(new), lineitem, day2,
+                           updated=F.when(k % 4 == 0, F.lit(DOC_AS_OF.date())).otherwise(F.lit(day2.date())))
+    landing = scratch_path(spark, "card-landing")
+    later.write.json(landing)
+    loads.run(spark, root, day2, source=landing, multi_line=False)
+    return root
+
+
+# Part keys of the cards that are new on the second day.
+NEW_CARD_OFFSET = 1_000_000_000
+
+
+def card_day2_dims(spark, sf_dir):
+    """D2/D3/D4 over two days: keys stay, discontinued cards stay, new ones get the next keys."""
+    from strata.sources import layer_path, read_table
+    dim = read_table(spark, layer_path(_two_day_lake(spark, sf_dir), "gold", "dim_cards"))
+    return dim.select("card_key", "set_key", "card_id", "set_card_number", "number_of_abilities", "load_time_stamp")
+
+
+def card_day2_sets(spark, sf_dir):
+    """D5 over two days."""
+    from strata.sources import layer_path, read_table
+    return read_table(spark, layer_path(_two_day_lake(spark, sf_dir), "gold", "dim_card_sets"))
+
+
+def card_day2_fact(spark, sf_dir):
+    """D8 over two days: unchanged prices are not added again, moved ones are."""
+    from strata.sources import layer_path, read_table
+    fact = read_table(spark, layer_path(_two_day_lake(spark, sf_dir), "gold", "fact_hst_tcg_data"))
+    return fact.select("card_key", "date_id", "printing_finish_rarity", "market_price", "log_created")
+
+
+def rerun_idempotent(spark, sf_dir):
+    """The same day loaded twice gives each fact and each reported value once."""
+    from strata.plans import loads
+    from strata.plans.card_docs import DOC_AS_OF, card_documents
+    from strata.sources import layer_path, read_table
+    docs = card_documents(table(spark, sf_dir, "part"), table(spark, sf_dir, "lineitem"))
+    docs = docs.withColumn("hp", F.when(F.col("hp") == "70", F.lit("seventy")).otherwise(F.col("hp")))
+    landing, root = scratch_path(spark, "card-landing"), scratch_path(spark, "card-lake")
+    docs.write.json(landing)
+    for _ in range(2):
         loads.run(spark, root, DOC_AS_OF, source=landing, multi_line=False)
-        _LOAD_RUNS[key] = root
-    return _LOAD_RUNS[key]
+    facts = read_table(spark, layer_path(root, "gold", "fact_hst_tcg_data")).groupBy("printing_finish_rarity")
+    rejects = read_table(spark, layer_path(root, "audit", "cast_rejects")).groupBy("value")
+    return (facts.agg(F.count("*").alias("n")).select(F.lit("fact").alias("what"), F.col("printing_finish_rarity").alias("value"), "n")
+            .union(rejects.agg(F.count("*").alias("n")).select(F.lit("cast_rejects"), "value", "n")))
+
+
+def card_retreat_cost(spark, sf_dir):
+    """K5 on card documents: one row per retreat symbol, repeats kept."""
+    from strata.plans import cards
+    from strata.plans.card_docs import DOC_AS_OF, card_documents
+    docs = card_documents(table(spark, sf_dir, "part"), table(spark, sf_dir, "lineitem"))
+    return cards.card_retreat_cost(cards.bronze_from_documents(docs, DOC_AS_OF))
+
+
+def mkt_cardmarket(spark, sf_dir):
+    """K13 on card documents: the wide price object, absent prices NULL."""
+    from strata.plans import cards
+    from strata.plans.card_docs import DOC_AS_OF, CARDMARKET_PRICES, card_documents
+    docs = card_documents(table(spark, sf_dir, "part"), table(spark, sf_dir, "lineitem"))
+    known = [f.name for f in cards.CARDMARKET["prices"].dataType.fields if f.name not in CARDMARKET_PRICES]
+    prices = F.struct("cardmarket.prices.*", *[F.lit(None).cast("double").alias(n) for n in known])
+    docs = docs.withColumn("cardmarket", F.struct("cardmarket.url", "cardmarket.updatedAt", prices.alias("prices")))
+    return cards.mkt_cardmarket(cards.bronze_from_documents(docs, DOC_AS_OF)).select(
+        "card_id", "cardmarket_updated_at", "average_sell_price", "low_price", "trend_price", "avg_30", "card_url")
+
+
+def json_malformed(spark, sf_dir):
+    """JSON text of which some lines are cut off: whole records kept, damaged ones told apart."""
+    from strata.sources import CORRUPT_COLUMN, read_json_documents
+    ev = table(spark, sf_dir, "events").select("event_id", "event_type")
+    text = F.to_json(F.struct("event_id", "event_type"))
+    cut = F.when(F.col("event_id") % 50 == 7, F.expr("substring(text, 1, length(text) - 3)")).otherwise(F.col("text"))
+    path = scratch_path(spark, "malformed")
+    ev.withColumn("text", text).select(cut.alias("value")).write.text(path)
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType())])
+    read = read_json_documents(spark, path, schema, multi_line=False, keep_corrupt=True)
+    whole = F.col(CORRUPT_COLUMN).isNull()
+    return read.select(F.when(whole, F.col("event_id")).alias("event_id"), F.when(whole, F.col("event_type")).alias("event_type"),
+                       F.col(CORRUPT_COLUMN).alias("damaged"))
+
+
+def dated_documents(spark, sf_dir):
+    """Whole-file multi-line documents, one per region and named by a day, with text beyond ASCII."""
+    from strata.sources import read_json_documents
+    r = table(spark, sf_dir, "region")
+    doc = F.to_json(F.struct("r_regionkey", F.concat("r_name", F.lit(" × é ✓")).alias("r_name")), {"pretty": "true"})
+    path = scratch_path(spark, "dated")
+    day = F.date_format(F.date_add(F.lit("2026-01-20").cast("date"), F.col("r_regionkey").cast("int")), "yyyyMMdd")
+    # One folder per day: the writer names part files itself.
+    r.select(doc.alias("value"), day.alias("day")).write.partitionBy("day").text(path)
+    schema = T.StructType([T.StructField("r_regionkey", T.LongType()), T.StructField("r_name", T.StringType())])
+    read = read_json_documents(spark, path, schema, multi_line=True)
+    return read.select("r_regionkey", "r_name", F.col("day").cast("int").alias("day"))
+
+
+def hierarchy_deep(spark, sf_dir):
+    """H1 on one chain through all parts, by pointer doubling."""
+    p = table(spark, sf_dir, "part").select("p_partkey")
+    before = F.when(F.col("p_partkey") > 0, F.concat(F.lit("n"), (F.col("p_partkey") - 1).cast("string")))
+    names = p.select(F.concat(F.lit("n"), F.col("p_partkey").cast("string")).alias("name"), before.alias("parent"))
+    return hierarchy_tier_doubling(names, "name", "parent")
 
 
 def card_load_fact(spark, sf_dir):
@@ -595,4 +710,13 @@ QUERIES = {
     "card_load_fact": card_load_fact,
     "card_load_dims": card_load_dims,
     "card_load_extras": card_load_extras,
+    "card_day2_dims": card_day2_dims,
+    "card_day2_sets": card_day2_sets,
+    "card_day2_fact": card_day2_fact,
+    "rerun_idempotent": rerun_idempotent,
+    "card_retreat_cost": card_retreat_cost,
+    "mkt_cardmarket": mkt_cardmarket,
+    "json_malformed": json_malformed,
+    "dated_documents": dated_documents,
+    "hierarchy_deep": hierarchy_deep,
 }

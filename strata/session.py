@@ -6,7 +6,9 @@ that are unset, so cluster-level choices (shuffle partitions, checkpoint directo
 
 from __future__ import annotations
 
+import math
 import os
+import re
 import tempfile
 import uuid
 
@@ -27,6 +29,10 @@ _DEFAULTS = {
 }
 
 
+# Scratch folders handed out by this process, for ``clear_scratch``.
+_SCRATCH: list[str] = []
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "strata", extra: dict | None = None) -> SparkSession:
     """Return the active session, or build a local one with the project defaults."""
@@ -52,8 +58,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; set a local one only when it is unset.
 
-    The fallback exists for tests and single-machine runs; on a cluster the setting names a
-    shared folder that every executor can reach.
+    The fallback exists for tests and single-machine runs. On a cluster the setting must name a
+    shared folder that every executor can reach, and a missing setting raises.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -64,6 +70,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return conf_dir
     if current:
         return current
+    if not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share: checkpoints and "
+                           "intermediate tables go there")
     local = tempfile.mkdtemp(prefix="strata-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
@@ -79,7 +88,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the scratch folders handed out so far; call it when no result reads them any more."""
+    while _SCRATCH:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def path_join(base: str, *parts: str) -> str:
@@ -89,29 +107,27 @@ def path_join(base: str, *parts: str) -> str:
 
 
 def spread(df, min_partitions: int | None = None):
-    """Round-robin repartition only when ``df`` has fewer partitions than the cluster has cores.
+    """Round-robin repartition a table scan that Spark reads in fewer tasks than there are cores.
 
-    An unsplittable input (one multi-line JSON file, a Parquet file with one row group) is read
-    by one task; row-wise work such as JSON parsing would then run on one core. A well-split
-    input is returned unchanged, so at scale this adds no shuffle.
+    A small file (one Parquet row group, say) is read by one task; row-wise work such as JSON
+    parsing would then run on one core. The number of tasks is taken from the sizes of the scanned
+    files, before anything runs, and a scan with enough of them is returned unchanged, so at scale
+    this adds no shuffle. Meant for scans: a frame without files of its own is returned unchanged.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a Spark Connect session): leave the plan as is
-        return df
-    if current >= target:
+    spark = df.sparkSession
+    files = df.inputFiles()
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if not files or len(files) >= target:
         return df
-    return df.repartition(target)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    split = int(jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes").removesuffix("b")))
+    paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)) for f in files]
+    tasks = sum(math.ceil(p.getFileSystem(conf).getFileStatus(p).getLen() / split) for p in paths)
+    return df if tasks >= target else df.repartition(target)
 
 
 def working_partitions(spark: SparkSession) -> int:
-    """Partition count for explicit repartitions (which AQE does not coalesce): the session's
-    shuffle partitions, capped at four tasks per core so small jobs are not split into hundreds
-    of tiny tasks."""
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # no SparkContext on the client (Spark Connect)
-        return max(1, shuffle)
-    return max(1, min(shuffle, 4 * cores))
+    """Partition count for explicit repartitions (which AQE does not coalesce): the session's own
+    shuffle partitions."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

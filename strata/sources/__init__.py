@@ -1,11 +1,12 @@
-from strata.sources.json_docs import dated_name, dated_path, raw_json_columns, read_json_documents
+from strata.sources.json_docs import (CORRUPT_COLUMN, dated_name, dated_path, raw_json_columns, read_json_documents,
+                                      with_corrupt_column)
 from strata.sources.landing import land_pages, read_pages
 from strata.sources.snapshots import restore, snapshot
 from strata.sources.tables import (append_table, create_if_absent, current_version, layer_path,
-                                   overwrite_partitions, publish_versions, read_table, replace_table)
+                                   overwrite_partitions, publish_versions, read_table, replace_table, write_day)
 
 __all__ = [
-    "dated_name", "dated_path", "raw_json_columns", "read_json_documents", "land_pages", "read_pages",
+    "CORRUPT_COLUMN", "with_corrupt_column", "write_day", "dated_name", "dated_path", "raw_json_columns", "read_json_documents", "land_pages", "read_pages",
     "restore", "snapshot", "append_table", "create_if_absent", "current_version", "layer_path",
     "overwrite_partitions", "publish_versions", "read_table", "replace_table",
 ]

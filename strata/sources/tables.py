@@ -1,11 +1,11 @@
 """Parquet tables with full-refresh and append sinks.
 
 A full refresh never overwrites the directory being read: it writes a new version directory
-``<table>/v=<n>`` (committed by Spark's output committer, ``_SUCCESS`` last) and then publishes
-it: the layer's ``_manifest`` (one small file listing every table's current version, replaced
-in one write) and the table's ``_current`` marker. Readers resolve the manifest first, so they
-see a whole layer switch at once, never a half-written version, and a failed refresh leaves the
-old versions current.
+``<table>/v=<n>`` and then publishes it with the layer's next manifest (``_manifests/<number>``, a
+small new file that lists every table's current version). Readers take the highest whole
+manifest, so they see a whole layer switch at once and never a half-written version, a failed
+refresh or a crash while publishing leaves the old versions current, and old versions are removed
+once they are no longer needed.
 Appends go to a partitioned directory (``partitionBy``), and dynamic partition overwrite is
 available for re-loading single partitions.
 """
@@ -20,9 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_MARKER = "_current"
-
-
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -34,38 +31,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def _read_marker(spark: SparkSession, table_dir: str) -> int | None:
-    # Read through the Hadoop API: Spark's file sources skip names starting with '_'.
-    fs, marker = _fs(spark, f"{table_dir.rstrip('/')}/{_MARKER}")
-    if not fs.exists(marker):
-        return None
-    jvm = spark.sparkContext._jvm
-    stream = fs.open(marker)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-    finally:
-        stream.close()
-    return int(line.strip()) if line and line.strip() else None
-
-
-def _write_marker(spark: SparkSession, table_dir: str, version: int) -> None:
-    # One small file written through the Hadoop API; the create-then-rename keeps it whole.
-    fs, _ = _fs(spark, table_dir)
-    jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{table_dir.rstrip('/')}/.{_MARKER}.tmp")
-    out = fs.create(tmp, True)
-    out.write(bytearray(str(version).encode("ascii")))
-    out.close()
-    dst = jvm.org.apache.hadoop.fs.Path(f"{table_dir.rstrip('/')}/{_MARKER}")
-    if fs.exists(dst):
-        fs.delete(dst, False)
-    fs.rename(tmp, dst)
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
-_MANIFEST = "_manifest"
+_MANIFESTS = "_manifests"
 # Manifest updates are read-modify-write; steps of one driver may publish from several threads.
 _PUBLISH_LOCK = threading.Lock()
+# The last line of a whole manifest: a file without it was cut off and does not count.
+_END = "end"
 
 
 def _split(table_dir: str) -> tuple[str, str]:
@@ -74,53 +49,52 @@ def _split(table_dir: str) -> tuple[str, str]:
     return parent, name
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
+def _read_lines(spark: SparkSession, path: str) -> list[str]:
+    # Read through the Hadoop API: Spark's file sources skip names starting with '_'.
     fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
     jvm = spark.sparkContext._jvm
     stream = fs.open(p)
     try:
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
         lines = []
-        line = reader.readLine()
-        while line is not None:
+        while (line := reader.readLine()) is not None:
             lines.append(line)
-            line = reader.readLine()
     finally:
         stream.close()
-    return "\n".join(lines)
+    return lines
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    # Write a temporary file, then replace the target in one rename.
-    fs, dst = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    parent, _, name = path.rstrip("/").rpartition("/")
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{parent}/.{name}.tmp")
-    out = fs.create(tmp, True)
-    out.write(bytearray(text.encode("utf-8")))
-    out.close()
-    if fs.exists(dst):
-        fs.delete(dst, False)
-    fs.rename(tmp, dst)
+def _manifest_numbers(spark: SparkSession, layer_dir: str) -> list[int]:
+    return sorted((int(n) for n in _names(spark, f"{layer_dir}/{_MANIFESTS}") if n.isdigit()), reverse=True)
 
 
 def _read_manifest(spark: SparkSession, layer_dir: str) -> dict[str, int]:
-    text = _read_text(spark, f"{layer_dir}/{_MANIFEST}")
-    entries = {}
-    for line in (text or "").splitlines():
-        if "=" in line:
-            name, version = line.split("=", 1)
-            entries[name.strip()] = int(version)
-    return entries
+    """Table -> version of the highest whole manifest."""
+    for number in _manifest_numbers(spark, layer_dir):
+        lines = _read_lines(spark, f"{layer_dir}/{_MANIFESTS}/{number:012d}")
+        if lines and lines[-1] == _END:
+            return {name: int(version) for name, _, version in (x.partition("=") for x in lines[:-1])}
+    return {}
+
+
+def _write_manifest(spark: SparkSession, layer_dir: str, versions: dict[str, int]) -> None:
+    """A new file under the next number: nothing that readers may be reading is replaced."""
+    number = max(_manifest_numbers(spark, layer_dir), default=0) + 1
+    fs, target = _fs(spark, f"{layer_dir}/{_MANIFESTS}/{number:012d}")
+    out = fs.create(target, False)
+    out.write(bytearray("\n".join([*(f"{k}={v}" for k, v in sorted(versions.items())), _END]).encode("utf-8")))
+    out.close()
 
 
 def current_version(spark: SparkSession, table_dir: str) -> int | None:
-    """The published version: the layer manifest first, then the table's own marker."""
+    """The published version, from the layer's manifest."""
     parent, name = _split(table_dir)
-    version = _read_manifest(spark, parent).get(name) if parent else None
-    return version if version is not None else _read_marker(spark, table_dir)
+    return _read_manifest(spark, parent).get(name)
+
+
+def _versions(spark: SparkSession, table_dir: str) -> list[int]:
+    """The versions on disk, published or not."""
+    return sorted(int(n[2:]) for n in _names(spark, table_dir) if n.startswith("v=") and n[2:].isdigit())
 
 
 def version_path(table_dir: str, version: int) -> str:
@@ -135,11 +109,10 @@ def replace_table(df: DataFrame, table_dir: str, partition_by: Sequence[str] = (
     together with ``publish_versions``).
     """
     spark = df.sparkSession
-    cur = max([v for v in (current_version(spark, table_dir), _read_marker(spark, table_dir)) if v is not None],
-              default=None)
-    version = 1 if cur is None else cur + 1
+    # Never a number that is on disk already: a failed run may have left part of it.
+    version = max([*_versions(spark, table_dir), current_version(spark, table_dir) or 0]) + 1
     out = df.sortWithinPartitions(*sort_within) if sort_within else df
-    w = out.write.mode("overwrite")
+    w = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(version_path(table_dir, version))
@@ -148,12 +121,11 @@ def replace_table(df: DataFrame, table_dir: str, partition_by: Sequence[str] = (
     return version
 
 
-def publish_versions(spark: SparkSession, versions: dict[str, int]) -> None:
-    """Make written versions current, atomically per layer.
+def publish_versions(spark: SparkSession, versions: dict[str, int], keep: int = 2) -> None:
+    """Make written versions current, atomically per layer, and remove old ones.
 
-    The versions of all tables of one layer directory go into that layer's ``_manifest``,
-    replaced in one write, so readers see the whole layer switch at once. Per-table markers
-    are written too, for tables read outside their layer directory.
+    All tables of a layer switch with one new manifest file. Afterwards each table keeps its
+    current version and the ``keep - 1`` before it, for readers that still hold them.
     """
     by_layer: dict[str, dict[str, int]] = {}
     for table_dir, version in versions.items():
@@ -161,12 +133,15 @@ def publish_versions(spark: SparkSession, versions: dict[str, int]) -> None:
         by_layer.setdefault(parent, {})[name] = version
     with _PUBLISH_LOCK:
         for layer_dir, entries in by_layer.items():
-            merged = _read_manifest(spark, layer_dir)
-            merged.update(entries)
-            _write_text(spark, f"{layer_dir}/{_MANIFEST}",
-                        "\n".join(f"{k}={v}" for k, v in sorted(merged.items())))
+            _write_manifest(spark, layer_dir, _read_manifest(spark, layer_dir) | entries)
+            for number in _manifest_numbers(spark, layer_dir)[max(1, keep):]:
+                fs, old = _fs(spark, f"{layer_dir}/{_MANIFESTS}/{number:012d}")
+                fs.delete(old, False)
         for table_dir, version in versions.items():
-            _write_marker(spark, table_dir, version)
+            before = [v for v in _versions(spark, table_dir) if v < version]
+            for v in before[:len(before) - max(0, keep - 1)]:
+                fs, old = _fs(spark, version_path(table_dir, v))
+                fs.delete(old, True)
 
 
 def read_table(spark: SparkSession, table_dir: str, schema: T.StructType | None = None) -> DataFrame | None:
@@ -206,6 +181,12 @@ def append_table(df: DataFrame, table_dir: str, partition_by: Sequence[str] = ()
     w.parquet(table_dir)
 
 
+def write_day(df: DataFrame, table_dir: str, day, day_col: str = "run_day") -> None:
+    """The rows of one run day of a report table, replacing what an earlier run of that day wrote."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .parquet(f"{table_dir.rstrip('/')}/{day_col}={day:%Y-%m-%d}"))
+
+
 def overwrite_partitions(df: DataFrame, table_dir: str, partition_by: Sequence[str]) -> None:
     """Replace only the partitions present in ``df`` (dynamic partition overwrite)."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

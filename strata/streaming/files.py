@@ -13,6 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from strata.sources.json_docs import CORRUPT_COLUMN
 
 # Timestamp text layout accepted in JSON input (microseconds optional).
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
@@ -20,8 +21,12 @@ TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
 def file_stream(spark: SparkSession, in_dir: str, schema: T.StructType, fmt: str = "json",
                 multi_line: bool = True, max_files_per_trigger: int | None = None) -> DataFrame:
+    """New files as a stream. A JSON record that cannot be parsed raises, unless the schema has
+    ``CORRUPT_COLUMN`` to keep its text."""
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "json":
+        kept = CORRUPT_COLUMN in schema.names
+        reader = reader.option("mode", "PERMISSIVE" if kept else "FAILFAST").option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         reader = reader.option("multiLine", multi_line).option("timestampNTZFormat", TS_FORMAT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -39,8 +39,8 @@ def test_history_partitions_pruned(spark, tmp_root):
     batch = spark.createDataFrame([(20260127, 27, "x"), (20260128, 99, "x")], "date_id int, k long, f string")
     out = new_facts(batch, spark.read.parquet(hist_path), ["date_id", "k", "f"], prune_col="date_id")
     text = plan(out)
-    part_filters = re.search(r"PartitionFilters: \[([^\]]*)\]", text).group(1)
-    assert "date_id" in part_filters and "20260127" in part_filters and "20260128" in part_filters
+    # Partitions are pruned at run time by the batch's days, however many there are.
+    assert re.search(r"PartitionFilters: \[.*dynamicpruning", text)
     assert sorted(r["k"] for r in out.collect()) == [99]
 
 

@@ -90,7 +90,8 @@ def test_layer_publish_is_one_switch(spark, tmp_root):
     from strata.sources import publish_versions
     publish_versions(spark, {a: va, b: vb})
     assert read_table(spark, a).count() == 10 and read_table(spark, b).count() == 20
-    assert open(os.path.join(layer, "_manifest")).read().split() == ["a=2", "b=2"]
+    latest = max(os.listdir(os.path.join(layer, "_manifests")))
+    assert open(os.path.join(layer, "_manifests", latest)).read().split() == ["a=2", "b=2", "end"]
 
 
 def test_empty_first_append_reads_as_no_table(spark, tmp_root):
