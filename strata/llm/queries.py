@@ -47,13 +47,16 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     for version in token_counts.PATTERNS:
         totals.apply(f"insert-{version}", token_counts.pattern_counts(docs, [version]))
     toxic = labels.where("toxic = 1").select("doc_id")
-    bad = labels.where("quality = 0").select("doc_id").join(toxic, "doc_id", "left_anti")
+    bad = labels.where("quality = 0").select("doc_id").join(toxic, "doc_id", "left_anti").distinct()
     keys = F.explode(F.array(*map(F.lit, token_counts.PATTERNS))).alias("tokenizer")
     nothing = [F.lit(None).cast(t).alias(c) for c, t in (("source", "string"), ("lang", "string"), ("n_tokens", "long"))]
     totals.apply("withdraw", toxic.select("doc_id", keys, *nothing, F.lit("delete").alias("op")))
     clean = F.regexp_replace("text", r"[!-/:-@\[-`{-~]+", "")
+    # Counted before the join, and with an inner join: a semi-join would go below the counting,
+    # and whole texts would be shuffled.
+    revised = token_counts.pattern_counts(docs, op="revise", text=clean).join(bad, "doc_id")
     for _ in range(2):
-        totals.apply("revise", token_counts.pattern_counts(docs.join(bad, "doc_id", "left_semi"), op="revise", text=clean))
+        totals.apply("revise", revised)
     return totals.totals()
 
 
