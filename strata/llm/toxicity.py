@@ -185,9 +185,14 @@ def summaries(tagged: list[tuple[np.ndarray, np.ndarray]], sizes: np.ndarray) ->
 def _chain_fit(codes: np.ndarray, tags: np.ndarray, classes: int, rounds: int = 150) -> tuple:
     """Maximum likelihood with a small penalty, by Adam over expected minus observed counts.
 
-    codes, tags: windows x length; a code of -1 pads at the end.
+    codes, tags: windows x length; a code of -1 pads at the end. Equal windows (most have no known
+    token at all) are visited once, with their number as weight.
     """
     n, length = codes.shape
+    both_rows, times = np.unique(np.hstack([codes, tags]), axis=0, return_counts=True)
+    codes, tags = both_rows[:, :length], both_rows[:, length:]
+    times = times.astype(float)
+    every = np.repeat(times[:, None], length, axis=1)  # a window's weight at each of its tokens
     real = codes >= 0
     size = real.sum(axis=1)
     c = np.maximum(codes, 0)
@@ -199,13 +204,13 @@ def _chain_fit(codes: np.ndarray, tags: np.ndarray, classes: int, rounds: int =
 
     seen = np.zeros_like(theta)
     s, a, e = split(seen)
-    np.add.at(s, tags[:, 0], 1)
+    np.add.at(s, tags[:, 0], times)
     both = real[:, 1:]
-    np.add.at(a, (tags[:, :-1][both], tags[:, 1:][both]), 1)
-    np.add.at(e, (c[real], tags[real]), 1)
+    np.add.at(a, (tags[:, :-1][both], tags[:, 1:][both]), every[:, 1:][both])
+    np.add.at(e, (c[real], tags[real]), every[real])
     for k in range(1, rounds + 1):
         start, step, emit = (np.exp(x) for x in split(theta))
-        fwd, bwd, scale = np.zeros((n, length, 2)), np.ones((n, length, 2)), np.ones((n, length))
+        fwd, bwd, scale = np.zeros((len(c), length, 2)), np.ones((len(c), length, 2)), np.ones((len(c), length))
         for t in range(length):
             x = (start if t == 0 else fwd[:, t - 1] @ step) * emit[c[:, t]]
             scale[:, t] = x.sum(axis=1)
@@ -216,12 +221,12 @@ def _chain_fit(codes: np.ndarray, tags: np.ndarray, classes: int, rounds: int =
         want = np.zeros_like(theta)
         ws, wa, we = split(want)
         p = fwd * bwd
-        p /= p.sum(axis=2, keepdims=True)
+        p *= (times[:, None] / p.sum(axis=2))[:, :, None]
         ws += p[:, 0].sum(axis=0)
         for state in (0, 1):
             we[:, state] += np.bincount(c[real], weights=p[:, :, state][real], minlength=classes)
         pair = fwd[:, :-1, :, None] * step * (emit[c[:, 1:]] * bwd[:, 1:] / scale[:, 1:, None])[:, :, None, :]
-        wa += pair[both].sum(axis=0)
+        wa += (pair[both] * every[:, 1:][both][:, None, None]).sum(axis=0)
         g = (seen - want) / n - 1e-3 * theta
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         theta = theta + 0.2 * (m / (1 - 0.9 ** k)) / (np.sqrt(v / (1 - 0.999 ** k)) + 1e-8)
