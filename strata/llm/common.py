@@ -142,6 +142,17 @@ def gram_hashes(word_hashes: np.ndarray, k: int) -> np.ndarray:
     return mix(total)
 
 
+def span_hashes(word_hashes: np.ndarray, k: int) -> np.ndarray:
+    """Like gram_hashes, for long grams: from prefix sums, so the work does not grow with k."""
+    n = len(word_hashes) - k + 1
+    if n <= 0:
+        return np.zeros(0, dtype=np.uint64)
+    up, down = _powers(len(word_hashes) + 1)
+    total = np.zeros(len(word_hashes) + 1, dtype=np.uint64)
+    np.cumsum(word_hashes * up[:len(word_hashes)], out=total[1:], dtype=np.uint64)
+    return mix((total[k:] - total[:n]) * down[:n])
+
+
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Whole runs of equal ``keys`` from a sorted stream, as many at a time as a batch ends.
 
