@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import (
+    audit,
     decontaminate,
     embeddings,
     mixing,
     oracle,
     quality,
+    repeats,
+    sharding,
     simhash,
     substring,
     token_counts,
@@ -19,7 +22,7 @@ from strata.llm import (
     warc,
 )
 from strata.llm.common import table
-from strata.session import scratch_path
+from strata.session import scratch_path, spread
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,9 +106,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(repeats.periodic_runs(repeats.planted(spread(table(spark, sf_dir, "documents")))))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = sharding.shards(table(spark, sf_dir, "documents"))
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_mixing, op3_substring_dedup, op4_quality_classifier, op5_token_counts,
-    op6_simhash_near_dedup, op7_url_filters, op8_embedding_near_dedup, op9_warc, op10_toxicity)}
+    op6_simhash_near_dedup, op7_url_filters, op8_embedding_near_dedup, op9_warc, op10_toxicity,
+    op11_periodic_runs, op12_sharding, op13_filter_audit)}
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": oracle.DECONTAMINATION, "op2_mixing": oracle.MIXING, "op5_token_counts": oracle.TOKEN_COUNTS,
     "op7_url_filters": oracle.URL_FILTERS, "op8_embedding_near_dedup": oracle.EMBEDDINGS, "op9_warc": oracle.WARC}
