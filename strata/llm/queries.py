@@ -126,4 +126,5 @@ QUERIES = {f.__name__: f for f in (
     op11_periodic_runs, op12_sharding, op13_filter_audit)}
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": oracle.DECONTAMINATION, "op2_mixing": oracle.MIXING, "op5_token_counts": oracle.TOKEN_COUNTS,
-    "op7_url_filters": oracle.URL_FILTERS, "op8_embedding_near_dedup": oracle.EMBEDDINGS, "op9_warc": oracle.WARC}
+    "op7_url_filters": oracle.URL_FILTERS, "op8_embedding_near_dedup": oracle.EMBEDDINGS, "op9_warc": oracle.WARC,
+    "op11_periodic_runs": oracle.PERIODIC_RUNS, "op12_sharding": oracle.SHARDING, "op13_filter_audit": oracle.FILTER_AUDIT}

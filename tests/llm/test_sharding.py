@@ -46,14 +46,14 @@ def brute(groups, shards):
     return out, capacity
 
 
-@pytest.mark.parametrize("seed, cells", [(1, 4), (2, 8), (3, 64), (4, 1 << 15), (5, 8)])
+@pytest.mark.parametrize("seed, cells", [(1, 16), (2, 1 << 15), (3, 64), (5, 32)])
 def test_partition_against_greedy_filling(spark, seed, cells):
     r = random.Random(seed)
     shape = [lambda: r.randrange(1, 50), lambda: int(r.paretovariate(0.8)), lambda: r.choice([1, 900])][seed % 3]
     top = 1 << (60 if seed != 5 else 12)  # seed 5: keys crowd in one cell
     groups = list({r.randrange(top): shape() for _ in range(700)}.items())
     df = spark.createDataFrame(groups, "key long, bytes long")
-    for n in (1, 3, 17):
+    for n in (1, 17):
         alone, first, capacity = sharding.partition(df, n, cells)
         want, c = brute(groups, n)
         got = {k: alone.index(k) if k in alone else len(alone) + sum(k >= f for f in first) for k, _ in groups}
