@@ -1,9 +1,9 @@
 """The daily load procedures: ``load_bronze``, ``load_silver``, ``load_gold`` and ``run``.
 
 Tables live under ``root/<layer>/<table>``. Bronze and silver are full refreshes written as
-new versions and published after the whole layer is written; gold dimensions are merged and
-republished; the fact is appended, partitioned by ``date_id``. Each step is audited; errors
-are recorded and re-raised (a failed layer is never published).
+new versions and published after the whole layer is written; gold dimensions are merged and new facts
+appended, partitioned by ``date_id``, in one commit. Each step is audited; errors are recorded and
+re-raised (a failed layer is never published).
 
 Input that cannot be loaded never gets that far. Documents are written once to an unpublished bronze
 version, split by whether they are cards; the others (text that is no JSON document, cards without an
@@ -25,7 +25,7 @@ from strata.operators import RunAudit
 from strata.plans import cards
 from strata.plans.fixed_values import STREAM_RUN_HOUR_UTC
 from strata.session import ensure_checkpoint_dir, scratch_path
-from strata.sources import (CORRUPT_COLUMN, append_table, create_if_absent, dated_path, land_pages, layer_path,
+from strata.sources import (CORRUPT_COLUMN, LayerCommit, clean_layer, dated_path, land_pages, layer_path,
                             publish_versions, read_table, replace_table, with_corrupt_column, write_day)
 from strata.sources.tables import version_path
 from strata.streaming import run_stream
@@ -120,50 +120,50 @@ def load_silver(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunA
 
 
 def load_gold(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunAudit | None = None) -> None:
+    """Merge the dimensions and append the new facts, as one commit of the gold layer.
+
+    A load that fails leaves gold as it was. If another load commits meanwhile this one raises
+    ``CommitConflictError``; run again, it starts from what the other made.
+    """
     silver = {n: read_table(spark, layer_path(root, "silver", n)) for n in
               ["card_set", "card_main_info", "card_legalities", "card_attacks", "card_abilities",
                "card_extras_flattened", "card_images", "mkt_tcgplayer"]}
-    g = lambda t: layer_path(root, "gold", t)
-    dates_path = g("dim_dates")
-    sets = cards.dim_card_sets(silver["card_set"], read_table(spark, g("dim_card_sets")), as_of)
+    gold = LayerCommit(spark, layer_path(root, "gold", "").rstrip("/"))
+    sets = cards.dim_card_sets(silver["card_set"], gold.read("dim_card_sets"), as_of)
     with ThreadPoolExecutor(max_workers=3) as pool:
         # Independent steps run as concurrent jobs: dim_dates with dim_card_sets, then the
         # extra-info dimension, the reject table and the fact append.
-        first = [pool.submit(_write, audit, "gold.dim_card_sets", sets,
-                             lambda d: replace_table(d, g("dim_card_sets")))]
-        if read_table(spark, dates_path) is None:
+        first = [pool.submit(_write, audit, "gold.dim_card_sets", sets, lambda d: gold.replace(d, "dim_card_sets"))]
+        if gold.read("dim_dates") is None:
             first.append(pool.submit(_write, audit, "gold.dim_dates", cards.dim_dates(spark),
-                                     lambda d: replace_table(d, dates_path)))
+                                     lambda d: gold.replace(d, "dim_dates")))
         for job in first:
             job.result()
-        sets_dim = read_table(spark, g("dim_card_sets"))
+        sets_dim = gold.read("dim_card_sets")
         cards_df = cards.dim_cards(silver["card_main_info"], silver["card_legalities"], silver["card_attacks"],
-                                   silver["card_abilities"], silver["card_set"], sets_dim,
-                                   read_table(spark, g("dim_cards")), as_of)
-        _write(audit, "gold.dim_cards", cards_df, lambda d: replace_table(d, g("dim_cards")))
-        cards_dim = read_table(spark, g("dim_cards"))
-        dates_dim = read_table(spark, dates_path)
+                                   silver["card_abilities"], silver["card_set"], sets_dim, gold.read("dim_cards"), as_of)
+        _write(audit, "gold.dim_cards", cards_df, lambda d: gold.replace(d, "dim_cards"))
+        cards_dim = gold.read("dim_cards")
         extra = cards.dim_cards_extra_info(silver["card_extras_flattened"], silver["card_images"], cards_dim,
-                                           read_table(spark, g("dim_cards_extra_info")))
-        fact_path = g("fact_hst_tcg_data")
-        history = read_table(spark, fact_path)
+                                           gold.read("dim_cards_extra_info"))
         # The candidates (three joins) are written once; rejects and new facts both read them.
         path = scratch_path(spark, "fact-candidates")
-        cards.fact_candidates(silver["mkt_tcgplayer"], cards_dim, dates_dim, sets_dim).write.parquet(path)
+        cards.fact_candidates(silver["mkt_tcgplayer"], cards_dim, gold.read("dim_dates"), sets_dim).write.parquet(path)
         candidates = spark.read.parquet(path)
         rejects = cards.fact_rejects(candidates, as_of)
-        new = cards.fact_rows(candidates, silver["mkt_tcgplayer"].select("date_id"), history, as_of)
-        create_if_absent(spark, fact_path, new.schema, ["date_id"])
+        new = cards.fact_rows(candidates, silver["mkt_tcgplayer"].select("date_id"), gold.read("fact_hst_tcg_data"), as_of)
         last = [
-            pool.submit(_write, audit, "gold.dim_cards_extra_info", extra,
-                        lambda d: replace_table(d, g("dim_cards_extra_info"))),
+            pool.submit(_write, audit, "gold.dim_cards_extra_info", extra, lambda d: gold.replace(d, "dim_cards_extra_info")),
             pool.submit(_write, audit, "gold.fact_rejects", rejects,
                         lambda d: write_day(d, layer_path(root, "audit", "fact_rejects"), as_of)),
             pool.submit(_write, audit, "gold.fact_hst_tcg_data", new,
-                        lambda d: append_table(d, fact_path, partition_by=["date_id"], sort_within=["card_key"])),
+                        lambda d: gold.append(d, "fact_hst_tcg_data", partition_by=["date_id"], sort_within=["card_key"])),
         ]
         for job in last:
             job.result()
+    # Dimensions and facts become visible together, or not at all.
+    gold.commit()
+    clean_layer(spark, gold.layer_dir)
 
 
 def load_cast_rejects(spark: SparkSession, root: str, as_of: _dt.datetime, audit: RunAudit | None = None) -> None:

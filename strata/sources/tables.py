@@ -1,7 +1,7 @@
 """Parquet tables with full-refresh and append sinks.
 
 A full refresh never overwrites the directory being read: it writes a new version directory
-``<table>/v=<n>`` and then publishes it with the layer's next manifest (``_manifests/<number>``, a
+``<table>/__version=<n>`` and then publishes it with the layer's next manifest (``_manifests/<number>``, a
 small new file that lists every table's current version). Readers take the highest whole
 manifest, so they see a whole layer switch at once and never a half-written version, a failed
 refresh or a crash while publishing leaves the old versions current, and old versions are removed
@@ -13,8 +13,10 @@ available for re-loading single partitions.
 from __future__ import annotations
 
 import threading
+import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +39,8 @@ def _names(spark: SparkSession, path: str) -> list[str]:
 
 
 _MANIFESTS = "_manifests"
+# Folders of versions are named like partitions, by a column that no table has.
+_VERSION = "__version"
 # Manifest updates are read-modify-write; steps of one driver may publish from several threads.
 _PUBLISH_LOCK = threading.Lock()
 # The last line of a whole manifest: a file without it was cut off and does not count.
@@ -68,37 +72,93 @@ def _manifest_numbers(spark: SparkSession, layer_dir: str) -> list[int]:
     return sorted((int(n) for n in _names(spark, f"{layer_dir}/{_MANIFESTS}") if n.isdigit()), reverse=True)
 
 
-def _read_manifest(spark: SparkSession, layer_dir: str) -> dict[str, int]:
-    """Table -> version of the highest whole manifest."""
-    for number in _manifest_numbers(spark, layer_dir):
-        lines = _read_lines(spark, f"{layer_dir}/{_MANIFESTS}/{number:012d}")
-        if lines and lines[-1] == _END:
-            return {name: int(version) for name, _, version in (x.partition("=") for x in lines[:-1])}
-    return {}
+def _whole_manifest(spark: SparkSession, layer_dir: str) -> tuple[int, dict[str, list[int]]]:
+    """(next number, table -> versions) of the highest whole manifest; (1, {}) before the first.
 
+    A table that is replaced has one version; one that is appended to has all that were added. The next
+    number comes from the same listing, so that it is taken if anything was published since.
+    """
+    numbers = _manifest_numbers(spark, layer_dir)
+    for number in numbers:
+        tables = manifest_tables(spark, layer_dir, number)
+        if tables is not None:
+            return numbers[0] + 1, tables
+    return max(numbers, default=0) + 1, {}
+
+
+def manifest_tables(spark: SparkSession, layer_dir: str, number: int) -> dict[str, list[int]] | None:
+    """Table -> versions of one manifest; None if it is not whole."""
+    lines = _read_lines(spark, f"{layer_dir}/{_MANIFESTS}/{number:012d}")
+    if not lines or lines[-1] != _END:
+        return None
+    return {name: [int(v) for v in versions.split(",")] for name, _, versions in (x.partition("=") for x in lines[:-1])}
 
-def _write_manifest(spark: SparkSession, layer_dir: str, versions: dict[str, int]) -> None:
-    """A new file under the next number: nothing that readers may be reading is replaced."""
-    number = max(_manifest_numbers(spark, layer_dir), default=0) + 1
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create the empty file ``path``, unless it is there: one of several callers gets True."""
+    fs, p = _fs(spark, path)
+    if fs.getScheme() == "file":
+        fs.mkdirs(p.getParent())
+        return bool(spark.sparkContext._jvm.java.io.File(fs.makeQualified(p).toUri().getPath()).createNewFile())
+    try:
+        fs.create(p, False).close()
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" in str(e.java_exception.getClass()):
+            return False
+        raise
+
+
+def _claim_manifest(spark: SparkSession, layer_dir: str, number: int, tables: dict[str, list[int]]) -> bool:
+    """Make ``tables`` the manifest ``number``, unless that number is taken: then nothing happens.
+
+    The manifest is written whole under another name and gets its number in one step that fails where
+    the number exists: a hard link on a local disk, a rename elsewhere (atomic on HDFS and on object
+    stores with a hierarchical namespace).
+    """
+    text = "\n".join([*(f"{k}={','.join(map(str, v))}" for k, v in sorted(tables.items())), _END])
     fs, target = _fs(spark, f"{layer_dir}/{_MANIFESTS}/{number:012d}")
-    out = fs.create(target, False)
-    out.write(bytearray("\n".join([*(f"{k}={v}" for k, v in sorted(versions.items())), _END]).encode("utf-8")))
+    _, draft = _fs(spark, f"{layer_dir}/{_MANIFESTS}/.{number:012d}-{uuid.uuid4().hex}")
+    out = fs.create(draft, False)
+    out.write(bytearray(text.encode("utf-8")))
     out.close()
+    try:
+        if fs.getScheme() != "file":
+            return bool(not fs.exists(target) and fs.rename(draft, target))
+        local = spark.sparkContext._jvm.java.io.File
+        names = [local(fs.makeQualified(p).toUri().getPath()).toPath() for p in (target, draft)]
+        try:
+            spark.sparkContext._jvm.java.nio.file.Files.createLink(*names)
+            return True
+        except Py4JJavaError as e:
+            if "FileAlreadyExistsException" in str(e.java_exception.getClass()):
+                return False
+            raise
+    finally:
+        fs.delete(draft, False)
 
 
 def current_version(spark: SparkSession, table_dir: str) -> int | None:
-    """The published version, from the layer's manifest."""
+    """The published version, from the layer's manifest (of a table that is appended to, the last)."""
+    parent, name = _split(table_dir)
+    versions = _whole_manifest(spark, parent)[1].get(name)
+    return versions[-1] if versions else None
+
+
+def published_paths(spark: SparkSession, table_dir: str) -> list[str]:
+    """The folders that make up the published table."""
     parent, name = _split(table_dir)
-    return _read_manifest(spark, parent).get(name)
+    return [version_path(table_dir, v) for v in _whole_manifest(spark, parent)[1].get(name, [])]
 
 
 def _versions(spark: SparkSession, table_dir: str) -> list[int]:
     """The versions on disk, published or not."""
-    return sorted(int(n[2:]) for n in _names(spark, table_dir) if n.startswith("v=") and n[2:].isdigit())
+    found = (n.removeprefix(f"{_VERSION}=") for n in _names(spark, table_dir) if n.startswith(f"{_VERSION}="))
+    return sorted(int(n) for n in found if n.isdigit())
 
 
 def version_path(table_dir: str, version: int) -> str:
-    return f"{table_dir.rstrip('/')}/v={version:06d}"
+    return f"{table_dir.rstrip('/')}/{_VERSION}={version:06d}"
 
 
 def replace_table(df: DataFrame, table_dir: str, partition_by: Sequence[str] = (),
@@ -133,10 +193,11 @@ def publish_versions(spark: SparkSession, versions: dict[str, int], keep: int =
         by_layer.setdefault(parent, {})[name] = version
     with _PUBLISH_LOCK:
         for layer_dir, entries in by_layer.items():
-            _write_manifest(spark, layer_dir, _read_manifest(spark, layer_dir) | entries)
-            for number in _manifest_numbers(spark, layer_dir)[max(1, keep):]:
-                fs, old = _fs(spark, f"{layer_dir}/{_MANIFESTS}/{number:012d}")
-                fs.delete(old, False)
+            while True:  # another process may publish other tables of the layer meanwhile
+                number, tables = _whole_manifest(spark, layer_dir)
+                if _claim_manifest(spark, layer_dir, number, tables | {name: [v] for name, v in entries.items()}):
+                    break
+            forget_manifests(spark, layer_dir, keep)
         for table_dir, version in versions.items():
             before = [v for v in _versions(spark, table_dir) if v < version]
             for v in before[:len(before) - max(0, keep - 1)]:
@@ -144,18 +205,29 @@ def publish_versions(spark: SparkSession, versions: dict[str, int], keep: int =
                 fs.delete(old, True)
 
 
+def forget_manifests(spark: SparkSession, layer_dir: str, keep: int) -> None:
+    for number in _manifest_numbers(spark, layer_dir)[max(1, keep):]:
+        fs, old = _fs(spark, f"{layer_dir}/{_MANIFESTS}/{number:012d}")
+        fs.delete(old, False)
+
+
 def read_table(spark: SparkSession, table_dir: str, schema: T.StructType | None = None) -> DataFrame | None:
     """The current version of a versioned table, or a plain Parquet directory."""
-    version = current_version(spark, table_dir)
-    if version is not None:
-        path = version_path(table_dir, version)
-    elif _exists(spark, table_dir):
-        path = table_dir
-    else:
-        return spark.createDataFrame([], schema) if schema is not None else None
+    paths = published_paths(spark, table_dir)
+    if not paths:
+        if not _exists(spark, table_dir) or _versions(spark, table_dir):  # versions without a manifest are not published
+            return spark.createDataFrame([], schema) if schema is not None else None
+        paths = [table_dir]
+    return _read_paths(spark, table_dir, paths, schema)
+
+
+def _read_paths(spark: SparkSession, table_dir: str, paths: list[str], schema: T.StructType | None = None) -> DataFrame | None:
     reader = spark.read.schema(schema) if schema is not None else spark.read
     try:
-        return reader.parquet(path)
+        if len(paths) == 1:
+            return reader.parquet(paths[0])
+        # Several versions are read as partitions, whose column is none of the table's.
+        return reader.option("basePath", table_dir).parquet(*paths).drop(_VERSION)
     except AnalysisException as exc:
         # A directory with no data files yet (an empty first append writes only _SUCCESS).
         if "UNABLE_TO_INFER_SCHEMA" in str(exc):
