@@ -6,7 +6,7 @@ from strata.operators.hierarchy import HierarchyDepthError, hierarchy_tier, hier
 from strata.operators.nested import (explode_chain, explode_entries, explode_objects, explode_scalars,
                                      flatten_struct, typed)
 from strata.operators.quality import (RunAudit, cast_rejects, enforce, key_violations, length_violations,
-                                      null_violations, profile)
+                                      merge_profiles, null_violations, profile, profile_day)
 from strata.operators.rollups import child_counts, flat_lists, list_per_key
 from strata.operators.windows import count_within, keep_lowest, keep_one, number_within
 
@@ -15,6 +15,6 @@ __all__ = [
     "merge_type1", "dedupe_grain", "new_facts", "prune_history", "split_null_grain", "fresh_since",
     "having_value", "HierarchyDepthError", "hierarchy_tier", "hierarchy_tier_doubling", "explode_chain", "explode_entries",
     "explode_objects", "explode_scalars", "flatten_struct", "typed", "RunAudit", "cast_rejects",
-    "enforce", "key_violations", "length_violations", "null_violations", "profile", "child_counts",
+    "enforce", "key_violations", "length_violations", "null_violations", "profile", "profile_day", "merge_profiles", "child_counts",
     "flat_lists", "list_per_key", "count_within", "keep_lowest", "keep_one", "number_within",
 ]

@@ -145,3 +145,43 @@ class RunAudit:
         if self.table_dir and pending:
             self.spark.createDataFrame(pending, AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(self.table_dir)
             self._flushed = len(self.rows)
+
+
+# Sizes of the sketches: HLL with 2^12 registers (standard error 1.6 %), KLL with k = 200 (rank error 1.7 %).
+HLL_BITS, KLL_K = 12, 200
+
+
+def profile_day(df: DataFrame, cols: Sequence[str], day) -> DataFrame:
+    """Q6/Q1 as a part of a run day's audit: per column the exact counts, lengths, and sketches of its values
+    (``distinct``: HLL) and of its numbers, or of its text lengths (``spread``: KLL), in one pass.
+
+    Rows of several days are merged by ``merge_profiles`` without a look at the data. A column of
+    NULLs has empty sketches.
+    """
+    types = dict(df.dtypes)
+    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    for i, c in enumerate(cols):
+        s = F.col(c).cast("string")
+        number = s.try_cast("double") if types[c] not in ("string", "date", "timestamp", "timestamp_ntz") else F.length(s).cast("double")
+        aggs += [F.count_if(F.col(c).isNull()).alias(f"n_null{i}"), F.count_if(F.trim(s) != s).alias(f"n_untrimmed{i}"),
+                 F.count_if(F.trim(s) == F.lit("")).alias(f"n_blank{i}"), F.max(F.length(s)).cast("long").alias(f"longest{i}"),
+                 F.hll_sketch_agg(s, F.lit(HLL_BITS)).alias(f"distinct{i}"), F.kll_sketch_agg_double(number, F.lit(KLL_K)).alias(f"spread{i}")]
+    names = ("n_null", "n_untrimmed", "n_blank", "longest", "distinct", "spread")
+    one = df.agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), *[F.col(f"{n}{i}").alias(n) for n in names]) for i, c in enumerate(cols)])
+    return one.select(F.lit(day).cast("date").alias("day"), "n_rows", F.explode(rows).alias("c")).select("day", "n_rows", "c.*")
+
+
+def merge_profiles(profiles: DataFrame, first_day=None, last_day=None, quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """One row per column over the days from ``first_day`` to ``last_day`` (both counted): counts are sums,
+    ``n_distinct`` and the quantiles (``q25``, ...) are estimates from the merged sketches."""
+    if first_day is not None:
+        profiles = profiles.where(F.col("day") >= F.lit(first_day))
+    if last_day is not None:
+        profiles = profiles.where(F.col("day") <= F.lit(last_day))
+    merged = profiles.groupBy("column_name").agg(
+        *[F.sum(n).alias(n) for n in ("n_rows", "n_null", "n_untrimmed", "n_blank")], F.max("longest").alias("longest"),
+        F.hll_sketch_estimate(F.hll_union_agg("distinct")).alias("n_distinct"), F.kll_merge_agg_double("spread").alias("__spread"))
+    some = F.kll_sketch_get_n_double("__spread") > 0
+    return merged.select("*", *[F.when(some, F.kll_sketch_get_quantile_double("__spread", F.lit(float(q)))).alias(f"q{round(100 * q)}")
+                                for q in quantiles]).drop("__spread")
