@@ -22,23 +22,20 @@ _EXISTING_KEYS = "SELECT c_custkey, CAST(c_custkey // 2 + 1 AS BIGINT) AS cust_k
 
 _FACT_SOURCE = f"""
 WITH li AS (
-  SELECT l_orderkey, l_linenumber, {_date_id('l_shipdate')} AS l_date_id, l_extendedprice, l_discount, l_tax,
-         row_number() OVER (PARTITION BY l_orderkey, l_linenumber, {_date_id('l_shipdate')}
+  SELECT l_orderkey, l_linenumber, {_date_id('l_shipdate')} AS date_id, CAST(l_shipdate AS DATE) AS full_date,
+         l_extendedprice, l_discount, l_tax,
+         row_number() OVER (PARTITION BY l_orderkey, l_linenumber, CAST(l_shipdate AS DATE)
                             ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax) AS rn
   FROM lineitem),
-batch AS (SELECT * FROM li WHERE rn = 1),
+batch AS MATERIALIZED (SELECT * FROM li WHERE rn = 1),
 dim AS (SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_orderkey) AS order_key FROM orders),
 cust AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS cust_key FROM customer),
-span AS (SELECT min(CAST(l_shipdate AS DATE)) AS lo, max(CAST(l_shipdate AS DATE)) AS hi FROM lineitem),
-dates AS (SELECT CAST(d AS DATE) AS full_date, {_date_id('CAST(d AS DATE)')} AS date_id
-          FROM span, generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY) AS t(d)),
-src AS (
-  SELECT d.order_key, c.cust_key, dt.date_id, dt.full_date, b.l_linenumber AS line_number, b.l_orderkey,
+src AS MATERIALIZED (
+  SELECT d.order_key, c.cust_key, b.date_id, b.full_date, b.l_linenumber AS line_number, b.l_orderkey,
          b.l_extendedprice AS market_price, b.l_extendedprice * (1.0 + b.l_tax) AS highest_price,
          b.l_extendedprice * (1.0 - b.l_discount) AS lowest_price
-  FROM batch b JOIN dim d ON b.l_orderkey = d.o_orderkey
-  LEFT JOIN dates dt ON b.l_date_id = dt.date_id
-  LEFT JOIN cust c ON d.o_custkey = c.c_custkey)
+  FROM batch b JOIN dim d ON b.l_orderkey = d.o_orderkey LEFT JOIN cust c ON d.o_custkey = c.c_custkey),
+history AS MATERIALIZED (SELECT date_id, order_key, line_number FROM src WHERE l_orderkey % 2 = 0)
 """
 
 _CARD_KEYS = """
@@ -172,6 +169,23 @@ best AS (SELECT card_name, CAST(min(tier) AS INTEGER) AS tier FROM ev GROUP BY c
 SELECT p.p_partkey, CAST(p.p_partkey AS VARCHAR) AS card_name, b.tier AS evolution_tier
 FROM part p LEFT JOIN best b ON CAST(p.p_partkey AS VARCHAR) = b.card_name""",
 
+    "hierarchy_delta": """
+WITH RECURSIVE nodes AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS card_name,
+         CASE WHEN p_partkey % 13 = 5 THEN NULL
+              WHEN p_partkey % 17 = 4 THEN 'x' || CAST(p_partkey AS VARCHAR)
+              WHEN p_partkey % 11 = 3 THEN CAST(p_partkey // 100 AS VARCHAR)
+              WHEN p_partkey = 0 THEN NULL
+              WHEN p_size = 50 THEN 'x' || CAST(p_partkey AS VARCHAR)
+              ELSE CAST(p_partkey // 10 AS VARCHAR) END AS evolves_from
+  FROM part
+  UNION SELECT CAST(p_partkey AS VARCHAR), CAST(p_partkey // 3 AS VARCHAR) FROM part WHERE p_partkey % 19 = 6),
+ev(card_name, tier) AS (
+  SELECT card_name, 1 FROM nodes WHERE evolves_from IS NULL
+  UNION
+  SELECT c.card_name, e.tier + 1 FROM nodes c JOIN ev e ON c.evolves_from = e.card_name AND c.evolves_from <> c.card_name)
+SELECT card_name, CAST(min(tier) AS INTEGER) AS evolution_tier FROM ev GROUP BY card_name""",
+
     "lowest_rank": """
 SELECT p_brand, p_partkey, p_retailprice FROM (
   SELECT p_brand, p_partkey, p_retailprice, rank() OVER (PARTITION BY p_brand ORDER BY p_retailprice) AS r FROM part)
@@ -231,12 +245,29 @@ UNION ALL
 SELECT mx.m + row_number() OVER (ORDER BY s.c_custkey), s.c_custkey, s.c_name, s.c_acctbal, s.c_mktsegment
 FROM src s, mx WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.c_custkey = s.c_custkey)""",
 
+    # A row keeps the time at which its values last changed.
+    "scd1_bucketed": """
+WITH a AS (SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 = 0 THEN c_acctbal - 100.0 ELSE c_acctbal END AS c_acctbal, c_mktsegment,
+                  row_number() OVER (ORDER BY c_custkey) AS cust_key FROM customer WHERE c_custkey % 2 = 0),
+b AS (SELECT c_custkey, c_name, c_acctbal, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment
+      FROM customer WHERE c_nationkey <> 0),
+n AS (SELECT b.*, (SELECT max(cust_key) FROM a) + row_number() OVER (ORDER BY c_custkey) AS cust_key
+      FROM b WHERE c_custkey NOT IN (SELECT c_custkey FROM a))
+SELECT a.cust_key, a.c_custkey, CASE WHEN b.c_custkey IS NULL THEN a.c_name ELSE b.c_name END AS c_name,
+       CASE WHEN b.c_custkey IS NULL THEN a.c_acctbal ELSE b.c_acctbal END AS c_acctbal,
+       CASE WHEN b.c_custkey IS NULL THEN a.c_mktsegment ELSE b.c_mktsegment END AS c_mktsegment,
+       CASE WHEN b.c_custkey IS NOT NULL AND (a.c_acctbal <> b.c_acctbal OR a.c_mktsegment IS DISTINCT FROM b.c_mktsegment)
+            THEN TIMESTAMP '2024-02-06 12:00:00' ELSE TIMESTAMP '2024-02-05 12:00:00' END AS load_time_stamp
+FROM a LEFT JOIN b USING (c_custkey)
+UNION ALL SELECT cust_key, c_custkey, c_name, c_acctbal, c_mktsegment, TIMESTAMP '2024-02-06 12:00:00' FROM n""",
+
     "incremental_fact": _FACT_SOURCE + """
-SELECT s.order_key, s.cust_key, s.date_id, s.full_date, s.line_number, s.market_price, s.highest_price, s.lowest_price
-FROM src s
-WHERE s.date_id IS NOT NULL AND NOT EXISTS (
-  SELECT 1 FROM src h WHERE h.l_orderkey % 2 = 0 AND h.date_id = s.date_id AND h.order_key = s.order_key
-                        AND h.line_number = s.line_number)""",
+SELECT order_key, cust_key, date_id, full_date, line_number, market_price, highest_price, lowest_price
+FROM src ANTI JOIN history USING (date_id, order_key, line_number)""",
+
+    "fact_point_lookup": f"""
+SELECT l_partkey AS card_key, {_date_id('l_shipdate')} AS date_id, l_orderkey AS offer, l_linenumber AS line, l_extendedprice AS market_price
+FROM lineitem WHERE l_partkey = 7 OR (l_partkey IN (11, 12) AND {_date_id('l_shipdate')} <= 20231231)""",
 
     "unique_violations": """
 SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
@@ -397,17 +428,59 @@ SELECT 'c' || CAST(p_partkey AS VARCHAR) AS card_id, CAST(DATE '2026-01-20' - CA
        CAST(NULL AS DOUBLE) AS avg_30, 'https://market.example/c' || CAST(p_partkey AS VARCHAR) AS card_url
 FROM part""",
 
+    "variant_prices": f"""
+WITH agg AS (SELECT l_partkey, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, count(*) AS n, max(l_discount) AS md,
+                    min(l_tax) AS tlo, max(l_tax) AS thi, min(l_quantity) AS qmin FROM lineitem GROUP BY l_partkey),
+r AS (SELECT p_partkey, CAST(DATE '2026-01-20' - CAST(p_partkey % 30 AS INTEGER) AS DATE) AS upd, a.* FROM part JOIN agg a ON l_partkey = p_partkey)
+SELECT 'c' || CAST(p_partkey AS VARCHAR) AS card_id, 'normal' AS printing_finish_rarity, {_date_id('upd')} AS date_id,
+       CASE WHEN n % 2 = 0 THEN md * 100.0 ELSE (hi + lo) / 2.0 END AS market_price, hi AS highest_price, lo AS lowest_price FROM r
+UNION ALL SELECT 'c' || CAST(p_partkey AS VARCHAR), 'holofoil', {_date_id('upd')}, qmin, thi, tlo FROM r""",
+
+    "profile_sketch": f"""
+WITH t AS (SELECT c_name, {_SEGMENT} AS c_mktsegment, c_acctbal FROM customer WHERE c_custkey % 3 < 2)
+SELECT column_name, count(*) AS n_rows, CAST(count_if(v IS NULL) AS BIGINT) AS n_null, CAST(count_if(trim(v) <> v) AS BIGINT) AS n_untrimmed,
+       CAST(count_if(trim(v) = '') AS BIGINT) AS n_blank, max(length(v)) AS longest
+FROM (SELECT 'c_name' AS column_name, c_name AS v FROM t UNION ALL SELECT 'c_mktsegment', c_mktsegment FROM t
+      UNION ALL SELECT 'c_acctbal', CAST(c_acctbal AS VARCHAR) FROM t) GROUP BY column_name""",
+
     "json_malformed": """
 WITH t AS (SELECT event_id, event_type, '{"event_id":' || CAST(event_id AS VARCHAR) || ',"event_type":"' || event_type || '"}' AS s FROM events)
 SELECT CASE WHEN event_id % 50 <> 7 THEN event_id END AS event_id, CASE WHEN event_id % 50 <> 7 THEN event_type END AS event_type,
        CASE WHEN event_id % 50 = 7 THEN substr(s, 1, length(s) - 3) END AS damaged FROM t""",
 
     "dated_documents": """
-SELECT CAST(r_regionkey AS BIGINT) AS r_regionkey, r_name || ' × é ✓' AS r_name, CAST(20260120 + r_regionkey AS INTEGER) AS day FROM region""",
+SELECT CAST(r_regionkey AS BIGINT) AS r_regionkey, r_name || ' × é ✓' AS r_name, CAST(DATE '2026-01-20' + CAST(r_regionkey AS INTEGER) AS DATE) AS day FROM region""",
+
+    "run_audit": """
+SELECT step, 'succeeded' AS status, true AS timed, true AS in_order FROM (SELECT unnest([
+  'bronze', 'silver', 'gold', 'quality', 'quality.casts', 'quality.cast_rejects', 'quality.length_violations',
+  'silver.card_attacks', 'silver.card_weaknesses', 'silver.card_abilities', 'silver.card_resistances', 'silver.card_retreat_cost',
+  'silver.card_subtypes', 'silver.card_types', 'silver.card_set', 'silver.card_national_pokedex_numbers', 'silver.card_legalities',
+  'silver.card_images', 'silver.mkt_tcgplayer', 'silver.mkt_cardmarket', 'silver.card_main_info', 'silver.card_extras_flattened',
+  'gold.dim_card_sets', 'gold.dim_dates', 'gold.dim_cards', 'gold.dim_cards_extra_info', 'gold.fact_rejects',
+  'gold.fact_hst_tcg_data']) AS step)""",
+
+    "elapsed_seconds": "SELECT event_id, date_diff('second', date_trunc('day', ts), date_trunc('second', ts)) AS seconds FROM events",
 
     "hierarchy_deep": """
 SELECT 'n' || CAST(p_partkey AS VARCHAR) AS name, CAST(p_partkey + 1 AS INTEGER) AS tier FROM part""",
 
+    "json_split_array": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+
+    # An item that two pages hold is taken from the later one, where it comes first.
+    "paged_source": """
+SELECT event_id, ts, user_id, event_type, value, props,
+       CAST(CASE WHEN event_id % 250 >= 240 THEN event_id // 250 + 1 ELSE event_id // 250 END AS BIGINT) AS page,
+       CAST(CASE WHEN event_id % 250 >= 240 THEN event_id % 250 - 240
+                 WHEN event_id >= 250 THEN event_id % 250 + 10 ELSE event_id END AS INTEGER) AS position
+FROM events""",
+
+    "stream_latest_price": """
+SELECT user_id, event_type, day, value FROM (
+  SELECT user_id, event_type, CAST(ts AS DATE) AS day, value,
+         row_number() OVER (PARTITION BY user_id, event_type ORDER BY CAST(ts AS DATE) DESC, value DESC) AS r FROM events)
+WHERE r = 1 AND day > (SELECT max(CAST(ts AS DATE)) FROM events) - 5""",
+
     "stream_daily": f"""
 SELECT event_id, {_date_id('ts')} AS date_id, event_type, value FROM events""",
 }

@@ -271,6 +271,25 @@ def q_hierarchy_tier(spark, sf_dir):
     return tree.join(tiers, "card_name", "left").select("p_partkey", "card_name", "evolution_tier")
 
 
+def q_hierarchy_delta(spark, sf_dir):
+    """H1/J6 kept up to date: tiers of the tree of parts, then some parts move, get a second parent, become
+    roots or are cut off, and only what hangs on these edges is worked out anew."""
+    from strata.operators.hierarchy_delta import hierarchy_delta
+    part = table(spark, sf_dir, "part")
+    before = _written(spark, _part_tree(part).select("card_name", "evolves_from"), "tree-before")
+    tiers = _written(spark, hierarchy_tier(before, "card_name", "evolves_from", tier_alias="evolution_tier"), "tree-tiers")
+    k = F.col("p_partkey")
+    moved = _part_tree(part).select("p_partkey", "card_name", F.when(k % 13 == 5, F.lit(None).cast("string"))
+                                    .when(k % 17 == 4, F.concat(F.lit("x"), "card_name"))
+                                    .when(k % 11 == 3, F.floor(k / 100).cast("string")).otherwise(F.col("evolves_from")).alias("evolves_from"))
+    second = part.where(k % 19 == 6).select("p_partkey", k.cast("string").alias("card_name"), F.floor(k / 3).cast("string").alias("evolves_from"))
+    after = _written(spark, moved.unionByName(second).select("card_name", "evolves_from"), "tree-after")
+    same = ["card_name", "evolves_from"]
+    new, _ = hierarchy_delta(tiers, after, after.select(*same).exceptAll(before.select(*same)),
+                             before.select(*same).exceptAll(after.select(*same)), "card_name", "evolves_from", "evolution_tier")
+    return new
+
+
 # --------------------------------------------------------------------------- windows / rollups
 
 def lowest_rank(spark, sf_dir):
@@ -352,6 +371,26 @@ def scd1_merge(spark, sf_dir):
     return merge_type1(target, source, "c_custkey", "cust_key")
 
 
+def scd1_bucketed(spark, sf_dir):
+    """D2/D3 in hash buckets: a first load, a merge, and the same merge again, each one commit."""
+    from strata.operators.bucketed import merge_bucketed, read_bucketed
+    from strata.sources import LayerCommit
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    nation = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    first = c.where(F.col("c_custkey") % 2 == 0).withColumn(
+        "c_acctbal", F.when(F.col("c_custkey") % 3 == 0, F.col("c_acctbal") - 100.0).otherwise(F.col("c_acctbal")))
+    later = c.join(nation.where(F.col("c_nationkey") != 0), "c_custkey").select(
+        "c_custkey", "c_name", "c_acctbal",
+        F.when(F.col("c_custkey") % 10 == 0, F.lit(None).cast("string")).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"))
+    layer_dir = scratch_path(spark, "bucketed")
+    for day, source in enumerate((first, later, later)):
+        layer = LayerCommit(spark, layer_dir)
+        merge_bucketed(layer, "dim_customer", source, "c_custkey", "cust_key", "load_time_stamp",
+                       AS_OF + _dt.timedelta(days=day), n_buckets=16)
+        layer.commit()
+    return read_bucketed(LayerCommit(spark, layer_dir), "dim_customer")
+
+
 FACT_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 FACT_GRAIN = ["date_id", "order_key", "line_number"]
 
@@ -371,13 +410,11 @@ def _fact_source(spark, sf_dir) -> DataFrame:
     li = wide_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_shipdate", *FACT_ORDER)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cust = table(spark, sf_dir, "customer").select("c_custkey")
-    batch = dedupe_grain(li.select("l_orderkey", "l_linenumber", sf.date_key("l_shipdate").alias("l_date_id"),
-                                   F.col("l_shipdate").cast("date").alias("l_day"), *FACT_ORDER),
+    batch = dedupe_grain(li.select("l_orderkey", "l_linenumber", sf.date_key("l_shipdate").alias("l_date_id"), *FACT_ORDER),
                          ["l_orderkey", "l_linenumber", "l_date_id"], FACT_ORDER)
-    batch = _written(spark, batch, "fact-batch")  # the only scan of lineitem
     order_keys = assign_keys(orders, "o_orderkey", "order_key")
     cust_keys = assign_keys(cust, "c_custkey", "cust_key")
-    dates = date_dimension_covering(batch, "l_day").select("date_id", "full_date")
+    dates = date_dimension_covering(table(spark, sf_dir, "lineitem"), "l_shipdate").select("date_id", "full_date")
     dim = orders.join(order_keys, "o_orderkey")
     src = (batch.join(dim, batch["l_orderkey"] == dim["o_orderkey"], "inner")
            .join(dates, F.col("l_date_id") == dates["date_id"], "left")
@@ -393,13 +430,26 @@ def incremental_fact(spark, sf_dir):
     """New fact rows = batch minus the stored history at the grain. The history (even
     orders) is a table partitioned by month, of which only the batch's months are read."""
     month = F.floor(F.col("date_id") / 100).cast("int").alias("month_id")
-    src = _written(spark, _fact_source(spark, sf_dir).select("*", month), "fact-source")
+    src = _written(spark, _fact_source(spark, sf_dir).select("*", month), "fact-source")  # the only scan of the prices
     history = _written(spark, src.where(F.col("l_orderkey") % 2 == 0).select(*FACT_GRAIN, "month_id"), "fact-history", "month_id")
     new = new_facts(src, history, FACT_GRAIN, prune_col="month_id")
     return new.select("order_key", "cust_key", "date_id", "full_date", "line_number",
                       "market_price", "highest_price", "lowest_price")
 
 
+def fact_point_lookup(spark, sf_dir):
+    """Some cards' history out of a fact laid out along a curve over (day, card), with Bloom filters."""
+    from strata.sources import read_clustered, write_clustered
+    fact = table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("card_key"), sf.date_key("l_shipdate").alias("date_id"), F.col("l_orderkey").alias("offer"),
+        F.col("l_linenumber").alias("line"), F.col("l_extendedprice").alias("market_price"))
+    path = scratch_path(spark, "clustered-fact")
+    write_clustered(fact, path, ["date_id", "card_key"], files=64, bloom=["card_key"], bits=6)
+    one = read_clustered(spark, path, card_key=7)
+    days = read_clustered(spark, path, card_key=(11, 12), date_id=(None, 20231231))
+    return one.unionByName(days)
+
+
 # --------------------------------------------------------------------------- quality
 
 def unique_violations(spark, sf_dir):
@@ -439,6 +489,25 @@ def q_profile(spark, sf_dir):
     return profile(c, ["c_name", "c_mktsegment"])
 
 
+def profile_sketch(spark, sf_dir):
+    """Q6/Q1 from run days: each day's profile is appended, and the days are merged without their data."""
+    from strata.operators import merge_profiles, profile_day
+    from strata.sources import LayerCommit
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", _induced_segment().alias("c_mktsegment"), "c_acctbal")
+    layer_dir = scratch_path(spark, "profiles")
+    for day in range(PROFILE_DAYS):
+        layer = LayerCommit(spark, layer_dir)
+        part = c.where(F.pmod("c_custkey", F.lit(PROFILE_DAYS)) == day).drop("c_custkey")
+        layer.append(profile_day(part, part.columns, AS_OF.date() + _dt.timedelta(days=day)), "column_profiles")
+        layer.commit()
+    profiles = LayerCommit(spark, layer_dir).read("column_profiles")
+    return merge_profiles(profiles, last_day=AS_OF.date() + _dt.timedelta(days=PROFILE_DAYS - 2)).select(
+        "column_name", "n_rows", "n_null", "n_untrimmed", "n_blank", "longest")
+
+
+PROFILE_DAYS = 3
+
+
 # --------------------------------------------------------------------------- storage round trips
 
 def snapshot_restore(spark, sf_dir):
@@ -607,6 +676,21 @@ def mkt_cardmarket(spark, sf_dir):
         "card_id", "cardmarket_updated_at", "average_sell_price", "low_price", "trend_price", "avg_30", "card_url")
 
 
+def variant_prices(spark, sf_dir):
+    """Card prices kept as VARIANT in bronze, a row per finish by a lateral explode."""
+    from strata.operators.variants import as_variant, variant_entries, variant_field
+    from strata.plans.card_docs import card_documents
+    docs = card_documents(table(spark, sf_dir, "part"), table(spark, sf_dir, "lineitem"))
+    text = docs.select(F.col("id").alias("card_id"), F.to_json("tcgplayer").alias("tcgplayer"))
+    bronze = _written(spark, as_variant(text, "tcgplayer"), "variant-bronze").withColumn(
+        "tcg_updated_at", sf.parse_date(variant_field("tcgplayer", "$.updatedAt")))
+    prices = variant_entries(bronze, "tcgplayer", ["card_id", "tcg_updated_at"], {n: (f"$.{n}", "double") for n in ("low", "high", "market")},
+                             path="$.prices", key_alias="printing_finish_rarity")
+    return prices.select("card_id", "printing_finish_rarity", sf.date_key("tcg_updated_at").alias("date_id"),
+                         sf.price_fallback("market", "high", "low").alias("market_price"), F.col("high").alias("highest_price"),
+                         F.col("low").alias("lowest_price"))
+
+
 def json_malformed(spark, sf_dir):
     """JSON text of which some lines are cut off: whole records kept, damaged ones told apart."""
     from strata.sources import CORRUPT_COLUMN, read_json_documents
@@ -622,18 +706,110 @@ def json_malformed(spark, sf_dir):
                        F.col(CORRUPT_COLUMN).alias("damaged"))
 
 
+def json_split_array(spark, sf_dir):
+    """All documents as one JSON array in one file, read by many tasks."""
+    from strata.sources import read_json_array
+    docs = table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "one-document")
+    first = docs.agg(F.min("doc_id").alias("d")).first()["d"]
+    # The text begins every record but the first with a comma; the array ends after the last.
+    head = F.when(F.col("doc_id") == first, F.lit("[")).otherwise(F.lit(","))
+    record = F.to_json(F.struct(*docs.columns), {"pretty": "true"})
+    lines = docs.select("doc_id", F.concat(head, record).alias("value")).unionByName(
+        spark.range(1).select(F.lit(None).cast("long").alias("doc_id"), F.lit("]" if first is not None else "[]").alias("value")))
+    lines.coalesce(1).sortWithinPartitions(F.col("doc_id").asc_nulls_last()).select("value").write.text(path)
+    return read_json_array(spark, path, docs.schema, split_bytes=SPLIT_BYTES)
+
+
+#: Small ranges, so that also the small tables give a file to many tasks.
+SPLIT_BYTES = 1 << 18
+
+
+def paged_source(spark, sf_dir):
+    """An extract of pages that breaks off in a page, is resumed, and is then fetched once more:
+    each item lands once, where pages overlap from the later one."""
+    from strata.sources import land_paged
+    ev = table(spark, sf_dir, "events")
+    pages = _event_pages(ev)
+    page_dir, out, checkpoint = (scratch_path(spark, n) for n in ("paged-in", "paged-out", "paged-checkpoint"))
+    middle = pages.agg(F.floor(F.max("page") / 2).cast("long").alias("m")).first()["m"] or 0
+    item = F.to_json(F.struct("data"), {"timestampNTZFormat": TS_MICROS}).alias("value")
+
+    def fetch(part: DataFrame) -> DataFrame:
+        (part.select("page", item).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("page").text(page_dir))
+        return land_paged(spark, page_dir, EVENT_SCHEMA, "event_id", out, checkpoint, page_size=PAGE_SIZE + OVERLAP)
+
+    cut = F.when(F.col("page") < middle, F.col("data")).otherwise(F.slice("data", 1, 100))
+    fetch(pages.where(F.col("page") <= middle).withColumn("data", cut))
+    fetch(pages.where(F.col("page") >= middle))
+    return fetch(pages)
+
+
+#: Days for which a price holds in the price stream (the events span a month).
+PRICE_DAYS = 5
+
+
+def stream_latest_price(spark, sf_dir):
+    """The latest price of every key held as state of a stream over shuffled day files."""
+    from strata.streaming import file_stream, held_prices, run_latest_prices
+    ev = table(spark, sf_dir, "events").select("user_id", "event_type", F.to_date("ts").alias("day"), "value")
+    in_dir, out = scratch_path(spark, "prices-in"), scratch_path(spark, "prices-out")
+    part = F.pmod(F.datediff("day", F.lit("2024-01-01").cast("date")) * 7, F.lit(5)).alias("part")
+    ev.select("*", part).repartition("part").write.partitionBy("part").json(in_dir)
+    schema = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
+                           T.StructField("day", T.DateType()), T.StructField("value", T.DoubleType())])
+    stream = file_stream(spark, in_dir, schema, multi_line=False, max_files_per_trigger=1)
+    run_latest_prices(stream, ["user_id", "event_type"], "day", "value", PRICE_DAYS, out, scratch_path(spark, "prices-checkpoint"))
+    return held_prices(spark, out, ["user_id", "event_type"]).select(
+        "user_id", "event_type", F.to_date(F.timestamp_millis("time_ms")).alias("day"), F.col("price").alias("value"))
+
+
+def _event_pages(ev: DataFrame) -> DataFrame:
+    """Pages of events in their order; the last items of each page come again on the next."""
+    page = F.floor(F.col("event_id") / PAGE_SIZE).cast("long")
+    item = F.struct(*[F.col(f.name) for f in EVENT_SCHEMA.fields])
+    again = ev.where(F.col("event_id") % PAGE_SIZE >= PAGE_SIZE - OVERLAP).select((page + 1).alias("page"), item.alias("it"))
+    return (ev.select(page.alias("page"), item.alias("it")).unionByName(again).groupBy("page")
+            .agg(F.sort_array(F.collect_list("it")).alias("data")))
+
+
+#: Items at the end of a page that the next page repeats.
+OVERLAP = 10
+
+
 def dated_documents(spark, sf_dir):
-    """Whole-file multi-line documents, one per region and named by a day, with text beyond ASCII."""
-    from strata.sources import read_json_documents
+    """Whole-file multi-line documents, one per region, named by a day and found by that name, with
+    text beyond ASCII; the row's day is taken from the file's name."""
+    from strata.sources import dated_name, dated_path, read_json_documents
     r = table(spark, sf_dir, "region")
     doc = F.to_json(F.struct("r_regionkey", F.concat("r_name", F.lit(" × é ✓")).alias("r_name")), {"pretty": "true"})
-    path = scratch_path(spark, "dated")
-    day = F.date_format(F.date_add(F.lit("2026-01-20").cast("date"), F.col("r_regionkey").cast("int")), "yyyyMMdd")
-    # One folder per day: the writer names part files itself.
-    r.select(doc.alias("value"), day.alias("day")).write.partitionBy("day").text(path)
+    base, first = scratch_path(spark, "dated"), _dt.date(2026, 1, 20)
+    r.select(doc.alias("value"), F.col("r_regionkey").alias("k")).write.partitionBy("k").text(base)
+    keys = [x["r_regionkey"] for x in r.select("r_regionkey").collect()]  # the regions of the world: a handful
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for k in keys:
+        # The writer names its files itself; the extractor's rule gives them their day.
+        written = fs.Path(f"{base}/k={k}/part-*").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        part = written.globStatus(fs.Path(f"{base}/k={k}/part-*"))[0].getPath()
+        written.rename(part, fs.Path(f"{base}/{dated_name(first + _dt.timedelta(days=int(k)))}"))
     schema = T.StructType([T.StructField("r_regionkey", T.LongType()), T.StructField("r_name", T.StringType())])
-    read = read_json_documents(spark, path, schema, multi_line=True)
-    return read.select("r_regionkey", "r_name", F.col("day").cast("int").alias("day"))
+    paths = [dated_path(base, first + _dt.timedelta(days=int(k))) for k in keys]
+    return read_json_documents(spark, paths, schema, multi_line=True, day_col="day")
+
+
+def run_audit(spark, sf_dir):
+    """One audit row per step of a load, with its status and times."""
+    from strata.sources import layer_path
+    runs = spark.read.parquet(layer_path(_card_lake(spark, sf_dir), "audit", "runs"))
+    return runs.select("step", "status", (F.col("seconds") >= 0).alias("timed"),
+                       (sf.elapsed_seconds("started_at", "ended_at") >= 0).alias("in_order"))
+
+
+def elapsed_seconds(spark, sf_dir):
+    """F16: whole seconds between two times."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", sf.elapsed_seconds(F.date_trunc("DAY", "ts").cast("timestamp_ntz"), "ts").alias("seconds"))
 
 
 def hierarchy_deep(spark, sf_dir):
@@ -688,6 +864,7 @@ QUERIES = {
     "case_insensitive_match": case_insensitive_match,
     "date_dimension": q_date_dimension,
     "hierarchy_tier": q_hierarchy_tier,
+    "hierarchy_delta": q_hierarchy_delta,
     "lowest_rank": lowest_rank,
     "row_number_latest": row_number_latest,
     "keep_latest": keep_latest,
@@ -696,7 +873,9 @@ QUERIES = {
     "child_counts": q_child_counts,
     "surrogate_keys": surrogate_keys,
     "scd1_merge": scd1_merge,
+    "scd1_bucketed": scd1_bucketed,
     "incremental_fact": incremental_fact,
+    "fact_point_lookup": fact_point_lookup,
     "unique_violations": unique_violations,
     "null_violations": q_null_violations,
     "profile": q_profile,
@@ -717,6 +896,13 @@ QUERIES = {
     "card_retreat_cost": card_retreat_cost,
     "mkt_cardmarket": mkt_cardmarket,
     "json_malformed": json_malformed,
+    "variant_prices": variant_prices,
+    "profile_sketch": profile_sketch,
     "dated_documents": dated_documents,
     "hierarchy_deep": hierarchy_deep,
+    "run_audit": run_audit,
+    "elapsed_seconds": elapsed_seconds,
+    "json_split_array": json_split_array,
+    "paged_source": paged_source,
+    "stream_latest_price": stream_latest_price,
 }
