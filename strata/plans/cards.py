@@ -23,7 +23,7 @@ from strata.operators import (cast_rejects, child_counts, count_within, length_v
 from strata.plans.fixed_values import (BRONZE_RENAMES, CARDMARKET_PRICE_NAMES, CASE_INSENSITIVE,  # noqa: F401
                                        CLOCK_OFFSET_HOURS, DATE_DIM_END, DATE_DIM_START, DEFAULT_RARITY, ENERGY_COUNT_COLUMN, GOLD_WIDTHS,
                                        LEGALITY_LABELS, PRICE_FRESH_DAYS)
-from strata.sources import CORRUPT_COLUMN, raw_json_columns, read_json_documents
+from strata.sources import CORRUPT_COLUMN, raw_json_columns, read_json_array, read_json_documents
 
 S, I, D = T.StringType(), T.IntegerType(), T.DoubleType()
 
@@ -74,10 +74,13 @@ def accepted(bronze: DataFrame) -> Column:
 
 
 def read_bronze(spark: SparkSession, path: str | list[str], as_of: _dt.datetime, multi_line: bool = True,
-                raw: bool = False, keep_corrupt: bool = False) -> DataFrame:
+                raw: bool = False, keep_corrupt: bool = False, split: bool = False) -> DataFrame:
     """Bronze from the day's document. ``raw=True`` keeps the 13 nested fields as JSON text, as
-    the source's bronze table does; silver accepts either layout (see ``as_typed``)."""
+    the source's bronze table does; silver accepts either layout (see ``as_typed``). ``split=True`` reads
+    one large document by many tasks (``read_json_array``)."""
     schema = raw_json_columns(CARD_SCHEMA, RAW_JSON_FIELDS) if raw else CARD_SCHEMA
+    if split:
+        return bronze_from_documents(read_json_array(spark, path, schema, keep_corrupt), as_of)
     return bronze_from_documents(read_json_documents(spark, path, schema, multi_line=multi_line, keep_corrupt=keep_corrupt),
                                  as_of)
 

@@ -63,9 +63,12 @@ def _store_bronze(spark: SparkSession, root: str, bronze: DataFrame, as_of: _dt.
 
 
 def load_bronze(spark: SparkSession, root: str, source: str | list[str], as_of: _dt.datetime,
-                multi_line: bool = True, audit: RunAudit | None = None) -> DataFrame:
-    """Parse the day's document once into typed Parquet (splittable, nested-column pruned)."""
-    return _store_bronze(spark, root, cards.read_bronze(spark, source, as_of, multi_line, keep_corrupt=True), as_of)
+                multi_line: bool = True, audit: RunAudit | None = None, split: bool = False) -> DataFrame:
+    """Parse the day's document once into typed Parquet (splittable, nested-column pruned).
+
+    ``split``: a document of any size is read by many tasks, whether it spans lines or not.
+    """
+    return _store_bronze(spark, root, cards.read_bronze(spark, source, as_of, multi_line, keep_corrupt=True, split=split), as_of)
 
 
 def load_bronze_frame(spark: SparkSession, root: str, docs: DataFrame, as_of: _dt.datetime) -> DataFrame:
@@ -196,12 +199,12 @@ def _write(audit: RunAudit | None, name: str, df: DataFrame, writer):
 
 def run(spark: SparkSession, root: str, as_of: _dt.datetime, source: str | list[str] | None = None,
         landing_dir: str | None = None, multi_line: bool = True, numbering: str = "range",
-        pages_dir: str | None = None, docs: DataFrame | None = None) -> RunAudit:
+        pages_dir: str | None = None, docs: DataFrame | None = None, split: bool = False) -> RunAudit:
     """The whole daily load: bronze, silver, gold, quality, with one audit row per step.
 
     The input is, in order of precedence: ``docs`` (documents already read), ``pages_dir`` (the
     extractor's page files, deduped), ``source`` (document paths), or the run day's dated
-    document under ``landing_dir``.
+    document under ``landing_dir``. ``split`` reads these documents by many tasks.
     """
     ensure_checkpoint_dir(spark)
     audit = RunAudit(spark, uuid.uuid4().hex, layer_path(root, "audit", "runs"))
@@ -213,7 +216,7 @@ def run(spark: SparkSession, root: str, as_of: _dt.datetime, source: str | list[
         if source is None:
             run_day = as_of + _dt.timedelta(hours=cards.CLOCK_OFFSET_HOURS)
             source = dated_path(landing_dir, run_day)
-        audit.step("bronze", load_bronze, spark, root, source, as_of, multi_line)
+        audit.step("bronze", load_bronze, spark, root, source, as_of, multi_line, split=split)
     audit.step("silver", load_silver, spark, root, as_of, audit, numbering)
     with ThreadPoolExecutor(max_workers=1) as pool:
         # The cast report reads bronze only, so it runs while gold is loaded.

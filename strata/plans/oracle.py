@@ -374,6 +374,15 @@ SELECT ck.card_key, lower(ck.p_type) AS subtype_list,
        'https://img.example/c' || CAST(ck.p_partkey AS VARCHAR) || '_hires.png' AS large_image_url
 FROM ck""",
 
+    "silver_delta": """
+WITH d AS (SELECT p_partkey, p_type, p_name, p_size, p_brand FROM part WHERE p_partkey % 17 <> 3
+           UNION ALL SELECT p_partkey + 1000000000, p_type, p_name, p_size, p_brand FROM part WHERE p_partkey % 19 = 5)
+SELECT 'c' || CAST(p_partkey AS VARCHAR) AS card_id, lower(p_type) AS subtype_list,
+       lower(split_part(p_name, ' ', 1)) || ', ' || lower(split_part(p_name, ' ', 2)) AS type_list,
+       lower(split_part(p_name, ' ', 1)) AS weaknesses_list,
+       CASE WHEN p_size % 2 = 1 THEN lower(p_brand) ELSE 'n/a' END AS resistances_list,
+       CAST(p_partkey % 1000 AS VARCHAR) AS pokedex_list FROM d""",
+
     "card_day2_dims": f"""
 WITH {_CARD_KEYS.strip()},
 n AS (SELECT 'c' || CAST(p_partkey + 1000000000 AS VARCHAR) AS card_id, p_brand, p_size FROM part WHERE p_partkey % 19 = 5),

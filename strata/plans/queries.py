@@ -619,6 +619,25 @@ def _two_day_lake(spark, sf_dir) -> str:
 NEW_CARD_OFFSET = 1_000_000_000
 
 
+def silver_delta(spark, sf_dir):
+    """A1-A3/W1/J4/S6 by change feed: the flattened lists after a second day on which cards have come and gone."""
+    from strata.plans import cards
+    from strata.plans.card_docs import DOC_AS_OF, card_documents
+    from strata.plans.silver_delta import PER_CARD, read_changed, refresh_changed
+    from strata.sources import LayerCommit
+    part, lineitem, k = table(spark, sf_dir, "part"), table(spark, sf_dir, "lineitem"), F.col("p_partkey")
+    new = part.where(k % 19 == 5).withColumn("p_partkey", k + NEW_CARD_OFFSET)
+    bronze = [_written(spark, cards.bronze_from_documents(card_documents(p, lineitem), DOC_AS_OF), f"bronze-{i}")
+              for i, p in enumerate((part, part.where(k % 17 != 3).unionByName(new)))]
+    layer_dir = scratch_path(spark, "silver-delta")
+    tables = {n: PER_CARD[n] for n in ("card_attacks", "card_extras_flattened")}
+    for old, now in ((None, bronze[0]), bronze):
+        layer = LayerCommit(spark, layer_dir)
+        refresh_changed(layer, old, now, tables, n_buckets=64)
+        layer.commit()
+    return read_changed(LayerCommit(spark, layer_dir), "card_extras_flattened")
+
+
 def card_day2_dims(spark, sf_dir):
     """D2/D3/D4 over two days: keys stay, discontinued cards stay, new ones get the next keys."""
     from strata.sources import layer_path, read_table
@@ -889,6 +908,7 @@ QUERIES = {
     "card_load_fact": card_load_fact,
     "card_load_dims": card_load_dims,
     "card_load_extras": card_load_extras,
+    "silver_delta": silver_delta,
     "card_day2_dims": card_day2_dims,
     "card_day2_sets": card_day2_sets,
     "card_day2_fact": card_day2_fact,

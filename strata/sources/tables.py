@@ -109,16 +109,16 @@ def claim(spark: SparkSession, path: str) -> bool:
         raise
 
 
-def _claim_manifest(spark: SparkSession, layer_dir: str, number: int, tables: dict[str, list[int]]) -> bool:
-    """Make ``tables`` the manifest ``number``, unless that number is taken: then nothing happens.
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Make the file ``path`` with ``text``, unless it is there: then nothing happens. Of several writers one gets True.
 
-    The manifest is written whole under another name and gets its number in one step that fails where
-    the number exists: a hard link on a local disk, a rename elsewhere (atomic on HDFS and on object
-    stores with a hierarchical namespace).
+    The file is written whole under another name and gets its own in one step that fails where that
+    exists: a hard link on a local disk, a rename elsewhere (atomic on HDFS and on object stores with
+    a hierarchical namespace).
     """
-    text = "\n".join([*(f"{k}={','.join(map(str, v))}" for k, v in sorted(tables.items())), _END])
-    fs, target = _fs(spark, f"{layer_dir}/{_MANIFESTS}/{number:012d}")
-    _, draft = _fs(spark, f"{layer_dir}/{_MANIFESTS}/.{number:012d}-{uuid.uuid4().hex}")
+    fs, target = _fs(spark, path)
+    parent, _, name = path.rpartition("/")
+    _, draft = _fs(spark, f"{parent}/.{name}-{uuid.uuid4().hex}")
     out = fs.create(draft, False)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
@@ -138,6 +138,12 @@ def _claim_manifest(spark: SparkSession, layer_dir: str, number: int, tables: di
         fs.delete(draft, False)
 
 
+def _claim_manifest(spark: SparkSession, layer_dir: str, number: int, tables: dict[str, list[int]]) -> bool:
+    """Make ``tables`` the manifest ``number``, unless that number is taken."""
+    text = "\n".join([*(f"{k}={','.join(map(str, v))}" for k, v in sorted(tables.items())), _END])
+    return create_once(spark, f"{layer_dir}/{_MANIFESTS}/{number:012d}", text)
+
+
 def current_version(spark: SparkSession, table_dir: str) -> int | None:
     """The published version, from the layer's manifest (of a table that is appended to, the last)."""
     parent, name = _split(table_dir)

@@ -117,3 +117,11 @@ def test_text_between_records(spark, tmp_root, text, damaged):
         rows = read_json_array(spark, _write(tmp_root, text), SCHEMA, keep_corrupt=True, split_bytes=size).collect()
         assert [r[CORRUPT_COLUMN].strip(", ") for r in rows if r[CORRUPT_COLUMN] is not None] == [d.strip(", ") for d in damaged]
         assert all(r.a is None for r in rows if r[CORRUPT_COLUMN] is not None)
+
+
+def test_bronze_from_a_split_document(spark, tmp_root, cards_file):
+    from strata.plans import loads
+    from tests.conftest import AS_OF
+    rows = {split: sorted(map(str, loads.load_bronze(spark, f"{tmp_root}/lake-{split}", cards_file, AS_OF, split=split).collect()))
+            for split in (False, True)}
+    assert rows[True] == rows[False] and len(rows[True]) == 4
