@@ -30,10 +30,10 @@ _ITEMS = "page long, position int, item string"
 
 
 class Page(InputPartition):
-    """Items ``start`` to ``end`` (None: all that there are) of a page."""
+    """Items ``start`` to ``end`` (None: all that there are) of the page that ``paths`` hold."""
 
-    def __init__(self, page: int, start: int = 0, end: int | None = None):
-        self.page, self.start, self.end = page, start, end
+    def __init__(self, page: int, paths: list[str], start: int = 0, end: int | None = None):
+        self.page, self.paths, self.start, self.end = page, paths, start, end
 
 
 class _Pages:
@@ -65,7 +65,7 @@ class _Pages:
                     out.setdefault(int(number[1]), []).append(f.path)
         return out
 
-    def items(self, page: int, paths: list[str]) -> list:
+    def items(self, paths: list[str]) -> list:
         store, _ = self._store()
         out = []
         for path in sorted(paths):
@@ -80,7 +80,7 @@ class _Pages:
     def read(self, part: Page | None) -> Iterator[tuple]:
         if part is None:  # Spark reads one partition of nothing where there are none
             return
-        items = self.items(part.page, self.files().get(part.page, []))
+        items = self.items(part.paths)
         if part.end is not None and len(items) < part.end:
             raise ValueError(f"page {part.page} has {len(items)} items, fewer than the {part.end} that it had")
         for i in range(part.start, len(items) if part.end is None else part.end):
@@ -92,7 +92,7 @@ class _BatchReader(DataSourceReader):
         self.pages = _Pages(options)
 
     def partitions(self):
-        return [Page(n) for n in sorted(self.pages.files()) if n >= self.pages.first]
+        return [Page(n, paths) for n, paths in sorted(self.pages.files().items()) if n >= self.pages.first]
 
     def read(self, partition):
         return self.pages.read(partition)
@@ -113,19 +113,19 @@ class _StreamReader(DataSourceStreamReader):
         while page in files:
             page += 1
         if page > self.pages.first:
-            n = len(self.pages.items(page - 1, files[page - 1])) if page - 1 in files else 0
+            n = len(self.pages.items(files[page - 1])) if page - 1 in files else 0
             # A short page may grow: it is not done with.
             reach = (page, 0) if n >= self.pages.size else (page - 1, n)
             self.known = max(self.known, reach)
         return {"page": self.known[0], "item": self.known[1]}
 
     def partitions(self, start: dict, end: dict):
-        out = []
+        out, files = [], self.pages.files()
         for page in range(start["page"], end["page"] + 1):
             a = start["item"] if page == start["page"] else 0
             b = end["item"] if page == end["page"] else None
             if b is None or a < b:
-                out.append(Page(page, a, b))
+                out.append(Page(page, files.get(page, []), a, b))
         return out
 
     def read(self, partition):
