@@ -5,19 +5,23 @@ is compared with the latest counts of the same documents; the old count leaves a
 enters with opposite signs, and the signed rows add up to the batch's delta. Totals are the sum of
 all deltas, so a batch touches only its own documents.
 
-A batch is committed under its name in one folder: its counts and its delta, then a marker. A batch
-whose marker is there is not applied again, and one that broke off before it is written anew, so
-replays and lost drivers change nothing.
+A batch's counts and delta are written to a folder of their own and committed by the next entry of a log,
+one file that only one writer can make. A batch that the log names is not applied again, a folder that no
+entry names is not read, and a writer that comes second works its batch out anew: replays, lost drivers
+and writers at the same time change nothing.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sources import tables
+
 #: Tokenizer versions that Spark counts itself: the pattern of a token.
 PATTERNS = {"words-1": "[^ \t-\r]+", "pieces-1": "[A-Za-z]+|[0-9]|[^ \t-\rA-Za-z0-9]"}
 
@@ -62,24 +66,20 @@ class TokenTotals:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _fs(self, path: str):
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+    def _committed(self) -> list[tuple[int, str, str]]:
+        """(number, batch, folder) of the committed batches, in their order."""
+        found = []
+        for name in sorted(n for n in tables._names(self.spark, f"{self.path}/_log") if n.isdigit()):
+            batch, folder = tables._read_lines(self.spark, f"{self.path}/_log/{name}")
+            found.append((int(name), batch, folder))
+        return found
 
     def batches(self) -> dict[str, int]:
         """The committed batches and their numbers, in the order of commitment."""
-        fs, root = self._fs(self.path)
-        found = {}
-        if fs.exists(root):
-            for s in fs.listStatus(root):
-                name = s.getPath().getName()
-                if name.startswith("batch-") and fs.exists(self._fs(f"{self.path}/{name}/_committed")[1]):
-                    number, _, batch = name.removeprefix("batch-").partition("-")
-                    found[batch] = int(number)
-        return dict(sorted(found.items(), key=lambda x: x[1]))
+        return {batch: number for number, batch, _ in self._committed()}
 
     def _read(self, what: str, schema: str) -> DataFrame:
-        paths = [f"{self.path}/batch-{n:09d}-{b}/{what}" for b, n in self.batches().items()]
+        paths = [f"{self.path}/{folder}/{what}" for _, _, folder in self._committed()]
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
@@ -102,12 +102,23 @@ class TokenTotals:
         delete least, then by count. A null count is 0. Changes without an id or a tokenizer, or
         with another op, are left out. Null sources and languages are groups of their own. Other
         columns are not read.
+
+        Several writers may apply batches at once, the same one too: a batch is worked out against the
+        batches before its number, into a folder of this attempt, and the log's entry with that number can be
+        made once. Who finds it taken works the batch out anew against what was committed meanwhile.
         """
-        done = self.batches()
-        if batch in done:
-            return False
-        number = max(done.values(), default=0) + 1
-        folder = f"{self.path}/batch-{number:09d}-{batch}"
+        while True:
+            done = self.batches()
+            if batch in done:
+                return False
+            number = max(done.values(), default=0) + 1
+            folder = f"batch-{number:09d}-{uuid.uuid4().hex}"
+            self._write(f"{self.path}/{folder}", number, changes)
+            if tables.create_once(self.spark, f"{self.path}/_log/{number:09d}", f"{batch}\n{folder}"):
+                return True
+
+    def _write(self, folder: str, number: int, changes: DataFrame) -> None:
+        """The batch's counts, and what they change in the totals of the batches committed so far."""
         n = F.when(F.col("op") != "delete", F.coalesce(F.col("n_tokens").cast("long"), F.lit(0)))
         new = (changes.where("doc_id is not null and tokenizer is not null and op in ('insert', 'revise', 'delete')")
                .select(F.col("doc_id").cast("long").alias("doc_id"), "tokenizer", n.alias("n_tokens"), "source", "lang")
@@ -121,9 +132,6 @@ class TokenTotals:
         delta = signed.groupBy("source", "lang", "tokenizer").agg(
             F.sum("sign").cast("long").alias("n_docs"), F.sum(F.col("sign") * F.col("n_tokens")).alias("n_tokens"))
         delta.write.mode("overwrite").parquet(f"{folder}/delta")
-        fs, marker = self._fs(f"{folder}/_committed")
-        fs.create(marker, False).close()
-        return True
 
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer, n_docs, n_tokens) of all committed batches; emptied groups are gone."""

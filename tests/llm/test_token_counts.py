@@ -52,6 +52,29 @@ def test_a_batch_that_broke_off_is_written_anew(spark):
     assert _totals(TokenTotals(spark, path)) == {("a", "en", "t"): (2, 12)}
 
 
+def test_two_writers_at_once(spark, monkeypatch):
+    """Another writer commits while this one works its batch out: nothing is counted twice."""
+    path = tempfile.mkdtemp(prefix="run-", dir="/tmp") + "/totals"
+    one, other = TokenTotals(spark, path), TokenTotals(spark, path)
+    write, late = TokenTotals._write, []
+
+    def meanwhile(self, folder, number, changes):
+        write(self, folder, number, changes)
+        if self is one and not late:
+            late.append(True)
+            assert other.apply(late_batch, _changes(spark, [(1, "t", "a", "en", 10, "insert")]))
+
+    monkeypatch.setattr(TokenTotals, "_write", meanwhile)
+    late_batch = "b"
+    assert one.apply("a", _changes(spark, [(1, "t", "a", "en", 30, "insert")]))
+    assert _totals(one) == {("a", "en", "t"): (1, 30)} and one.batches() == {"b": 1, "a": 2}
+    # The same batch twice at once, as from a driver that was thought lost.
+    late.clear()
+    late_batch = "c"
+    assert not one.apply("c", _changes(spark, [(1, "t", "a", "en", 10, "insert")]))
+    assert _totals(other) == {("a", "en", "t"): (1, 10)} and list(one.batches()) == ["b", "a", "c"]
+
+
 def test_pattern_counts(spark):
     texts = awkward_texts()
     rows = pattern_counts(documents(spark, texts)).collect()
