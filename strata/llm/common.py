@@ -206,10 +206,23 @@ def mark(text_col: str):
     return F.xxhash64(F.col(text_col).cast("string"))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores before it as no column of ``df`` has (columns have no case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that are not in ``gone`` (doc_id, mark), compared null-safe."""
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (mark(text_col) == F.col("_mark"))
+    id_name, mark_name = free_names(docs, "_id", "_mark")
+    gone = gone.select(F.col("doc_id").alias(id_name), F.col("mark").alias(mark_name))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(id_name)) & (mark(text_col) == F.col(mark_name))
     return docs.join(gone, same, "left_anti")
 
 

@@ -15,14 +15,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import staged
+from strata.llm.common import free_names, staged
 
 DIMENSIONS = ("source", "lang", "topic")
 #: Words are runs without ASCII white space.
 WORD = "[^ \t-\r]+"
 #: The topic of a text is the first rule that it meets.
 TOPICS = (("legal", "(?i)licen[cs]e|copyright"), ("contact", "@"), ("web", "https?://"), ("table", r"\| .*\| "))
-ROUNDS = 8
+#: Rounds end when no margin is further from its target, as a share of all tokens; what is left when doubles bring
+#: it no nearer is let pass if it is below the second.
+TOLERANCE, NEAR = 1e-13, 1e-9
+ROUNDS = 300
 
 
 def topic_of(text: Column) -> Column:
@@ -55,24 +58,45 @@ def tempered_targets(cells: DataFrame, power: float) -> DataFrame:
     return out
 
 
-def rake(cells: DataFrame, targets: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def rake(cells: DataFrame, targets: DataFrame, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
     """``cells`` with ``weight``: weighted tokens meet the target shares of every dimension.
 
-    A value without a target gets the weight zero, and a target without tokens is passed over; the
-    last dimension is exact, the others as near as the rounds bring them.
+    A value without a target gets the weight zero. A target whose value has no tokens cannot be met and is
+    passed over, and the others of its dimension share what is left in proportion. Rounds go on until no margin
+    was further than ``tolerance`` (of all tokens) from its target when it was scaled. Targets that contradict each
+    other raise ValueError with the error that is left: three rounds in a row did not bring it down, or there
+    were ``rounds``.
     """
-    total = cells.agg(F.sum("tokens").alias("t")).first().t or 0
-    shares = staged(targets.groupBy("dimension", "value").agg(F.sum("share").alias("share")), "mixing-shares")
-    now = cells.withColumn("weight", F.lit(1.0))
-    for d in DIMENSIONS * rounds:
-        share = shares.where(F.col("dimension") == d).select("value", "share")
-        margin = now.groupBy(F.col(d).alias("v")).agg(F.sum(F.col("weight") * F.col("tokens")).alias("m"))
-        factor = (margin.join(share, F.col("v").eqNullSafe(F.col("value")), "left")
-                  .select("v", F.when(F.col("m") > 0, F.coalesce("share", F.lit(0.0)) * float(total) / F.col("m"))
-                          .otherwise(F.lit(1.0)).alias("factor")))
-        now = staged(now.join(factor, F.col(d).eqNullSafe(F.col("v")))
-                     .withColumn("weight", F.col("weight") * F.col("factor")).drop("v", "factor"), "mixing-step")
-    return now
+    total = float(cells.agg(F.sum("tokens").alias("t")).first().t or 0)
+    given = targets.groupBy("dimension", "value").agg(F.sum("share").alias("share"))
+    there = None
+    for d in DIMENSIONS:
+        part = cells.groupBy(F.col(d).alias("v")).agg(F.sum("tokens").alias("n")).where("n > 0").select(F.lit(d).alias("d"), "v")
+        there = part if there is None else there.union(part)
+    given = given.join(there, (F.col("dimension") == F.col("d")) & F.col("value").eqNullSafe(F.col("v"))).drop("d", "v")
+    sums = given.groupBy("dimension").agg(F.sum("share").alias("all")).where("all > 0")
+    shares = staged(given.join(sums, "dimension").select("dimension", "value", (F.col("share") / F.col("all")).alias("share")), "mixing-shares")
+    now, before, stalled = cells.withColumn("weight", F.lit(1.0)), float("inf"), 0
+    for _ in range(rounds):
+        now = now.withColumn("off", F.lit(0.0))  # how far margins were from their targets before this round
+        for d in DIMENSIONS:
+            share = shares.where(F.col("dimension") == d).select("value", "share")
+            margin = now.groupBy(F.col(d).alias("v")).agg(F.sum(F.col("weight") * F.col("tokens")).alias("m"))
+            target = F.coalesce("share", F.lit(0.0)) * total
+            factor = (margin.join(share, F.col("v").eqNullSafe(F.col("value")), "left")
+                      .select("v", F.when(F.col("m") > 0, target / F.col("m")).otherwise(F.lit(1.0)).alias("factor"),
+                              (F.abs(F.col("m") - target) / (total or 1.0)).alias("d_off")))
+            now = staged(now.join(factor, F.col(d).eqNullSafe(F.col("v")))
+                         .withColumns({"weight": F.col("weight") * F.col("factor"), "off": F.greatest("off", "d_off")})
+                         .drop("v", "factor", "d_off"), "mixing-step")
+        error = now.agg(F.max("off")).first()[0] or 0.0
+        if error <= tolerance or (error <= NEAR and error > before / 2):  # doubles bring it no nearer
+            return now.drop("off")
+        stalled = stalled + 1 if error > before * (1 - 1e-4) else 0
+        if stalled == 3:
+            break
+        before = error
+    raise ValueError(f"the target shares cannot be met together: a margin is off by {error:.3g} of all tokens")
 
 
 def inclusion(cells: DataFrame, budget: float) -> DataFrame:
@@ -129,15 +153,18 @@ def _with_cells(rows: DataFrame, cells: DataFrame) -> DataFrame:
 def sample_documents(docs: DataFrame, budget: float = 0.5, power: float = 0.7, targets: DataFrame | None = None,
                      rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                      lang_col: str = "lang") -> DataFrame:
-    """The sampled rows of ``docs``, all columns, with _topic, _weight and _probability; see ``weigh``."""
+    """The sampled rows of ``docs``, all columns, with _topic, _weight and _probability (with a further
+    underscore where ``docs`` has such a column); see ``weigh``."""
     rows = staged(measured(docs, id_col, text_col, source_col, lang_col), "mixing-rows")
     cells = cell_probabilities(rows, budget, power, targets, rounds)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     u = F.conv(F.substring(F.md5(name.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
-    named = cells.select(F.col("source").alias("_source"), F.col("lang").alias("_lang"), F.col("topic").alias("_cell"),
-                         F.col("weight").alias("_weight"), F.col("probability").alias("_probability"))
-    return (docs.withColumn("_topic", topic_of(text))
-            .join(named, F.col(source_col).cast("string").eqNullSafe(F.col("_source"))
-                  & F.col(lang_col).cast("string").eqNullSafe(F.col("_lang")) & (F.col("_topic") == F.col("_cell")))
-            .where(u < F.col("_probability")).drop("_source", "_lang", "_cell"))
+    names = free_names(docs, "_topic", "_weight", "_probability", "_source", "_lang", "_cell")
+    topic, weight, probability, source, lang, cell = names
+    named = cells.select(F.col("source").alias(source), F.col("lang").alias(lang), F.col("topic").alias(cell),
+                         F.col("weight").alias(weight), F.col("probability").alias(probability))
+    return (docs.withColumn(topic, topic_of(text))
+            .join(named, F.col(source_col).cast("string").eqNullSafe(F.col(source))
+                  & F.col(lang_col).cast("string").eqNullSafe(F.col(lang)) & (F.col(topic) == F.col(cell)))
+            .where(u < F.col(probability)).drop(source, lang, cell))

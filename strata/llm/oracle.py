@@ -48,7 +48,7 @@ FROM c LEFT JOIN n USING (vec_id)
 _COUNT = "len(regexp_extract_all(coalesce({0}, ''), '{1}'))"
 
 
-def _mixing(rounds: int = 8, budget: float = 0.5, power: float = 0.7) -> str:
+def _mixing(rounds: int = 12, budget: float = 0.5, power: float = 0.7) -> str:
     """The rounds of raking as a chain of tables, then the capped rate from running sums."""
     steps = [f"""
 d AS MATERIALIZED (

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import by_key_runs, connected_components, mark, run_bounds, runs, staged, without
+from strata.llm.common import by_key_runs, connected_components, free_names, mark, run_bounds, runs, staged, without
 
 #: Rows of a bucket that one task compares with another tile.
 TILE = 4096
@@ -257,11 +257,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """
     found = near_duplicates(docs, id_col, text_col, **how)
     rest = without(docs, found.where("not component_id <=> doc_id"), id_col, text_col)
-    ids = docs.groupBy(F.col(id_col).alias("_id")).agg(F.count("*").alias("n")).where("n > 1 and _id is not null")
-    repeated = staged(ids.select("_id"), "simhash-repeated")
+    id_name, n_name = free_names(docs, "_id", "_n")
+    ids = docs.groupBy(F.col(id_col).alias(id_name)).agg(F.count("*").alias(n_name)).where((F.col(n_name) > 1) & F.col(id_name).isNotNull())
+    repeated = staged(ids.select(id_name), "simhash-repeated")
     if repeated.isEmpty():
         return rest
-    same = F.col(id_col) == F.col("_id")
+    same = F.col(id_col) == F.col(id_name)
     order = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first())
-    one = rest.join(repeated, same, "left_semi").withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    one = (rest.join(repeated, same, "left_semi").withColumn(n_name, F.row_number().over(order))
+           .where(F.col(n_name) == 1).drop(n_name))
     return rest.join(repeated, same, "left_anti").union(one)
