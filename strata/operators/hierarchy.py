@@ -20,7 +20,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.session import ensure_checkpoint_dir
+from strata.session import ensure_checkpoint_dir, growing
 
 # Levels whose nodes are written together, so that plans stay small in deep hierarchies.
 _COMPACT = 8
@@ -60,9 +60,9 @@ def hierarchy_tier(df: DataFrame, node: str, parent: str, max_depth: int | None
         seen = _union(reached).select("node", F.lit(True).alias("__seen"))
         # The "not reached yet" test is a left join + IS NULL: written as a left-anti join, Catalyst
         # pushes it below the inner join onto the edge table, which would then be shuffled twice.
-        found = (frontier.select(F.col("node").alias("parent")).join(linked, "parent")
+        found = (frontier.select(F.col("node").alias("parent")).join(growing(linked), "parent")
                  .select(F.col("child").alias("node")).distinct()
-                 .join(seen, "node", "left").where(F.col("__seen").isNull()))
+                 .join(growing(seen), "node", "left").where(F.col("__seen").isNull()))
         frontier = found.select("node", F.lit(level).alias(tier_alias)).checkpoint(eager=True)
         reached.append(frontier)
     return _union(reached).select(F.col("node").alias(node), F.col(tier_alias))
@@ -112,7 +112,7 @@ def hierarchy_tier_doubling(df: DataFrame, node: str, parent: str, max_depth: in
             break
         t = state.select(F.col("node").alias("t_node"), F.col("anc").alias("t_anc"),
                          F.col("dist").alias("t_dist"), F.col("status").alias("t_status"))
-        j = state.join(t, state["anc"] == t["t_node"], "left")
+        j = state.join(growing(t), state["anc"] == t["t_node"], "left")
         is_open = F.col("status") == "open"
         state = j.select(
             "node",

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.session import ensure_checkpoint_dir
+from strata.session import ensure_checkpoint_dir, growing
 
 
 def _edges(df: DataFrame, node: str, parent: str) -> DataFrame:
@@ -28,22 +28,22 @@ def _least(df: DataFrame) -> int | None:
 def _lost(old: DataFrame, edges: DataFrame, removed: DataFrame) -> DataFrame:
     """(node, t) of the nodes whose tier no edge holds any more."""
     parent = old.select(F.col("node").alias("parent"), F.col("t").alias("pt"))
-    asked = (removed.join(parent, "parent", "left").join(old.withColumnRenamed("node", "child"), "child")
+    asked = (removed.join(growing(parent), "parent", "left").join(growing(old.withColumnRenamed("node", "child")), "child")
              .where(F.when(F.col("parent").isNull(), F.col("t") == 1).otherwise(F.col("t") == F.col("pt") + 1))
              .select(F.col("child").alias("node"), "t").distinct().checkpoint(eager=True))
     lost = asked.limit(0)
     while (t := _least(asked)) is not None:
         now = asked.where(F.col("t") == t)
-        over = now.join(edges, F.col("node") == F.col("child"))
+        over = now.join(growing(edges), F.col("node") == F.col("child"))
         if t == 1:
             held = over.where(F.col("parent").isNull())
         else:
-            held = over.join(parent.where(F.col("pt") == t - 1), "parent").join(
-                lost.select(F.col("node").alias("parent")), "parent", "left_anti")
-        gone = now.join(held.select("node").distinct(), "node", "left_anti").checkpoint(eager=True)
+            held = over.join(growing(parent.where(F.col("pt") == t - 1)), "parent").join(
+                growing(lost.select(F.col("node").alias("parent"))), "parent", "left_anti")
+        gone = now.join(growing(held.select("node").distinct()), "node", "left_anti").checkpoint(eager=True)
         lost = lost.unionByName(gone).checkpoint(eager=True)
-        below = (gone.select(F.col("node").alias("parent")).join(edges, "parent").select(F.col("child").alias("node")).distinct()
-                 .join(old.where(F.col("t") == t + 1), "node"))
+        below = (gone.select(F.col("node").alias("parent")).join(growing(edges), "parent").select(F.col("child").alias("node")).distinct()
+                 .join(growing(old.where(F.col("t") == t + 1)), "node"))
         asked = asked.where(F.col("t") > t).unionByName(below.select("node", "t")).distinct().checkpoint(eager=True)
     return lost
 
@@ -56,18 +56,18 @@ def _derived(base: DataFrame, edges: DataFrame, lost: DataFrame, added: DataFram
     def offers(part: DataFrame) -> DataFrame:
         """What the parents of these edges offer, where it is better than what the child has."""
         t = F.when(F.col("parent").isNull(), F.lit(1)).otherwise(F.col("pt") + 1)
-        return (part.join(from_parent, "parent", "left").select("child", t.alias("t")).where("t is not null")
-                .join(own, "child", "left").where("now is null or t < now").select(F.col("child").alias("node"), "t"))
+        return (part.join(growing(from_parent), "parent", "left").select("child", t.alias("t")).where("t is not null")
+                .join(growing(own), "child", "left").where("now is null or t < now").select(F.col("child").alias("node"), "t"))
 
-    asked = offers(edges.join(lost.select(F.col("node").alias("child")), "child", "left_semi")).unionByName(offers(added))
+    asked = offers(edges.join(growing(lost.select(F.col("node").alias("child"))), "child", "left_semi")).unionByName(offers(added))
     asked = asked.groupBy("node").agg(F.min("t").alias("t")).checkpoint(eager=True)
     done = asked.limit(0)
     while (t := _least(asked)) is not None:
         now = asked.where(F.col("t") == t)
         done = done.unionByName(now).checkpoint(eager=True)
-        below = (now.select(F.col("node").alias("parent")).join(edges, "parent").select("child").distinct()
-                 .join(own, "child", "left").where(f"now is null or now > {t + 1}").select(F.col("child").alias("node"), F.lit(t + 1).alias("t")))
-        asked = (asked.where(F.col("t") > t).unionByName(below).join(done.select("node"), "node", "left_anti")
+        below = (now.select(F.col("node").alias("parent")).join(growing(edges), "parent").select("child").distinct()
+                 .join(growing(own), "child", "left").where(f"now is null or now > {t + 1}").select(F.col("child").alias("node"), F.lit(t + 1).alias("t")))
+        asked = (asked.where(F.col("t") > t).unionByName(below).join(growing(done.select("node")), "node", "left_anti")
                  .groupBy("node").agg(F.min("t").alias("t")).checkpoint(eager=True))
     return done
 
@@ -85,15 +85,15 @@ def hierarchy_delta(tiers: DataFrame, edges: DataFrame, added: DataFrame, remove
     now, plus, minus = (_edges(df, node, parent) for df in (edges, added, removed))
     same = F.col("child").eqNullSafe(F.col("c")) & F.col("parent").eqNullSafe(F.col("p"))
     pairs = now.select(F.col("child").alias("c"), F.col("parent").alias("p"))
-    minus = minus.join(pairs, same, "left_anti")  # an edge that is there is not removed
+    minus = minus.join(growing(pairs), same, "left_anti")  # an edge that is there is not removed
     old = tiers.select(F.col(node).alias("node"), F.col(tier_alias).cast("int").alias("t"))
     lost = _lost(old, now, minus)
-    base = old.join(lost.select("node"), "node", "left_anti")
-    new = _derived(base, now, lost, plus.join(pairs, same, "left_semi"))
-    kept = base.join(new.select("node"), "node", "left_anti")
+    base = old.join(growing(lost.select("node")), "node", "left_anti")
+    new = _derived(base, now, lost, plus.join(growing(pairs), same, "left_semi"))
+    kept = base.join(growing(new.select("node")), "node", "left_anti")
     names = F.col("node").alias(node), F.col("t").alias(tier_alias)
     changed = lost.select("node").union(new.select("node")).distinct()
-    touched = (changed.join(old.withColumnRenamed("t", "old_tier"), "node", "left")
-               .join(new.withColumnRenamed("t", "new_tier"), "node", "left")
+    touched = (changed.join(growing(old.withColumnRenamed("t", "old_tier")), "node", "left")
+               .join(growing(new.withColumnRenamed("t", "new_tier")), "node", "left")
                .where("not old_tier <=> new_tier").withColumnRenamed("node", node))
     return kept.unionByName(new).select(*names), touched
