@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.session import ensure_checkpoint_dir, working_partitions
+from strata.session import ensure_checkpoint_dir, growing, working_partitions
 
 
 def dense_numbering(keys: DataFrame, order: Sequence[str], alias: str, start: int | None = 0,
@@ -53,7 +53,7 @@ def assign_keys(df: DataFrame, natural_key: str, key_col: str,
     if existing is None:
         return dense_numbering(nk, [natural_key], key_col, start=0)
     old = existing.select(natural_key, key_col)
-    new_nk = nk.join(old, natural_key, "left_anti")
+    new_nk = nk.join(growing(old), natural_key, "left_anti")
     top = old.agg(F.coalesce(F.max(key_col), F.lit(0)).alias("__max")).first()["__max"]
     fresh = dense_numbering(new_nk, [natural_key], key_col, start=int(top))
     return old.unionByName(fresh.select(natural_key, key_col))
@@ -78,7 +78,7 @@ def merge_type1(target: DataFrame | None, source: DataFrame, natural_key: str, k
     if target is None:
         out = source
         if key_col:
-            out = out.join(assign_keys(source, natural_key, key_col), natural_key, "left")
+            out = out.join(growing(assign_keys(source, natural_key, key_col)), natural_key, "left")
         if load_ts_col:
             out = out.withColumn(load_ts_col, F.lit(load_ts).cast("timestamp_ntz"))
         return out.select(*tgt_cols)
@@ -86,7 +86,7 @@ def merge_type1(target: DataFrame | None, source: DataFrame, natural_key: str, k
     tgt = target.select(*tgt_cols).withColumn("__in_tgt", F.lit(True))
     s = src.select(*[F.col(c).alias(f"s__{c}") for c in src.columns])
     t = tgt.select(*[F.col(c).alias(f"t__{c}") for c in tgt.columns])
-    j = t.join(s, t[f"t__{natural_key}"] == s[f"s__{natural_key}"], "full_outer")
+    j = t.join(growing(s), t[f"t__{natural_key}"] == s[f"s__{natural_key}"], "full_outer")
     in_src = F.col("s____in_src").isNotNull()
     nk = F.coalesce(F.col(f"t__{natural_key}"), F.col(f"s__{natural_key}"))
     merged = j.select(
@@ -102,9 +102,9 @@ def merge_type1(target: DataFrame | None, source: DataFrame, natural_key: str, k
     top = target.agg(F.coalesce(F.max(key_col), F.lit(0)).alias("m")).first()["m"]
     # New members = source keys absent from the target (an anti-join, not a second full merge).
     inserts = (source.select(natural_key).where(F.col(natural_key).isNotNull()).distinct()
-               .join(target.select(natural_key), natural_key, "left_anti"))
+               .join(growing(target.select(natural_key)), natural_key, "left_anti"))
     fresh = dense_numbering(inserts, [natural_key], "__new_key", start=int(top))
-    out = merged.join(fresh, natural_key, "left").select(
+    out = merged.join(growing(fresh), natural_key, "left").select(
         F.coalesce(F.col(key_col), F.col("__new_key")).cast("long").alias(key_col),
         *[c for c in merged.columns if c != key_col])
     return out.select(*tgt_cols)

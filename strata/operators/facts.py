@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.session import growing
+
 
 def _any_null(cols: Sequence[str]) -> Column:
     cond = None
@@ -53,7 +55,7 @@ def new_facts(batch: DataFrame, history: DataFrame | None, grain: Sequence[str],
         return good
     if prune_col is not None:
         history = prune_history(history, good if days is None else days, prune_col)
-    return good.join(history.select(*grain), grain, "left_anti")
+    return good.join(growing(history.select(*grain)), grain, "left_anti")
 
 
 def dedupe_grain(batch: DataFrame, grain: Sequence[str], order: Sequence[str]) -> DataFrame:

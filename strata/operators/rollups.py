@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.session import growing
+
 from strata.functions.scalars import DEFAULT_TEXT
 
 
@@ -67,7 +69,7 @@ def flat_lists(base: DataFrame, key: str, lists: Mapping[str, tuple], default: s
     collect = F.collect_set if distinct else F.collect_list
     agg = _slots(specs, key).groupBy("__key").agg(*[collect(f"__e{i}").alias(f"__l{i}") for i in range(len(specs))])
     # A key with rows for some lists only has an empty array for the others: default too.
-    joined = base.join(agg, base[key] == agg["__key"], "left")
+    joined = base.join(growing(agg), base[key] == agg["__key"], "left")
     out = [base[c] for c in base.columns]
     for i, alias in enumerate(lists):
         text = F.when(F.size(f"__l{i}") > 0, _ordered_join(F.col(f"__l{i}"), sep))
@@ -85,6 +87,6 @@ def child_counts(base: DataFrame, key: str, children: Mapping[str, tuple]) -> Da
     aggs = [(F.count_distinct(F.col(f"__e{i}")) if distinct else F.count(f"__e{i}")).alias(alias)
             for i, (alias, (_, _, distinct)) in enumerate(children.items())]
     agg = _slots(specs, key).groupBy("__key").agg(*aggs)
-    joined = base.join(agg, base[key] == agg["__key"], "left")
+    joined = base.join(growing(agg), base[key] == agg["__key"], "left")
     return joined.select(*[base[c] for c in base.columns],
                          *[F.coalesce(F.col(a), F.lit(0)).cast("long").alias(a) for a in children])

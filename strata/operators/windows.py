@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.session import ensure_checkpoint_dir, working_partitions
+from strata.session import ensure_checkpoint_dir, growing, working_partitions
 
 
 def _cols(x: str | Sequence[str]) -> list[str]:
@@ -34,7 +34,7 @@ def count_within(df: DataFrame, keys: str | Sequence[str], counted: str, alias:
     for i, k in enumerate(keys):
         e = df[k].eqNullSafe(c[f"__k{i}"])
         cond = e if cond is None else cond & e
-    joined = df.join(c, cond, "inner")
+    joined = df.join(growing(c), cond, "inner")
     return joined.select(*df.columns, alias)
 
 

@@ -14,6 +14,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import growing
+
 # Fixed run day of the derived documents and the span of their price update days.
 DOC_AS_OF = _dt.datetime(2026, 1, 20, 12, 0, 0)
 UPDATE_SPREAD_DAYS = 30
@@ -37,7 +39,7 @@ def card_documents(part: DataFrame, lineitem: DataFrame, as_of: _dt.datetime = D
         F.min("l_extendedprice").alias("lo"), F.max("l_extendedprice").alias("hi"), F.count(F.lit(1)).alias("n"),
         F.max("l_discount").alias("md"), F.min("l_tax").alias("tlo"), F.max("l_tax").alias("thi"),
         F.min("l_quantity").alias("qmin"))
-    p = part.join(prices, part["p_partkey"] == prices["l_partkey"], "left")
+    p = part.join(growing(prices), part["p_partkey"] == prices["l_partkey"], "left")
     upd_day = F.date_sub(F.lit(as_of.date()) if updated is None else updated, (k % UPDATE_SPREAD_DAYS).cast("int"))
     upd_text = F.date_format(upd_day, "yyyy/MM/dd")
     set_ts = F.format_string("2001/02/03 04:%02d:00", (k % 60).cast("int"))

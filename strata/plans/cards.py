@@ -23,6 +23,7 @@ from strata.operators import (cast_rejects, child_counts, count_within, length_v
 from strata.plans.fixed_values import (BRONZE_RENAMES, CARDMARKET_PRICE_NAMES, CASE_INSENSITIVE,  # noqa: F401
                                        CLOCK_OFFSET_HOURS, DATE_DIM_END, DATE_DIM_START, DEFAULT_RARITY, ENERGY_COUNT_COLUMN, GOLD_WIDTHS,
                                        LEGALITY_LABELS, PRICE_FRESH_DAYS)
+from strata.session import growing
 from strata.sources import CORRUPT_COLUMN, raw_json_columns, read_json_array, read_json_documents
 
 S, I, D = T.StringType(), T.IntegerType(), T.DoubleType()
@@ -251,7 +252,7 @@ def card_main_info(bronze: DataFrame, card_set_df: DataFrame, tiers: DataFrame |
     base = bronze.select(F.col("id").alias("card_id"), "name", "supertype", "hp", "artist", "rarity", "flavor_text",
                          _name_key(case_insensitive)("name").alias("name_key"))
     numbers = card_set_df.select("card_id", "set_card_number")
-    j = base.join(tiers, "name_key", "left").join(numbers, "card_id", "left")
+    j = base.join(growing(tiers), "name_key", "left").join(growing(numbers), "card_id", "left")
     return j.select("card_id", F.lower("name").alias("card_name"), F.lower("supertype").alias("supertype"),
                     sf.safe_cast("hp", "int").alias("hp"), "evolution_tier", F.lower("artist").alias("artist"),
                     F.lower(sf.null_default("rarity", DEFAULT_RARITY)).alias("set_card_rarity"), "set_card_number",
@@ -362,7 +363,7 @@ def dim_cards(main: DataFrame, legalities: DataFrame, attacks: DataFrame, abilit
     # One legality and one set per card, chosen deterministically if a card arrived twice.
     legal = keep_one(legalities.select("card_id", "legality"), "card_id", ["legality"], latest=False)
     one_set = keep_one(set_keys.select("card_id", "set_key"), "card_id", ["set_key"], latest=False)
-    base = main.join(legal, "card_id", "left").join(one_set, "card_id", "left")
+    base = main.join(growing(legal), "card_id", "left").join(growing(one_set), "card_id", "left")
     counted = child_counts(base, "card_id", {
         "number_of_attacks": (attacks, "attack_name", True),
         "number_of_abilities": (abilities, None, False),
@@ -379,8 +380,8 @@ def dim_cards_extra_info(extras: DataFrame, images: DataFrame, cards_dim: DataFr
                          target: DataFrame | None) -> DataFrame:
     """The flattened lists and image URLs, keyed by ``card_key``."""
     one_image = keep_one(images, "card_id", ["small_image_url", "large_image_url"], latest=False)
-    src = (extras.join(one_image, "card_id", "left")
-           .join(cards_dim.select("card_id", "card_key"), "card_id", "inner")
+    src = (extras.join(growing(one_image), "card_id", "left")
+           .join(growing(cards_dim.select("card_id", "card_key")), "card_id", "inner")
            .select("card_key", "subtype_list", "type_list", "resistances_list", "weaknesses_list", "pokedex_list",
                    "small_image_url", "large_image_url"))
     return merge_type1(target, src, "card_key", None)
@@ -393,7 +394,7 @@ def fact_candidates(tcg: DataFrame, cards_dim: DataFrame, dates_dim: DataFrame,
     """J1 + J2: today's prices with card, set and date keys (before the history check)."""
     dates = dates_dim.select(F.col("date_id").alias("d_date_id"), "full_date")
     j = (cards_dim.select("card_key", "card_id", "set_key")
-         .join(tcg, "card_id", "inner")
+         .join(growing(tcg), "card_id", "inner")
          # dim_dates holds one row per day of a fixed span: a bounded broadcast.
          .join(F.broadcast(dates), F.col("date_id") == F.col("d_date_id"), "left")
          .join(sets_dim.select(F.col("set_key").alias("s_set_key")), F.col("set_key") == F.col("s_set_key"), "left"))
