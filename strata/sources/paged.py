@@ -1,7 +1,7 @@
 """A paged extract as a resumable source, in batch and as a stream.
 
 The extractor fetches pages of a fixed size until one is short; run again, it fetches the last page
-anew, which may have grown, and goes on. ``PagedSource`` reads such pages with a task per page. As a
+anew, which may have grown, and goes on. ``PagedSource`` reads such pages with a task per page, or of very many pages some per task. As a
 stream its offsets count items: an offset is the first item that was not read, so a page that has grown
 gives its new items only, a page fetched again gives nothing, and the checkpoint resumes at the page
 where a failure came. A page that is not there yet ends the stream's reach: pages are read in order.
@@ -26,6 +26,8 @@ from strata.sources.landing import TS_FORMAT
 
 #: Items of a full page.
 PAGE_SIZE = 250
+#: Up to so many pages have a task each; of more, a task reads up to so many, one after another.
+SINGLE_PAGES, PAGES_PER_TASK = 128, 64
 _ITEMS = "page long, position int, item string"
 
 
@@ -36,6 +38,19 @@ class Page(InputPartition):
         self.page, self.paths, self.start, self.end = page, paths, start, end
 
 
+class PageGroup(InputPartition):
+    """Consecutive pages, read one after another."""
+
+    def __init__(self, pages: list[Page]):
+        self.pages = pages
+
+
+def _grouped(pages: list[Page]) -> list[InputPartition]:
+    """The partitions of ``pages``: a task costs more than reading a page does."""
+    n = min(PAGES_PER_TASK, -(-len(pages) // SINGLE_PAGES))
+    return pages if n <= 1 else [PageGroup(pages[i:i + n]) for i in range(0, len(pages), n)]
+
+
 class _Pages:
     """The page files of a folder. They are listed where a reader is made or asked for what is new."""
 
@@ -77,9 +92,13 @@ class _Pages:
                 raise ValueError(f"damaged page file {path}: {e}") from None
         return out
 
-    def read(self, part: Page | None) -> Iterator[tuple]:
+    def read(self, part: Page | PageGroup | None) -> Iterator[tuple]:
         if part is None:  # Spark reads one partition of nothing where there are none
             return
+        if isinstance(part, PageGroup):
+            for page in part.pages:
+                yield from self.read(page)
+            return
         items = self.items(part.paths)
         if part.end is not None and len(items) < part.end:
             raise ValueError(f"page {part.page} has {len(items)} items, fewer than the {part.end} that it had")
@@ -92,7 +111,7 @@ class _BatchReader(DataSourceReader):
         self.pages = _Pages(options)
 
     def partitions(self):
-        return [Page(n, paths) for n, paths in sorted(self.pages.files().items()) if n >= self.pages.first]
+        return _grouped([Page(n, paths) for n, paths in sorted(self.pages.files().items()) if n >= self.pages.first])
 
     def read(self, partition):
         return self.pages.read(partition)
@@ -126,7 +145,7 @@ class _StreamReader(DataSourceStreamReader):
             b = end["item"] if page == end["page"] else None
             if b is None or a < b:
                 out.append(Page(page, files.get(page, []), a, b))
-        return out
+        return _grouped(out)
 
     def read(self, partition):
         return self.pages.read(partition)

@@ -91,3 +91,15 @@ def test_offsets(tmp_root):
     parts = reader.partitions({"page": 0, "item": 2}, {"page": 3, "item": 3})
     assert [(p.page, p.start, p.end) for p in parts] == [(0, 2, None), (1, 0, None), (2, 0, None), (3, 0, 3)]
     assert reader.partitions({"page": 3, "item": 3}, {"page": 3, "item": 3}) == []
+
+
+def test_very_many_pages_share_tasks(spark, tmp_root):
+    n = 3 * paged.SINGLE_PAGES
+    for i in range(n):
+        _page(tmp_root, i, [2 * i, 2 * i + 1])
+    df = read_paged(spark, tmp_root, SCHEMA, page_size=2)
+    assert df.rdd.getNumPartitions() == paged.SINGLE_PAGES and _ids(df) == list(range(2 * n))
+    reader = paged._StreamReader({"path": tmp_root, "pageSize": "2"})
+    parts = reader.partitions({"page": 1, "item": 1}, {"page": n - 1, "item": 1})
+    assert len(parts) < n / 2
+    assert [x[:2] for p in parts for x in reader.read(p)] == [(1, 1), *((i, j) for i in range(2, n - 1) for j in (0, 1)), (n - 1, 0)]
