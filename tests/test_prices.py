@@ -68,3 +68,28 @@ def test_state_stays_bounded(spark, tmp_root):
     assert max(states) <= per_key * 10 * 7 and states[-1] <= per_key * 50
     changes = spark.read.parquet(os.path.join(tmp_root, "out")).groupBy("change").count().collect()
     assert {r["change"]: r["count"] for r in changes} == {"new": 160, "expired": 110}
+
+
+def test_a_key_asks_the_state_store_once():
+    """Each call is a round trip: whether a price is held and which one is asked in one."""
+    from pyspark.sql import Row
+
+    from strata.streaming.prices import _LatestPrice
+
+    class Store:
+        held, calls = None, []
+
+        def __getattr__(self, name):
+            def call(*args):
+                self.calls.append(name)
+                if name == "update":
+                    Store.held = args[0]
+                return {"get": Store.held, "exists": Store.held is not None, "getValueState": self}.get(name)
+            return call
+
+    store, p = Store(), _LatestPrice(["k"])
+    p.init(store)
+    rows = lambda *at: iter([Row(time_ms=t, price=x) for t, x in at])
+    assert [(r.change, r.time_ms, r.n_rows) for r in p.handleInputRows((1,), rows((5, 1.0), (7, 2.0)), None)] == [("new", 7, 2)]
+    assert [(r.change, r.time_ms, r.n_rows) for r in p.handleInputRows((1,), rows((6, 1.0), (9, 2.0)), None)] == [("new", 9, 1), ("late", None, 1)]
+    assert store.calls == ["getValueState", "get", "update", "registerTimer", "get", "deleteTimer", "update", "registerTimer"]
